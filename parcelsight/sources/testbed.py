@@ -1,0 +1,207 @@
+"""The raw delivery tables derived from the TPC-H-like test tables.
+
+The test tables hold no promised dates, reviews or coordinates. They follow from
+the keys here, with unknown values, contradictions, duplicates and an episode
+planted on purpose; see FIXTURES.md.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+KEY_TYPE = T.LongType()
+
+# The planted episode and the categories left untranslated.
+EPISODE_REGION = "AMERICA"
+EPISODE = ("1997-10-01", "1998-04-01")
+TIMELINE_START = "1995-01-01"
+TRANSLATIONS = {"promo": "promo_goods", "small": "small_goods"}
+
+
+def _hours(n: Column) -> Column:
+    return F.make_dt_interval(hours=n.cast("int"))
+
+
+def _days(n: Column) -> Column:
+    return F.make_dt_interval(days=n.cast("int"))
+
+
+class TestTables:
+    """Lazy raw tables over one directory of test parquet files."""
+
+    __test__ = False
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def nations(self) -> DataFrame:
+        region = self.table("region")
+        return (
+            self.table("nation")
+            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("n_nationkey", "n_name", "r_name")
+        )
+
+    def orders(self) -> DataFrame:
+        k = F.col("o_orderkey")
+        customers = (
+            self.table("customer")
+            .join(self.nations(), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("c_custkey", "r_name")
+        )
+        shipped = (
+            self.table("lineitem")
+            .select(F.col("l_orderkey").alias("o_orderkey"))
+            .distinct()
+            .withColumn("_shipped", F.lit(True))
+        )
+        start, end = (F.lit(day).cast("timestamp_ntz") for day in EPISODE)
+        purchase = F.col("o_orderdate")
+        x = k * 7 % 30
+        episode = (F.col("r_name") == EPISODE_REGION) & (purchase >= start) & (purchase < end)
+        late_days = (
+            F.when(x == 0, 20)
+            .when(x == 1, 10)
+            .when(x == 2, 2)
+            .when(episode & (x < 12), 5)
+            .otherwise(-x)
+        )
+        handed_over = 24 + k * 13 % 240
+        delivered = handed_over + (
+            F.when(k % 61 == 0, -72)
+            .when(F.col("_late_days") > 0, 288 + k * 11 % 600)
+            .otherwise(48 + k * 11 % 600)
+        )
+        sent = F.col("_shipped")
+        return (
+            self.table("orders")
+            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+            .join(shipped, "o_orderkey", "left")
+            .withColumn("_late_days", late_days)
+            .select(
+                k.alias("order_id"),
+                F.col("o_custkey").alias("customer_id"),
+                F.when(F.col("o_orderstatus") == "P", "shipped")
+                .otherwise("delivered")
+                .alias("order_status"),
+                purchase.alias("order_purchase_timestamp"),
+                F.when(k % 97 != 0, purchase + _hours(k % 72)).alias("order_approved_at"),
+                F.when(sent, purchase + _hours(handed_over)).alias("order_delivered_carrier_date"),
+                F.when(sent, purchase + _hours(delivered)).alias("order_delivered_customer_date"),
+                (
+                    purchase
+                    + _days(
+                        F.when(sent, F.floor(delivered / 24) - F.col("_late_days")).otherwise(20)
+                    )
+                ).alias("order_estimated_delivery_date"),
+            )
+        )
+
+    def order_items(self) -> DataFrame:
+        purchases = self.table("orders").select(
+            F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
+        )
+        in_order = W.partitionBy("l_orderkey").orderBy(
+            "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
+        )
+        return (
+            self.table("lineitem")
+            .withColumn("order_item_id", F.row_number().over(in_order))
+            .join(purchases, "l_orderkey")
+            .select(
+                F.col("l_orderkey").alias("order_id"),
+                "order_item_id",
+                F.col("l_partkey").alias("product_id"),
+                F.col("l_suppkey").alias("seller_id"),
+                (F.col("o_orderdate") + _days(4 + F.col("l_quantity").cast("int") % 8)).alias(
+                    "shipping_limit_date"
+                ),
+                F.col("l_extendedprice").alias("price"),
+                (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
+                F.col("l_shipdate").alias("item_ship_ts"),
+                F.col("l_discount").alias("src_discount"),
+            )
+        )
+
+    def customers(self) -> DataFrame:
+        return (
+            self.table("customer")
+            .join(self.nations(), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(
+                F.col("c_custkey").alias("customer_id"),
+                F.col("c_name").alias("customer_unique_id"),
+                (F.col("c_custkey") % 53).cast("int").alias("customer_zip_code_prefix"),
+                F.col("c_mktsegment").alias("customer_city"),
+                F.col("n_name").alias("customer_state"),
+                F.col("r_name").alias("customer_region"),
+            )
+        )
+
+    def sellers(self) -> DataFrame:
+        return (
+            self.table("supplier")
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(
+                F.col("s_suppkey").alias("seller_id"),
+                (F.col("s_suppkey") % 59).cast("int").alias("seller_zip_code_prefix"),
+                F.col("s_name").alias("seller_city"),
+                F.col("n_name").alias("seller_state"),
+            )
+        )
+
+    def products(self) -> DataFrame:
+        return self.table("part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.when(F.col("p_partkey") % 50 != 0, F.lower("p_type")).alias("product_category_name"),
+            F.col("p_size").alias("product_weight_g"),
+        )
+
+    def translation(self) -> DataFrame:
+        name = F.lower("p_type")
+        return (
+            self.table("part")
+            .filter(~F.col("p_type").isin("PROMO", "SMALL"))
+            .select(
+                name.alias("product_category_name"),
+                F.concat(name, F.lit("_goods")).alias("product_category_name_english"),
+            )
+            .distinct()
+        )
+
+    def geolocation(self) -> DataFrame:
+        k = F.col("c_custkey")
+        z = (k % 53).cast("int")
+        outside = (z == 52) | (k % 40 == 0)
+        lat = -25 + (z * 37 % 53).cast("double") * 0.25 + (k % 7).cast("double") * 0.01
+        lng = -55 + (z * 29 % 53).cast("double") * 0.3 + (k % 5).cast("double") * 0.01
+        return self.table("customer").select(
+            z.alias("geolocation_zip_code_prefix"),
+            F.when(outside, 45.0).otherwise(lat).alias("geolocation_lat"),
+            F.when(outside, 121.0).otherwise(lng).alias("geolocation_lng"),
+        )
+
+    def reviews(self) -> DataFrame:
+        return self.order_items().select(
+            (F.col("order_id") * 100 + F.col("order_item_id")).alias("review_id"),
+            "order_id",
+            (1 + F.round(F.col("src_discount") * 100).cast("int") % 5).alias("review_score"),
+            F.col("item_ship_ts").alias("review_answer_timestamp"),
+        )
+
+    def raw(self) -> dict[str, DataFrame]:
+        return {
+            "orders": self.orders(),
+            "order_items": self.order_items(),
+            "customers": self.customers(),
+            "sellers": self.sellers(),
+            "products": self.products(),
+            "translation": self.translation(),
+            "geolocation": self.geolocation(),
+            "reviews": self.reviews(),
+        }

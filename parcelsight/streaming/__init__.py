@@ -1,0 +1 @@
+"""The workload is batch only: no streaming operator is offered here."""

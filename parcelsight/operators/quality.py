@@ -17,6 +17,15 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
 
+def _outside(column: str, low: float | None, high: float | None) -> Column:
+    broken = F.lit(False)
+    if low is not None:
+        broken = broken | (F.col(column) < low)
+    if high is not None:
+        broken = broken | (F.col(column) > high)
+    return broken
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values on more than one row (NULL counts as a value)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
@@ -37,12 +46,7 @@ def range_violations(
     df: DataFrame, column: str, low: float | None = None, high: float | None = None
 ) -> DataFrame:
     """Rows outside [low, high]; an unknown value passes."""
-    ok = F.lit(True)
-    if low is not None:
-        ok = ok & (F.col(column) >= low)
-    if high is not None:
-        ok = ok & (F.col(column) <= high)
-    return df.filter(~ok)
+    return df.filter(_outside(column, low, high))
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -90,11 +94,50 @@ def count_violations(checks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
-def require(checks: Mapping[str, DataFrame]) -> None:
-    """Run the checks as one job and raise if any of them finds a violation.
+def count_table_violations(
+    df: DataFrame,
+    name: str,
+    key: Sequence[str],
+    required: Sequence[str] = (),
+    ranges: Mapping[str, tuple[float | None, float | None]] | None = None,
+) -> DataFrame:
+    """All of a table's own rules in one pass, one row per rule.
 
-    Only the names and counts of failing checks reach the driver.
+    Rows first shrink to one per key, with the broken rules added up, so the key
+    rule and the row rules share a single exchange.
     """
-    failing = count_violations(checks).filter("violations > 0").orderBy("check_name").collect()
+    row_rules = {f"{name}: {c} is known": F.col(c).isNull() for c in required}
+    for column, (low, high) in (ranges or {}).items():
+        row_rules[f"{name}: {column} in range"] = _outside(column, low, high)
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(broken).alias(f"_r{i}") for i, broken in enumerate(row_rules.values())],
+    )
+    totals = per_key.agg(
+        F.count_if((F.col("_rows") > 1) | _any_null(key)).alias("_key"),
+        *[F.coalesce(F.sum(f"_r{i}"), F.lit(0)).alias(f"_r{i}") for i in range(len(row_rules))],
+    )
+    lines = {f"{name}: key {', '.join(key)}": "_key"}
+    lines |= {rule: f"_r{i}" for i, rule in enumerate(row_rules)}
+    return totals.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(rule).alias("check_name"), F.col(c).alias("violations"))
+                    for rule, c in lines.items()
+                ]
+            )
+        )
+    )
+
+
+def raise_if_violated(counts: DataFrame) -> None:
+    """Raise with the failing checks; only their names and counts reach the driver."""
+    failing = counts.filter("violations > 0").orderBy("check_name").collect()
     if failing:
         raise QualityError("; ".join(f"{r.check_name}: {r.violations} violations" for r in failing))
+
+
+def require(checks: Mapping[str, DataFrame]) -> None:
+    """Run the checks as one job and raise if any of them finds a violation."""
+    raise_if_violated(count_violations(checks))

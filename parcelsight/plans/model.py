@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -62,27 +63,23 @@ def conform_model(tables: Mapping[str, DataFrame], key_type: T.DataType = STRING
     return {name: conform(tables[name], spec.schema(key_type)) for name, spec in MODEL.items()}
 
 
-def model_checks(model: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Key, required-column, reference and range checks of the model, by name."""
-    checks: dict[str, DataFrame] = {}
+def model_violations(model: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per key, required-column, range and reference rule of the model."""
+    own, links = [], {}
     for name, spec in MODEL.items():
-        table = model[name]
-        checks[f"{name}: key {', '.join(spec.key)}"] = Q.primary_key_violations(table, spec.key)
-        if spec.required:
-            checks[f"{name}: required columns"] = Q.null_violations(table, spec.required)
+        own.append(
+            Q.count_table_violations(model[name], name, spec.key, spec.required, spec.ranges)
+        )
         for column, parent in spec.references.items():
-            parent_key = MODEL[parent].key[0]
-            checks[f"{name}: {column} in {parent}"] = Q.orphan_keys(
-                table, column, model[parent], parent_key
+            links[f"{name}: {column} in {parent}"] = Q.orphan_keys(
+                model[name], column, model[parent], MODEL[parent].key[0]
             )
-        for column, (low, high) in spec.ranges.items():
-            checks[f"{name}: range of {column}"] = Q.range_violations(table, column, low, high)
-    return checks
+    return reduce(DataFrame.unionAll, [*own, Q.count_violations(links)])
 
 
 def validate_model(model: Mapping[str, DataFrame]) -> None:
-    """Raise with the failing checks and their counts if any rule is broken."""
-    Q.require(model_checks(model))
+    """Raise with the failing rules and their counts if any is broken."""
+    Q.raise_if_violated(model_violations(model))
 
 
 def write_model(model: Mapping[str, DataFrame], out_dir: str) -> dict[str, int]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelsight.operators.quantiles import exact_quantiles
@@ -86,22 +86,26 @@ def flag_counts(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
-def describe(df: DataFrame, column: str) -> DataFrame:
-    """Rows (statistic, value): count, mean, sample deviation, min, quartiles, max."""
+def describe(df: DataFrame, column: str, *, exchange_once: bool = False) -> DataFrame:
+    """Rows (statistic, value): count, mean, sample deviation, min, quartiles, max.
+
+    ``exchange_once`` is for a costly, narrow ``df``; see ``exact_quantiles``.
+    """
     value = F.col(column).cast("double")
-    simple: Mapping[str, Column] = {
-        "count": F.count(value).cast("double"),
-        "mean": F.avg(value),
-        "std": F.stddev_samp(value),
-        "min": F.min(value),
-        "max": F.max(value),
-    }
-    summary = df.agg(*[c.alias(name) for name, c in simple.items()])
-    quartiles = exact_quantiles(df, [], column, QUARTILES).select(*QUARTILES)
-    return reduce(
-        DataFrame.unionAll,
-        [part.unpivot([], part.columns, "statistic", "value") for part in (summary, quartiles)],
+    summary = exact_quantiles(
+        df,
+        [],
+        {name: (column, p) for name, p in QUARTILES.items()},
+        aggregates={
+            "count": F.count(value).cast("double"),
+            "mean": F.avg(value),
+            "std": F.stddev_samp(value),
+            "min": F.min(value),
+            "max": F.max(value),
+        },
+        exchange_once=exchange_once,
     )
+    return summary.unpivot([], summary.columns, "statistic", "value")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

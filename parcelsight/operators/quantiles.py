@@ -9,116 +9,181 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# Each bracket is cut into this many slices before its values are ranked.
+SLICES = 1024
 
-def _with_brackets(
-    rows: DataFrame, keys: Sequence[str], brackets: DataFrame, few_groups: bool
-) -> DataFrame:
-    if not keys:
-        return rows.withColumn("_edges", brackets.select("_edges").scalar())
-    renamed = brackets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_edges")
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    joined = rows.join(F.broadcast(renamed) if few_groups else renamed, same)
-    return joined.drop(*[f"_k_{k}" for k in keys])
+
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The right side with prefixed key names and the NULL-safe join condition.
+
+    NULL-safe equality keeps the NULL group, and it adds no NULL filter to either
+    side, so a plan used on both sides is computed once and reused.
+    """
+    renamed = right.withColumnsRenamed({n: f"_k_{n}" for n in names})
+    return renamed, reduce(
+        Column.__and__, [left[n].eqNullSafe(renamed[f"_k_{n}"]) for n in names]
+    )
+
+
+def _slot(value: Column, edges: Column, brackets: int) -> Column:
+    """Position of a value: gaps are even multiples of SLICES, bracket slices lie between."""
+    slot = F.when(value.isNull(), F.lit(None))
+    for i in range(brackets):
+        low, high = edges[2 * i], edges[2 * i + 1]
+        share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
+        piece = F.least(F.floor(share * SLICES), F.lit(SLICES - 1))
+        slot = slot.when(value < low, 2 * i * SLICES).when(
+            value <= high, (2 * i + 1) * SLICES + piece
+        )
+    return slot.otherwise(2 * brackets * SLICES).cast("int")
 
 
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
-    value: str,
-    quantiles: Mapping[str, float],
+    quantiles: Mapping[str, tuple[str, float]],
     *,
-    sums: Mapping[str, Column] | None = None,
+    aggregates: Mapping[str, Column] | None = None,
     few_groups: bool = False,
+    exchange_once: bool = False,
     margin: float = 0.002,
     accuracy: int = 5_000,
 ) -> DataFrame:
-    """Interpolated quantiles of ``value`` per group, exact at any group size.
+    """Interpolated quantiles per group, exact whatever the size of a group.
+
+    ``quantiles`` maps an output name to (column, probability). The result holds
+    the keys, the ``aggregates`` (ordinary aggregates that ride along with the
+    first pass) and the quantiles.
 
     1. A mergeable sketch gives each group a narrow bracket around every wanted
-       rank. Its rank error is 1/accuracy; the bracket reaches ``margin`` to both
-       sides, ten times that error.
-    2. Values inside a bracket are counted one by one, values between brackets
-       collapse into one cell per gap. Both happen in the map-side combine, so a
-       group of any size shuffles as a few cells per task plus the distinct
-       values of its brackets (2 x margin of the group at most).
-    3. A running count over the cells finds the wanted ranks.
-
-    Returns the keys, ``rows`` (all rows), one column per quantile and one per
-    entry of ``sums`` (numbers added up per group). Set ``few_groups`` only where
-    the group count has a fixed bound: the brackets are then broadcast.
+       rank: ``margin`` to both sides, ten times the sketch's error 1/accuracy.
+    2. Rows shrink to counts in the map-side combine: one count per gap between
+       brackets, one per distinct value inside a bracket (2 x margin of a group).
+    3. Counts per slice of a bracket tell which slice holds the wanted rank.
+    4. Only the values of that slice are sorted, each slice in its own partition.
+
+    So a group holding most of the table still leaves every task as counts, and
+    no task sorts more than a slice. A bracket that missed its rank, which the
+    sketch's error bound rules out, raises instead of giving a near value.
+
+    Set ``few_groups`` only where the number of groups has a fixed bound: the
+    brackets are then broadcast. Otherwise their measured size decides.
+
+    ``df`` is read twice. A scan is best read twice; set ``exchange_once`` for a
+    costly ``df``. It is then exchanged on all its columns, and both passes read
+    that one exchange: hashing all columns keeps the two passes' columns alike,
+    and a row key among them spreads the rows evenly.
     """
     if margin * accuracy < 2:
         raise ValueError("margin must be at least twice the sketch's error")
-    sums = dict(sums or {})
-    rows = df.select(
-        *keys,
-        F.col(value).cast("double").alias("_v"),
-        *[c.alias(name) for name, c in sums.items()],
-    )
-    edges = [
-        edge
-        for p in sorted(quantiles.values())
-        for edge in (max(0.0, p - margin), min(1.0, p + margin))
-    ]
-    brackets = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", edges, accuracy).alias("_edges")
-    )
-    placed = _with_brackets(rows, keys, brackets, few_groups)
+    keys, aggregates = list(keys), dict(aggregates or {})
+    columns = list(dict.fromkeys(column for column, _ in quantiles.values()))
+    wanted = {c: sorted({p for column, p in quantiles.values() if column == c}) for c in columns}
+
+    if exchange_once:
+        df = df.repartition(*df.columns)
+
+    # 1. brackets
+    def edges(probabilities: list[float]) -> list[float]:
+        return [
+            edge
+            for p in probabilities
+            for edge in (max(0.0, p - margin), min(1.0, p + margin))
+        ]
 
-    v = F.col("_v")
-    edge = [F.col("_edges")[i] for i in range(len(edges))]
-    inside = reduce(
-        Column.__or__,
-        [v.between(edge[i], edge[i + 1]) for i in range(0, len(edges), 2)],
+    groups = df.groupBy(*keys).agg(
+        *[c.alias(name) for name, c in aggregates.items()],
+        *[
+            F.percentile_approx(F.col(c).cast("double"), edges(wanted[c]), accuracy).alias(
+                f"_edges{i}"
+            )
+            for i, c in enumerate(columns)
+        ],
     )
-    gap = reduce(Column.__add__, [(v > e).cast("int") for e in edge])
-    cells = placed.groupBy(
-        *keys,
-        F.when(inside, v).alias("_exact"),
-        F.when(~inside, gap).alias("_gap"),
-    ).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count("_v").alias("_n"),
-        F.max("_v").alias("_top"),
-        *[F.sum(name).alias(name) for name in sums],
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
+    if keys:
+        renamed, same = _same(rows, groups, keys)
+        placed = rows.join(F.broadcast(renamed) if few_groups else renamed, same)
+    else:
+        placed = rows.withColumn("_one", groups.select(F.struct("*")).scalar()).select(
+            "*", "_one.*"
+        )
+
+    # 2. counts per gap and per distinct value inside a bracket
+    measures = [
+        F.struct(
+            F.lit(i).alias("_measure"),
+            F.col(f"_v{i}").alias("_v"),
+            _slot(F.col(f"_v{i}"), F.col(f"_edges{i}"), len(wanted[c])).alias("_slot"),
+        )
+        for i, c in enumerate(columns)
+    ]
+    inside = F.floor(F.col("_slot") / SLICES) % 2 == 1
+    # The aggregates are constant within a group, so they add no groups here.
+    carried = [*keys, *aggregates]
+    counts = (
+        placed.select(*carried, F.inline(F.array(*measures)))
+        .groupBy(*carried, "_measure", "_slot", F.when(inside, F.col("_v")).alias("_value"))
+        .agg(F.count("_v").alias("_n"))
     )
 
-    group = W.partitionBy(*keys)
-    ranked = cells.withColumns(
+    # 3. the slots that hold a wanted rank (or the only slot of a group without values)
+    slots = counts.groupBy(*keys, "_measure", "_slot").agg(F.sum("_n").alias("_n"))
+    group = W.partitionBy(*keys, "_measure")
+    running = group.orderBy("_slot").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = slots.withColumns(
         {
-            "_upto": F.sum("_n").over(
-                group.orderBy("_top").rowsBetween(W.unboundedPreceding, W.currentRow)
-            ),
+            "_before": F.sum("_n").over(running) - F.col("_n"),
             "_total": F.sum("_n").over(group),
         }
     )
 
-    def at(rank: Column) -> Column:
-        cell = F.struct("_top", F.col("_exact").isNull().alias("_open"))
-        return F.min(F.when(F.col("_upto") > rank, cell))
+    def rank(p: float, end) -> Column:
+        return end((F.col("_total") - 1) * F.lit(float(p)))
 
+    holds_rank = reduce(
+        Column.__or__,
+        [
+            (F.col("_measure") == columns.index(c))
+            & (F.col("_before") <= rank(p, end))
+            & (rank(p, end) < F.col("_before") + F.col("_n"))
+            for c, p in quantiles.values()
+            for end in (F.floor, F.ceil)
+        ],
+    )
+    targets = ranked.filter(holds_rank | (F.col("_total") == 0)).select(
+        *keys, "_measure", "_slot", "_before", "_total"
+    )
+
+    # 4. ranks of the values in those slots
+    renamed, same = _same(counts, targets, [*keys, "_measure", "_slot"])
+    in_slot = W.partitionBy(*keys, "_measure", "_slot").orderBy("_value")
+    chosen = counts.join(renamed, same)
+    # The slices of a group are small now: one exchange serves the running count
+    # and the last aggregate.
+    values = (chosen.repartition(*keys) if keys else chosen).withColumn(
+        "_upto",
+        F.col("_before")
+        + F.sum("_n").over(in_slot.rowsBetween(W.unboundedPreceding, W.currentRow)),
+    )
     picks, results = [], []
-    for i, (name, p) in enumerate(quantiles.items()):
-        position = (F.col("_total") - 1) * F.lit(float(p))
-        picks += [
-            at(F.floor(position)).alias(f"_lo{i}"),
-            at(F.ceil(position)).alias(f"_hi{i}"),
-            F.max(position - F.floor(position)).alias(f"_frac{i}"),
-        ]
+    for i, (name, (column, p)) in enumerate(quantiles.items()):
+        mine = F.col("_measure") == columns.index(column)
+        for side, end in (("lo", F.floor), ("hi", F.ceil)):
+            reached = mine & (F.col("_upto") > rank(p, end))
+            picks.append(F.min(F.when(reached, F.col("_value"))).alias(f"_{side}{i}"))
+        picks.append(F.max(F.when(mine, rank(p, lambda x: x - F.floor(x)))).alias(f"_frac{i}"))
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        missed = low["_open"] | high["_open"]
-        interpolated = low["_top"] + (high["_top"] - low["_top"]) * F.col(f"_frac{i}")
         results.append(
-            F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank")))
-            .otherwise(interpolated)
+            F.when(F.col("_missed"), F.raise_error(F.lit("a quantile bracket missed its rank")))
+            .otherwise(low + (high - low) * F.col(f"_frac{i}"))
             .alias(name)
         )
-    found = ranked.groupBy(*keys).agg(
-        F.sum("_rows").alias("rows"),
-        *picks,
-        *[F.sum(name).alias(name) for name in sums],
+    return (
+        values.groupBy(*carried)
+        .agg(F.bool_or(F.col("_value").isNull() & (F.col("_n") > 0)).alias("_missed"), *picks)
+        .select(*carried, *results)
     )
-    return found.select(*keys, "rows", *results, *sums)
 
 
 def median_of_few_values(

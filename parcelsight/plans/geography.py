@@ -22,15 +22,8 @@ def coordinates_by_prefix(geolocation: DataFrame) -> DataFrame:
     points = geolocation.filter(
         F.col(LAT).between(*LAT_BOX) & F.col(LNG).between(*LNG_BOX) & F.col(PREFIX).isNotNull()
     )
-    medians = exact_quantiles(
-        points.unpivot([PREFIX], [LAT, LNG], "_axis", "_degrees"),
-        [PREFIX, "_axis"],
-        "_degrees",
-        {"_median": 0.5},
-    )
-    return medians.groupBy(PREFIX).agg(
-        *[F.max(F.when(F.col("_axis") == axis, F.col("_median"))).alias(axis) for axis in (LAT, LNG)]
-    )
+    medians = exact_quantiles(points, [PREFIX], {LAT: (LAT, 0.5), LNG: (LNG, 0.5)})
+    return medians.select(PREFIX, LAT, LNG)
 
 
 def add_coordinates(

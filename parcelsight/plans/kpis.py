@@ -77,24 +77,18 @@ def late_rate_baseline(orders: DataFrame) -> DataFrame:
 
 def stage_medians(orders: DataFrame) -> DataFrame:
     """Median hours per stage, late against on-time orders, as one row."""
-    hours = in_scope(orders).unpivot(
-        ["is_late"], [f"{s}_hours" for s in STAGES], "_stage", "_hours"
-    )
-    # Three stages times two outcomes: six groups whatever the data.
+    # Two outcomes: two groups whatever the data.
     medians = exact_quantiles(
-        hours, ["_stage", "is_late"], "_hours", {"_median": 0.5}, few_groups=True
+        in_scope(orders),
+        ["is_late"],
+        {stage: (f"{stage}_hours", 0.5) for stage in STAGES},
+        few_groups=True,
     )
     return medians.agg(
         *[
-            round_half_away(
-                F.max(
-                    F.when(
-                        (F.col("_stage") == f"{stage}_hours") & (F.col("is_late") == late),
-                        F.col("_median"),
-                    )
-                ),
-                1,
-            ).alias(f"{stage}_{suffix}")
+            round_half_away(F.max(F.when(F.col("is_late") == late, F.col(stage))), 1).alias(
+                f"{stage}_{suffix}"
+            )
             for stage in STAGES
             for late, suffix in ((True, "late"), (False, "ontime"))
         ]
@@ -202,10 +196,16 @@ def median_distance_by_state(
     scoped = in_scope(orders).select("order_id", "customer_id")
     distances = order_distances(items).filter(F.col("distance_km").isNotNull())
     placed = with_place(scoped, customers, place).join(distances, "order_id")
-    medians = exact_quantiles(placed, [place], "distance_km", {"_median": 0.5})
+    medians = exact_quantiles(
+        placed.select("order_id", place, "distance_km"),
+        [place],
+        {"_median": ("distance_km", 0.5)},
+        aggregates={"orders": order_count()},
+        exchange_once=True,
+    )
     ranked = medians.select(
         place,
-        F.col("rows").alias("orders"),
+        "orders",
         round_half_away("_median", 0).alias("median_distance_km"),
     ).orderBy(F.desc("orders"), F.asc_nulls_last(place))
     return ranked if limit is None else ranked.limit(limit)
@@ -225,12 +225,12 @@ def states_at_same_distance(
     distances = order_distances(items).filter(F.col("distance_km").between(*distance_km))
     placed = with_place(scoped, customers, place).join(distances, "order_id")
     medians = exact_quantiles(
-        placed,
+        placed.select("order_id", place, "distance_km", "is_late"),
         [place],
-        "distance_km",
-        {"_median": 0.5},
-        sums={"late_orders": F.col("is_late").cast("bigint")},
-    ).withColumnRenamed("rows", "orders")
+        {"_median": ("distance_km", 0.5)},
+        aggregates={"orders": order_count(), "late_orders": late_count()},
+        exchange_once=True,
+    )
     return (
         _late_rates(medians)
         .filter(F.col("orders") >= floor)

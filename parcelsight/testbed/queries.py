@@ -174,8 +174,9 @@ def _zip_coverage(t: Clean) -> DataFrame:
     return rows[0].unionAll(rows[1])
 
 
-def _describe(df: DataFrame, column: str) -> DataFrame:
-    return P.describe(df, column).select("statistic", _micro("value"))
+def _describe(df: DataFrame, column: str, exchange_once: bool = False) -> DataFrame:
+    summary = P.describe(df, column, exchange_once=exchange_once)
+    return summary.select("statistic", _micro("value"))
 
 
 def _cleaning_report(t: Clean) -> DataFrame:
@@ -317,7 +318,11 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
         t.clean_products, "product_category", "categories"
     ),
     "describe_price": lambda t: _describe(t.order_items(), "price"),
-    "describe_distance": lambda t: _describe(t.items_with_distance, "distance_km"),
+    "describe_distance": lambda t: _describe(
+        t.items_with_distance.select("order_id", "order_item_id", "distance_km"),
+        "distance_km",
+        exchange_once=True,
+    ),
     "rows_per_prefix": lambda t: P.rows_per_key(t.geolocation(), G.PREFIX),
     "duplicate_points": lambda t: P.duplicate_rows(t.geolocation()),
     "duplicate_reviews": lambda t: P.duplicate_rows(

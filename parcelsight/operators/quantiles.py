@@ -57,6 +57,7 @@ def exact_quantiles(
 
     1. A mergeable sketch gives each group a narrow bracket around every wanted
        rank: ``margin`` to both sides, ten times the sketch's error 1/accuracy.
+       A group of a few thousand rows at most keeps all its values instead.
     2. Rows shrink to counts in the map-side combine: one count per gap between
        brackets, one per distinct value inside a bracket (2 x margin of a group).
     3. Counts per slice of a bracket tell which slice holds the wanted rank.
@@ -91,15 +92,15 @@ def exact_quantiles(
             for edge in (max(0.0, p - margin), min(1.0, p + margin))
         ]
 
-    groups = df.groupBy(*keys).agg(
-        *[c.alias(name) for name, c in aggregates.items()],
-        *[
-            F.percentile_approx(F.col(c).cast("double"), edges(wanted[c]), accuracy).alias(
-                f"_edges{i}"
-            )
-            for i, c in enumerate(columns)
-        ],
-    )
+    sketches = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        ends = F.array(*[F.min(v), F.max(v)] * len(wanted[c]))
+        # Below this size the bracket may fall between two ranks: keep every value.
+        small = F.count(v) <= F.lit(4 / margin)
+        near = F.percentile_approx(v, edges(wanted[c]), accuracy)
+        sketches.append(F.when(small, ends).otherwise(near).alias(f"_edges{i}"))
+    groups = df.groupBy(*keys).agg(*[c.alias(name) for name, c in aggregates.items()], *sketches)
     rows = df.select(*keys, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
     if keys:
         renamed, same = _same(rows, groups, keys)

@@ -65,11 +65,19 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def write_parquet(df: DataFrame, path: str) -> int:
-    """Replace the table at ``path`` and return its row count.
+def write_observed(
+    df: DataFrame, path: str, metrics: Mapping[str, Column] | None = None
+) -> dict[str, int]:
+    """Replace the table at ``path``; returns ``rows`` and the metrics.
 
-    The count is observed while writing, so nothing is read a second time.
+    They are observed while writing, so nothing is read a second time.
     """
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return seen.get["rows"]
+    named = [c.alias(name) for name, c in (metrics or {}).items()]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *named).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def write_parquet(df: DataFrame, path: str) -> int:
+    """Replace the table at ``path`` and return its row count."""
+    return write_observed(df, path)["rows"]

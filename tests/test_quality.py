@@ -1,0 +1,184 @@
+"""Checks, profiling and row operators: one passing and one failing input each."""
+
+import math
+
+import pytest
+from conftest import ts
+from pyspark.sql import functions as F
+
+from parcelsight.operators import profile as P
+from parcelsight.operators import quality as Q
+from parcelsight.operators.rows import join_many_to_one, latest_per_key, number_runs
+
+
+def frame(spark, schema, *rows):
+    return spark.createDataFrame(list(rows), schema)
+
+
+def test_primary_key(spark):
+    good = frame(spark, "k int", (1,), (2,))
+    bad = frame(spark, "k int", (1,), (1,), (2,), (None,))
+    assert Q.primary_key_violations(good, ["k"]).count() == 0
+    assert {r.k for r in Q.primary_key_violations(bad, ["k"]).collect()} == {1, None}
+
+
+def test_composite_primary_key(spark):
+    good = frame(spark, "a int, b int", (1, 1), (1, 2))
+    bad = frame(spark, "a int, b int", (1, 1), (1, 1), (2, None))
+    assert Q.primary_key_violations(good, ["a", "b"]).count() == 0
+    assert Q.primary_key_violations(bad, ["a", "b"]).count() == 2
+
+
+def test_required_columns(spark):
+    df = frame(spark, "a int, b int", (1, 1), (None, 1), (1, None))
+    assert Q.null_violations(df, ["a"]).count() == 1
+    assert Q.null_violations(df, ["a", "b"]).count() == 2
+
+
+def test_ranges_let_unknown_values_pass(spark):
+    df = frame(spark, "x double", (0.0,), (-0.5,), (None,), (6.0,))
+    assert [r.x for r in Q.range_violations(df, "x", 0).collect()] == [-0.5]
+    assert Q.range_violations(df, "x", 0, 5).count() == 2
+
+
+def test_orphans_ignore_null_children_and_null_parents(spark):
+    child = frame(spark, "k int", (1,), (2,), (2,), (None,))
+    parent = frame(spark, "p int", (1,), (None,))
+    assert [r.k for r in Q.orphan_keys(child, "k", parent, "p").collect()] == [2]
+    assert Q.orphan_keys(parent, "p", child, "k").count() == 0
+
+
+def test_rows_with_keys_is_a_semi_join(spark):
+    rows = frame(spark, "k int, v string", (1, "a"), (2, "b"), (2, "c"))
+    keys = frame(spark, "k int", (2,), (2,))
+    assert sorted(r.v for r in Q.rows_with_keys(rows, "k", keys).collect()) == ["b", "c"]
+
+
+def test_out_of_order_rows(spark):
+    df = frame(
+        spark,
+        "a timestamp_ntz, b timestamp_ntz",
+        (ts("2018-01-02"), ts("2018-01-01")),
+        (ts("2018-01-01"), ts("2018-01-01")),
+        (None, ts("2018-01-01")),
+    )
+    assert Q.out_of_order_rows(df, "a", "b").count() == 1
+
+
+def test_key_coverage(spark):
+    child = frame(spark, "z int", (1,), (1,), (2,), (3,), (None,))
+    row = Q.key_coverage(child, "z", frame(spark, "p int", (1,), (1,)), "p").collect()[0]
+    assert (row.keys, row.uncovered, row.uncovered_share) == (3, 2, pytest.approx(2 / 3))
+    empty = Q.key_coverage(child.limit(0), "z", child, "z").collect()[0]
+    assert (empty.keys, empty.uncovered, empty.uncovered_share) == (0, 0, None)
+
+
+def test_require_names_the_failing_checks_only(spark):
+    bad, good = frame(spark, "k int", (1,), (1,)), frame(spark, "k int", (1,))
+    Q.require({"fine": Q.duplicate_keys(good, ["k"])})
+    with pytest.raises(Q.QualityError, match="^doubled: 1 violations$"):
+        Q.require({"fine": Q.duplicate_keys(good, ["k"]), "doubled": Q.duplicate_keys(bad, ["k"])})
+
+
+def test_table_violations_count_every_rule_in_one_pass(spark):
+    df = frame(spark, "k int, a int, x int", (1, 1, 1), (1, None, 9), (2, None, None), (None, 1, -1))
+    got = Q.count_table_violations(df, "t", ["k"], ["a"], {"x": (0, 5)}).collect()
+    assert {r.check_name: r.violations for r in got} == {
+        "t: key k": 2,
+        "t: a is known": 2,
+        "t: x in range": 2,
+    }
+    empty = Q.count_table_violations(df.limit(0), "t", ["k"], ["a"]).collect()
+    assert [r.violations for r in empty] == [0, 0]
+
+
+def test_many_to_one_join_keeps_left_rows_and_checks_the_right(spark):
+    left = frame(spark, "k int", (1,), (2,), (None,))
+    right = frame(spark, "k int, v string", (1, "a"), (None, "never"))
+    joined = join_many_to_one(left, right, "k", validate=True)
+    assert sorted(map(str, (r.v for r in joined.collect()))) == ["None", "None", "a"]
+    with pytest.raises(Q.QualityError):
+        join_many_to_one(left, right.union(right), ["k"], validate=True)
+
+
+def test_latest_per_key_keeps_all_columns(spark):
+    df = frame(
+        spark, "k int, t timestamp_ntz, v string", (1, ts("2018-01-01"), "a"), (1, ts("2018-01-02"), "b")
+    )
+    assert [tuple(r) for r in latest_per_key(df, "k", "t").collect()] == [(1, ts("2018-01-02"), "b")]
+
+
+def test_runs_break_at_every_gap(spark):
+    df = frame(spark, "k string, i int", ("a", 1), ("a", 2), ("a", 4), ("b", 2), ("b", 3), ("b", 4))
+    got = {(r.k, r.i): (r.run_start, r.run_position) for r in number_runs(df, ["k"], "i").collect()}
+    assert got == {
+        ("a", 1): (1, 1),
+        ("a", 2): (1, 2),
+        ("a", 4): (4, 1),
+        ("b", 2): (2, 1),
+        ("b", 3): (2, 2),
+        ("b", 4): (2, 3),
+    }
+
+
+# -- profiling ----------------------------------------------------------------------
+
+
+def test_profile_and_null_counts(spark):
+    df = frame(spark, "k string, x int", ("a", 1), ("a", None), (None, None))
+    assert [tuple(r) for r in P.profile(df).collect()] == [
+        (1, "k", "string", 3, 2, 1),
+        (2, "x", "int", 3, 1, 2),
+    ]
+    assert tuple(P.null_counts(df, ["k", "x"]).collect()[0]) == (1, 2)
+    by_key = {r.k: r.x for r in P.null_counts_by(df, "k", ["x"]).collect()}
+    assert by_key == {"a": 1, None: 1}
+    assert P.preview(df, 2).count() == 2
+
+
+def test_duplicates_count_repeats_and_treat_nulls_as_equal(spark):
+    df = frame(spark, "a int, b int", (1, 1), (1, 1), (1, 1), (None, 2), (None, 2), (3, 3))
+    assert P.duplicate_rows(df).collect()[0][0] == 3
+    assert P.duplicate_rows(df.limit(0)).collect()[0][0] == 0
+
+
+def test_value_counts_skip_unknown_values(spark):
+    df = frame(spark, "v string", ("b",), ("a",), ("b",), (None,))
+    assert [tuple(r) for r in P.value_counts(df, "v").collect()] == [("b", 2), ("a", 1)]
+    assert [r.v for r in P.value_counts(df, "v", by_value=True).collect()] == ["a", "b"]
+    assert P.distinct_count(df, "v").collect()[0][0] == 2
+
+
+def test_rows_per_key_counts_known_keys(spark):
+    df = frame(spark, "k int", (1,), (1,), (2,), (None,))
+    assert tuple(P.rows_per_key(df, "k").collect()[0]) == (4, 2, 2.0)
+
+
+def test_flag_counts_are_three_valued(spark):
+    df = frame(spark, "f boolean", (True,), (False,), (None,), (True,))
+    assert tuple(P.flag_counts(df, ["f"]).collect()[0]) == (4, 2, 1)
+
+
+def test_describe(spark):
+    df = frame(spark, "x double", (1.0,), (2.0,), (3.0,), (10.0,), (None,))
+    got = {r.statistic: r.value for r in P.describe(df, "x").collect()}
+    assert got == {
+        "count": 4.0,
+        "mean": 4.0,
+        "std": pytest.approx(math.sqrt(50 / 3)),
+        "min": 1.0,
+        "25%": 1.75,
+        "50%": 2.5,
+        "75%": 4.75,
+        "max": 10.0,
+    }
+
+
+def test_table_counts(spark):
+    got = P.table_counts({"a": spark.range(3), "b": spark.range(0)}).collect()
+    assert {r.table_name: r.rows for r in got} == {"a": 3, "b": 0}
+
+
+def test_count_violations_of_an_empty_check_is_zero(spark):
+    got = Q.count_violations({"none": spark.range(5).filter(F.lit(False))}).collect()
+    assert [tuple(r) for r in got] == [("none", 0)]

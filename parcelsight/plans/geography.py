@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelsight.functions.delivery import great_circle_km
+from parcelsight.operators.quality import duplicate_keys, require
 from parcelsight.operators.quantiles import exact_quantiles
 from parcelsight.operators.rows import join_many_to_one
 
@@ -29,13 +30,20 @@ def coordinates_by_prefix(geolocation: DataFrame) -> DataFrame:
 def add_coordinates(
     df: DataFrame, zip_column: str, coordinates: DataFrame, prefix: str, *, validate: bool = False
 ) -> DataFrame:
-    """Attach ``<prefix>_lat`` and ``<prefix>_lng``; an uncovered prefix stays unknown."""
-    places = coordinates.select(
-        F.col(PREFIX).alias(zip_column),
+    """Attach ``<prefix>_lat`` and ``<prefix>_lng``; an uncovered prefix stays unknown.
+
+    The NULL-safe condition matches nothing more, as no coordinate has an unknown
+    prefix. It gives both sides an exchange of their own, which lets Spark split a
+    hot prefix even where the coordinates come straight out of an aggregate.
+    """
+    places = coordinates.filter(F.col(PREFIX).isNotNull()).select(
+        F.col(PREFIX).alias("_prefix"),
         F.col(LAT).alias(f"{prefix}_lat"),
         F.col(LNG).alias(f"{prefix}_lng"),
     )
-    return join_many_to_one(df, places, zip_column, validate=validate)
+    if validate:
+        require({f"{PREFIX} is unique": duplicate_keys(places, ["_prefix"])})
+    return df.join(places, df[zip_column].eqNullSafe(places["_prefix"]), "left").drop("_prefix")
 
 
 def with_distance(

@@ -94,6 +94,14 @@ def count_violations(checks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def row_count_change(name: str, before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: by how many rows a step that must keep its rows changed them."""
+    signs = before.select(F.lit(1).alias("_one")).unionAll(after.select(F.lit(-1).alias("_one")))
+    return signs.agg(F.abs(F.coalesce(F.sum("_one"), F.lit(0))).alias("violations")).select(
+        F.lit(name).alias("check_name"), "violations"
+    )
+
+
 def count_table_violations(
     df: DataFrame,
     name: str,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 # Needed for right results: zone-less timestamps must never meet a zone with gaps.
@@ -28,7 +30,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int = 8, partitions: int | None = None, memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int = 8,
+    partitions: int | None = None,
+    memory: str = "8g",
+    options: Mapping[str, str] | None = None,
+) -> SparkSession:
     """A single-machine session for tests, the bench and trial runs."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -38,7 +45,7 @@ def local_session(cpus: int = 8, partitions: int | None = None, memory: str = "8
         .config("spark.sql.shuffle.partitions", str(partitions or cpus))
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in {**REQUIRED, **ADAPTIVE}.items():
+    for key, value in {**REQUIRED, **ADAPTIVE, **(options or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

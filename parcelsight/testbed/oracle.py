@@ -281,6 +281,9 @@ VIOLATIONS = " union all ".join(
   select order_id from scoped join raw_customers using (customer_id)
   left join order_distance using (order_id) left join c_reviews using (order_id)
   group by order_id having count(*) > 1)""",
+        """select 'order_items: rows kept by enrichment' as check_name, abs(
+  (select count(*) from c_items left join c_distances using (order_id, order_item_id))
+  - (select count(*) from raw_items)) as violations""",
     ]
 )
 

@@ -106,7 +106,10 @@ def _violations(t: Clean) -> DataFrame:
         ),
         "fact_orders: one row per order": Q.duplicate_keys(fact.select("order_id"), ["order_id"]),
     }
-    return M.model_violations(model).unionAll(Q.count_violations(extra))
+    enriched = Q.row_count_change(
+        "order_items: rows kept by enrichment", t.order_items(), model["order_items"]
+    )
+    return M.model_violations(model).unionAll(Q.count_violations(extra)).unionAll(enriched)
 
 
 def _table_counts(t: Clean) -> DataFrame:

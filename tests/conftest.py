@@ -10,8 +10,11 @@ from parcelsight.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(cpus=8, partitions=4)
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session(
+        cpus=8, partitions=4, options={"spark.sql.warehouse.dir": warehouse}
+    )
     yield session
     session.stop()
 

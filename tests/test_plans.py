@@ -99,6 +99,34 @@ def test_an_order_is_counted_once_per_seller_without_a_further_exchange(spark, s
     ]
 
 
+def test_bucketed_tables_meet_without_an_exchange(spark, stored):
+    spark.sql("create database if not exists bucketed_model")
+    try:
+        M.save_model(stored, "bucketed_model", buckets=4)
+        model = M.open_model(spark, "bucketed_model")
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+            by_band = K.review_by_delay_band(model["orders"], model["reviews"])
+            sellers = K.seller_orders(model["orders"], model["order_items"])
+            for question in (by_band, sellers):
+                assert "hashpartitioning(order_id" not in plan(question)
+        want = K.review_by_delay_band(stored["orders"], stored["reviews"])
+        assert by_band.collect() == want.collect()
+    finally:
+        spark.sql("drop database bucketed_model cascade")
+
+
+def test_the_model_answers_plain_sql(spark, stored):
+    M.register_views(stored)
+    (row,) = spark.sql(
+        """select count(*) as orders, count(*) filter (where is_late) as late_orders,
+             median(transit_hours) filter (where is_late) as transit_late
+           from orders where is_late is not null and order_status = 'delivered'"""
+    ).collect()
+    base = K.late_rate_baseline(stored["orders"]).collect()[0]
+    assert (row.orders, row.late_orders) == (base.orders, base.late_orders)
+    assert round(row.transit_late, 1) == K.stage_medians(stored["orders"]).collect()[0].transit_late
+
+
 HOT = {
     "spark__sql__autoBroadcastJoinThreshold": -1,
     "spark__sql__adaptive__autoBroadcastJoinThreshold": -1,

@@ -92,6 +92,13 @@ def test_table_violations_count_every_rule_in_one_pass(spark):
     assert [r.violations for r in empty] == [0, 0]
 
 
+def test_row_count_change(spark):
+    counts = [Q.row_count_change("kept", spark.range(5), spark.range(n)) for n in (5, 7, 0)]
+    assert [c.collect()[0].violations for c in counts] == [0, 2, 5]
+    empty = spark.range(0)
+    assert Q.row_count_change("kept", empty, empty).collect()[0].violations == 0
+
+
 def test_many_to_one_join_keeps_left_rows_and_checks_the_right(spark):
     left = frame(spark, "k int", (1,), (2,), (None,))
     right = frame(spark, "k int, v string", (1, "a"), (None, "never"))

@@ -18,12 +18,18 @@ LAT_BOX = (-34, 6)
 LNG_BOX = (-75, -28)
 
 
+def points_in_box(geolocation: DataFrame) -> DataFrame:
+    """Points of a known prefix inside the box; the rest are geocoding errors."""
+    return geolocation.filter(
+        F.col(LAT).between(*LAT_BOX) & F.col(LNG).between(*LNG_BOX) & F.col(PREFIX).isNotNull()
+    )
+
+
 def coordinates_by_prefix(geolocation: DataFrame) -> DataFrame:
     """Median coordinate of the in-box points of each known zip prefix."""
-    points = geolocation.filter(
-        F.col(LAT).between(*LAT_BOX) & F.col(LNG).between(*LNG_BOX) & F.col(PREFIX).isNotNull()
+    medians = exact_quantiles(
+        points_in_box(geolocation), [PREFIX], {LAT: (LAT, 0.5), LNG: (LNG, 0.5)}
     )
-    medians = exact_quantiles(points, [PREFIX], {LAT: (LAT, 0.5), LNG: (LNG, 0.5)})
     return medians.select(PREFIX, LAT, LNG)
 
 

@@ -243,6 +243,20 @@ def _orphans(check: str, child: str, key: str, parent: str) -> str:
     )
 
 
+def _coverage(points: str) -> str:
+    return " union all ".join(
+        f"""select '{side}' as side, count(distinct {key}) as keys,
+  count(distinct {key}) filter (where {key} not in (select geolocation_zip_code_prefix from {points})) as uncovered,
+  round(count(distinct {key}) filter (where {key} not in (select geolocation_zip_code_prefix from {points}))
+    / count(distinct {key}) * 100, 1) as uncovered_pct
+from raw_{side}"""
+        for side, key in (
+            ("customers", "customer_zip_code_prefix"),
+            ("sellers", "seller_zip_code_prefix"),
+        )
+    )
+
+
 def _required(table: str, source: str, columns: list[str]) -> list[str]:
     return [_nulls(f"{table}: {c} is known", source, f"{c} is null") for c in columns]
 
@@ -519,13 +533,8 @@ where order_id not in (select order_id from raw_items) group by order_status
             _orphans("categories to translation", "raw_products", "product_category_name", "raw_translation"),
         ]
     ),
-    "zip_coverage": " union all ".join(
-        f"""select '{side}' as side, count(distinct {key}) as keys,
-  count(distinct {key}) filter (where geolocation_zip_code_prefix is null) as uncovered,
-  round(count(distinct {key}) filter (where geolocation_zip_code_prefix is null) / count(distinct {key}) * 100, 1) as uncovered_pct
-from raw_{side} left join c_geo on {key} = geolocation_zip_code_prefix"""
-        for side, key in (("customers", "customer_zip_code_prefix"), ("sellers", "seller_zip_code_prefix"))
-    ),
+    "zip_coverage": _coverage("raw_geolocation"),
+    "coordinate_coverage": _coverage("c_geo"),
     "cleaning_report": " union all ".join(
         f"select '{table}' as table_name, '{name}' as measure, {value} as rows from {source}"
         for table, source, name, value in [

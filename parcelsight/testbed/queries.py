@@ -66,22 +66,27 @@ class Clean(TestTables):
         )
 
     @cached_property
-    def items_with_distance(self) -> DataFrame:
+    def items(self) -> DataFrame:
+        return self.order_items().drop("item_ship_ts", "src_discount")
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Items for questions that do not ask for the item's number."""
+        return self.order_items(numbered=False)
+
+    def _with_distance(self, items: DataFrame) -> DataFrame:
         return G.with_distance(
-            self.order_items().select(
-                "order_id",
-                "order_item_id",
-                "product_id",
-                "seller_id",
-                "shipping_limit_date",
-                "price",
-                "freight_value",
-            ),
-            self.raw_orders,
-            self.customers_located,
-            self.sellers_located,
+            items, self.raw_orders, self.customers_located, self.sellers_located
         )
 
+    @cached_property
+    def items_with_distance(self) -> DataFrame:
+        return self._with_distance(self.items)
+
+    @cached_property
+    def lines_with_distance(self) -> DataFrame:
+        return self._with_distance(self.lines.select("order_id", "seller_id"))
+
     @cached_property
     def clean_products(self) -> DataFrame:
         return C.clean_products(self.products(), self.translation(), TRANSLATIONS)
@@ -122,10 +127,8 @@ def _order_items_model(t: Clean) -> DataFrame:
 
 
 def _attached_distances(t: Clean) -> DataFrame:
-    distances = G.item_distances(
-        t.order_items(), t.raw_orders, t.customers_located, t.sellers_located
-    )
-    items = t.order_items().select("order_id", "order_item_id", "seller_id")
+    distances = G.item_distances(t.items, t.raw_orders, t.customers_located, t.sellers_located)
+    items = t.items.select("order_id", "order_item_id", "seller_id")
     return M.attach_distances(items, distances).select(
         "order_id", "order_item_id", "seller_id", _micro("distance_km")
     )
@@ -143,16 +146,16 @@ def _out_of_order(t: Clean) -> DataFrame:
 
 
 def _orphans(t: Clean) -> DataFrame:
-    return Q.orphan_keys(t.raw_orders, "order_id", t.order_items(), "order_id")
+    return Q.orphan_keys(t.raw_orders, "order_id", t.lines, "order_id")
 
 
 def _referential_integrity(t: Clean) -> DataFrame:
-    items = t.order_items()
+    items = t.lines
     return Q.count_violations(
         {
             "items to products": Q.orphan_keys(items, "product_id", t.products(), "product_id"),
             "items to sellers": Q.orphan_keys(items, "seller_id", t.sellers(), "seller_id"),
-            "reviews to orders": Q.orphan_keys(t.reviews(), "order_id", t.raw_orders, "order_id"),
+            "reviews to orders": Q.orphan_keys(t.reviews(False), "order_id", t.raw_orders, "order_id"),
             "categories to translation": Q.orphan_keys(
                 t.products(), "product_category_name", t.translation(), "product_category_name"
             ),
@@ -160,13 +163,13 @@ def _referential_integrity(t: Clean) -> DataFrame:
     )
 
 
-def _zip_coverage(t: Clean) -> DataFrame:
+def _coverage(t: Clean, points: DataFrame) -> DataFrame:
     sides = {
         "customers": (t.customers(), "customer_zip_code_prefix"),
         "sellers": (t.sellers(), "seller_zip_code_prefix"),
     }
     rows = [
-        Q.key_coverage(frame, key, t.coordinates, G.PREFIX).select(
+        Q.key_coverage(frame, key, points, G.PREFIX).select(
             F.lit(name).alias("side"),
             "keys",
             "uncovered",
@@ -186,7 +189,7 @@ def _cleaning_report(t: Clean) -> DataFrame:
     """Flags counted while cleaning: how often true, how often unknown."""
     orders = P.flag_counts(t.clean_orders, ["carrier_before_approved", "delivered_before_carrier"])
     items = P.flag_counts(
-        C.clean_order_items(t.order_items(), t.raw_orders), ["missed_shipping_deadline"]
+        C.clean_order_items(t.lines, t.raw_orders), ["missed_shipping_deadline"]
     )
     parts = [
         part.unpivot([], part.columns, "measure", "rows").withColumn("table_name", F.lit(name))
@@ -197,7 +200,7 @@ def _cleaning_report(t: Clean) -> DataFrame:
 
 def _fact_orders(t: Clean) -> DataFrame:
     fact = S.fact_orders(
-        t.clean_orders, t.customers(), t.items_with_distance, t.clean_reviews
+        t.clean_orders, t.customers(), t.lines_with_distance, t.clean_reviews
     )
     return fact.withColumn("distance_km", _micro("distance_km"))
 
@@ -221,16 +224,16 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
     "late_rate_baseline": lambda t: K.late_rate_baseline(t.clean_orders),
     "stage_medians": lambda t: K.stage_medians(t.clean_orders),
     "late_by_state": lambda t: K.late_by_state(t.clean_orders, t.customers()),
-    "late_by_seller_volume": lambda t: K.late_by_seller_volume(t.clean_orders, t.order_items()),
-    "late_by_seller_rate": lambda t: K.late_by_seller_rate(t.clean_orders, t.order_items()),
+    "late_by_seller_volume": lambda t: K.late_by_seller_volume(t.clean_orders, t.lines),
+    "late_by_seller_rate": lambda t: K.late_by_seller_rate(t.clean_orders, t.lines),
     "late_by_category": lambda t: K.late_by_category(
-        t.clean_orders, t.order_items(), t.clean_products
+        t.clean_orders, t.lines, t.clean_products
     ),
     "late_by_distance_band": lambda t: K.late_by_distance_band(
-        t.clean_orders, t.items_with_distance
+        t.clean_orders, t.lines_with_distance
     ),
     "median_distance_by_state": lambda t: K.median_distance_by_state(
-        t.clean_orders, t.customers(), t.items_with_distance
+        t.clean_orders, t.customers(), t.lines_with_distance
     ),
     "late_by_month": lambda t: K.late_by_month(t.clean_orders),
     "promised_vs_actual_by_month": lambda t: K.promised_vs_actual_by_month(
@@ -243,7 +246,7 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
         t.clean_orders, t.customers(), **FOCUS, since=TIMELINE_START
     ),
     "states_at_same_distance": lambda t: K.states_at_same_distance(
-        t.clean_orders, t.customers(), t.items_with_distance, window=WHOLE_PERIOD, floor=1
+        t.clean_orders, t.customers(), t.lines_with_distance, window=WHOLE_PERIOD, floor=1
     ),
     "episode_size": lambda t: K.episode_size(
         t.clean_orders, t.customers(), **FOCUS, window=EPISODE
@@ -273,15 +276,13 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
     "fact_stage_hours": lambda t: S.fact_stage_hours(t.clean_orders, t.customers()),
     "dim_date": lambda t: S.dim_date(t.clean_orders),
     "dim_state": _dim_state,
-    "seller_rates": lambda t: S.seller_rates(t.clean_orders, t.order_items()),
+    "seller_rates": lambda t: S.seller_rates(t.clean_orders, t.lines),
     "entity_excess": lambda t: K.excess_by_month(
         t.clean_orders, t.customers(), **FOCUS, window=(TIMELINE_START, None)
     ),
     # cleaning and model
     "clean_orders": lambda t: t.clean_orders,
-    "clean_order_items": lambda t: C.clean_order_items(
-        t.order_items().drop("item_ship_ts", "src_discount"), t.raw_orders
-    ),
+    "clean_order_items": lambda t: C.clean_order_items(t.items, t.raw_orders),
     "clean_products": lambda t: t.clean_products,
     "clean_reviews": lambda t: t.clean_reviews,
     "geo_by_prefix": lambda t: t.coordinates.select(
@@ -294,7 +295,7 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
         {c: _micro(c) for c in ("seller_lat", "seller_lng")}
     ),
     "item_distances": lambda t: G.item_distances(
-        t.order_items(), t.raw_orders, t.customers_located, t.sellers_located
+        t.items, t.raw_orders, t.customers_located, t.sellers_located
     ).withColumn("distance_km", _micro("distance_km")),
     "items_with_attached_distance": _attached_distances,
     "order_items_model": _order_items_model,
@@ -307,7 +308,8 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
         Q.rows_with_keys(t.raw_orders, "order_id", _orphans(t)), "order_status"
     ),
     "referential_integrity": _referential_integrity,
-    "zip_coverage": _zip_coverage,
+    "zip_coverage": lambda t: _coverage(t, t.geolocation()),
+    "coordinate_coverage": lambda t: _coverage(t, G.points_in_box(t.geolocation())),
     "cleaning_report": _cleaning_report,
     # profiling
     "profile_orders": lambda t: P.profile(t.clean_orders),
@@ -320,7 +322,7 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
     "category_count": lambda t: P.distinct_count(
         t.clean_products, "product_category", "categories"
     ),
-    "describe_price": lambda t: _describe(t.order_items(), "price"),
+    "describe_price": lambda t: _describe(t.lines, "price"),
     "describe_distance": lambda t: _describe(
         t.items_with_distance.select("order_id", "order_item_id", "distance_km"),
         "distance_km",
@@ -329,7 +331,7 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
     "rows_per_prefix": lambda t: P.rows_per_key(t.geolocation(), G.PREFIX),
     "duplicate_points": lambda t: P.duplicate_rows(t.geolocation()),
     "duplicate_reviews": lambda t: P.duplicate_rows(
-        t.reviews().select("order_id", "review_answer_timestamp")
+        t.reviews(False).select("order_id", "review_answer_timestamp")
     ),
 }
 

@@ -21,6 +21,9 @@ TIMELINE_START = "1995-01-01"
 TRANSLATIONS = {"promo": "promo_goods", "small": "small_goods"}
 
 
+# Part keys per tile when lines are numbered within an order.
+TILE_WIDTH = 1000
+
 # Columns of the test tables. A declared schema saves the footer
 # job that inference would run for every scan.
 SCHEMAS = {
@@ -128,30 +131,46 @@ class TestTables:
             )
         )
 
-    def order_items(self) -> DataFrame:
+    def numbered_lines(self) -> DataFrame:
+        """Order lines with their position within the order.
+
+        A plain row number would sort an order in one task, however many lines it
+        has. Lines are numbered within a tile (line number and part range) instead,
+        and each tile starts where the counts of the order's earlier tiles end.
+        """
+        lines = self.table("lineitem").withColumn("_tile", F.floor(F.col("l_partkey") / TILE_WIDTH))
+        tile = ["l_orderkey", "l_linenumber", "_tile"]
+        order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "_tile")
+        starts = (
+            lines.groupBy(*tile)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_start", F.sum("_n").over(order) - F.col("_n"))
+        )
+        in_tile = W.partitionBy(*tile).orderBy("l_partkey", "l_suppkey", "l_shipdate")
+        return (
+            lines.withColumn("_position", F.row_number().over(in_tile))
+            .join(starts, tile)
+            .withColumn("order_item_id", (F.col("_start") + F.col("_position")).cast("int"))
+        )
+
+    def order_items(self, numbered: bool = True) -> DataFrame:
+        """Items; without their number they are one scan and one join."""
         purchases = self.table("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
         )
-        in_order = W.partitionBy("l_orderkey").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
-        )
-        return (
-            self.table("lineitem")
-            .withColumn("order_item_id", F.row_number().over(in_order))
-            .join(purchases, "l_orderkey")
-            .select(
-                F.col("l_orderkey").alias("order_id"),
-                "order_item_id",
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_suppkey").alias("seller_id"),
-                (F.col("o_orderdate") + _days(4 + F.col("l_quantity").cast("int") % 8)).alias(
-                    "shipping_limit_date"
-                ),
-                F.col("l_extendedprice").alias("price"),
-                (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
-                F.col("l_shipdate").alias("item_ship_ts"),
-                F.col("l_discount").alias("src_discount"),
-            )
+        lines = self.numbered_lines() if numbered else self.table("lineitem")
+        return lines.join(purchases, "l_orderkey").select(
+            F.col("l_orderkey").alias("order_id"),
+            *(["order_item_id"] if numbered else []),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_suppkey").alias("seller_id"),
+            (F.col("o_orderdate") + _days(4 + F.col("l_quantity").cast("int") % 8)).alias(
+                "shipping_limit_date"
+            ),
+            F.col("l_extendedprice").alias("price"),
+            (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
+            F.col("l_shipdate").alias("item_ship_ts"),
+            F.col("l_discount").alias("src_discount"),
         )
 
     def customers(self) -> DataFrame:
@@ -211,9 +230,11 @@ class TestTables:
             F.when(outside, 121.0).otherwise(lng).alias("geolocation_lng"),
         )
 
-    def reviews(self) -> DataFrame:
-        return self.order_items().select(
-            (F.col("order_id") * 100 + F.col("order_item_id")).alias("review_id"),
+    def reviews(self, numbered: bool = True) -> DataFrame:
+        """One review per item; without their id they need no item number."""
+        review_id = (F.col("order_id") * 100 + F.col("order_item_id")).alias("review_id")
+        return self.order_items(numbered).select(
+            *([review_id] if numbered else []),
             "order_id",
             (1 + F.round(F.col("src_discount") * 100).cast("int") % 5).alias("review_score"),
             F.col("item_ship_ts").alias("review_answer_timestamp"),

@@ -23,9 +23,27 @@ ADAPTIVE = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
+MB = 1024 * 1024
+
+
+def sized_for(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for a job that shuffles about so many bytes.
+
+    Partitions of some 200 MB sort in an executor's memory; at least three per core
+    keep the cluster busy. Adaptive execution merges those that turn out small.
+    """
+    partitions = max(3 * cores, -(-shuffled_bytes // (200 * MB)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
+def tune(spark: SparkSession, extra: Mapping[str, str] | None = None) -> SparkSession:
     """Apply the run-time settings to a session and hand it back."""
-    for key, value in {**REQUIRED, **ADAPTIVE}.items():
+    for key, value in {**REQUIRED, **ADAPTIVE, **(extra or {})}.items():
         spark.conf.set(key, value)
     return spark
 

@@ -106,8 +106,9 @@ def exact_quantiles(
         renamed, same = _same(rows, groups, keys)
         placed = rows.join(F.broadcast(renamed) if few_groups else renamed, same)
     else:
-        placed = rows.withColumn("_one", groups.select(F.struct("*")).scalar()).select(
-            "*", "_one.*"
+        whole = groups.select(F.struct("*")).scalar()  # planned and run once
+        placed = rows.withColumn("_all", whole).select(
+            "*", *[f"_all._edges{i}" for i in range(len(columns))]
         )
 
     # 2. counts per gap and per distinct value inside a bracket
@@ -121,7 +122,7 @@ def exact_quantiles(
     ]
     inside = F.floor(F.col("_slot") / SLICES) % 2 == 1
     # The aggregates are constant within a group, so they add no groups here.
-    carried = [*keys, *aggregates]
+    carried = [*keys, *aggregates] if keys else []
     counts = (
         placed.select(*carried, F.inline(F.array(*measures)))
         .groupBy(*carried, "_measure", "_slot", F.when(inside, F.col("_v")).alias("_value"))
@@ -180,10 +181,12 @@ def exact_quantiles(
             .otherwise(low + (high - low) * F.col(f"_frac{i}"))
             .alias(name)
         )
-    return (
-        values.groupBy(*carried)
-        .agg(F.bool_or(F.col("_value").isNull() & (F.col("_n") > 0)).alias("_missed"), *picks)
-        .select(*carried, *results)
+    missed = F.bool_or(F.col("_value").isNull() & (F.col("_n") > 0)).alias("_missed")
+    found = values.groupBy(*carried).agg(missed, *picks).select(*carried, *results)
+    if keys or not aggregates:
+        return found
+    return found.withColumn("_all", whole).select(
+        *[F.col(f"_all.{name}") for name in aggregates], *quantiles
     )
 
 

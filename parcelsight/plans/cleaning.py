@@ -50,10 +50,9 @@ def clean_order_items(
 ) -> DataFrame:
     """Add the missed-deadline flag; the hand-over date itself stays with orders."""
     dates = orders.select("order_id", HANDED_OVER)
-    return (
-        join_many_to_one(items, dates, "order_id", validate=validate)
-        .withColumn("missed_shipping_deadline", missed_deadline("shipping_limit_date", HANDED_OVER))
-        .drop(HANDED_OVER)
+    missed = missed_deadline("shipping_limit_date", HANDED_OVER)
+    return join_many_to_one(items, dates, "order_id", validate=validate).select(
+        *items.columns, missed.alias("missed_shipping_deadline")
     )
 
 

@@ -27,16 +27,18 @@ MB = 1024 * 1024
 
 
 def sized_for(shuffled_bytes: int, cores: int) -> dict[str, str]:
-    """Partition settings for a job that shuffles about so many bytes.
+    """Partition settings for a job whose widest exchange moves about so many bytes.
 
-    Partitions of some 200 MB sort in an executor's memory; at least three per core
-    keep the cluster busy. Adaptive execution merges those that turn out small.
+    Partitions of some 400 MB sort in an executor's memory; at least three per core
+    keep the cluster busy, and adaptive execution merges those that turn out small.
+    Past a hundred thousand partitions the driver's bookkeeping (map tasks times
+    partitions) costs more than the spilling of larger ones.
     """
-    partitions = max(3 * cores, -(-shuffled_bytes // (200 * MB)))
+    partitions = min(100_000, max(3 * cores, -(-shuffled_bytes // (400 * MB))))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(256 * MB),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+        "spark.sql.files.maxPartitionBytes": str(512 * MB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
 

@@ -12,6 +12,7 @@ from parcelsight.operators.rows import latest_per_key
 from parcelsight.plans import geography as G
 from parcelsight.plans import kpis as K
 from parcelsight.plans import model as M
+from parcelsight.session import sized_for
 from parcelsight.testbed import queries as testbed
 
 SF = "/root/testdata/sf0.001"
@@ -217,3 +218,12 @@ def test_a_hot_group_of_quantiles_leaves_the_tasks_as_counts(spark):
     got = {r.k: r.m for r in result.collect()}
     want = {r.k: r.m for r in df.groupBy("k").agg(F.median("x").alias("m")).collect()}
     assert got == want
+
+
+def test_partition_settings_follow_the_shuffled_bytes():
+    def partitions(size, cores):
+        return int(sized_for(size, cores)["spark.sql.shuffle.partitions"])
+
+    assert partitions(10, cores=8) == 24
+    assert partitions(10 * 10**12, cores=4000) == 23842
+    assert partitions(100 * 10**12, cores=4000) == 100_000

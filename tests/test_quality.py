@@ -181,6 +181,12 @@ def test_describe(spark):
     }
 
 
+def test_describe_an_empty_table(spark):
+    got = {r.statistic: r.value for r in P.describe(frame(spark, "x double"), "x").collect()}
+    assert got.pop("count") == 0.0
+    assert len(got) == 7 and set(got.values()) == {None}
+
+
 def test_table_counts(spark):
     got = P.table_counts({"a": spark.range(3), "b": spark.range(0)}).collect()
     assert {r.table_name: r.rows for r in got} == {"a": 3, "b": 0}

@@ -31,11 +31,9 @@ PROMISED = "order_estimated_delivery_date"
 
 def clean_orders(orders: DataFrame) -> DataFrame:
     """Add delay, lateness, three stage durations and two contradiction flags."""
-    delay = delay_days(DELIVERED, PROMISED)
-    return orders.withColumns(
+    return orders.withColumn("delay_days", delay_days(DELIVERED, PROMISED)).withColumns(
         {
-            "delay_days": delay,
-            "is_late": is_late(delay),
+            "is_late": is_late("delay_days"),
             "approval_hours": stage_hours(PURCHASED, APPROVED),
             "preparation_hours": stage_hours(APPROVED, HANDED_OVER),
             "transit_hours": stage_hours(HANDED_OVER, DELIVERED),

@@ -100,18 +100,22 @@ class TestTables:
             .when(episode & (x < 12), 5)
             .otherwise(-x)
         )
+        # Each step only names columns of the step before, so that nothing is
+        # evaluated once per use.
         handed_over = 24 + k * 13 % 240
-        delivered = handed_over + (
+        on_the_way = (
             F.when(k % 61 == 0, -72)
             .when(F.col("_late_days") > 0, 288 + k * 11 % 600)
             .otherwise(48 + k * 11 % 600)
         )
         sent = F.col("_shipped")
+        promised = F.when(sent, F.floor(F.col("_delivered") / 24) - F.col("_late_days"))
         return (
             self.table("orders")
             .join(customers, F.col("o_custkey") == F.col("c_custkey"))
             .join(shipped, "o_orderkey", "left")
-            .withColumn("_late_days", late_days)
+            .withColumns({"_late_days": late_days, "_handed_over": handed_over})
+            .withColumn("_delivered", F.col("_handed_over") + on_the_way)
             .select(
                 k.alias("order_id"),
                 F.col("o_custkey").alias("customer_id"),
@@ -120,14 +124,15 @@ class TestTables:
                 .alias("order_status"),
                 purchase.alias("order_purchase_timestamp"),
                 F.when(k % 97 != 0, purchase + _hours(k % 72)).alias("order_approved_at"),
-                F.when(sent, purchase + _hours(handed_over)).alias("order_delivered_carrier_date"),
-                F.when(sent, purchase + _hours(delivered)).alias("order_delivered_customer_date"),
-                (
-                    purchase
-                    + _days(
-                        F.when(sent, F.floor(delivered / 24) - F.col("_late_days")).otherwise(20)
-                    )
-                ).alias("order_estimated_delivery_date"),
+                F.when(sent, purchase + _hours(F.col("_handed_over"))).alias(
+                    "order_delivered_carrier_date"
+                ),
+                F.when(sent, purchase + _hours(F.col("_delivered"))).alias(
+                    "order_delivered_customer_date"
+                ),
+                (purchase + _days(F.coalesce(promised, F.lit(20)))).alias(
+                    "order_estimated_delivery_date"
+                ),
             )
         )
 

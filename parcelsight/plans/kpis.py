@@ -195,7 +195,7 @@ def median_distance_by_state(
 ) -> DataFrame:
     scoped = in_scope(orders).select("order_id", "customer_id")
     distances = order_distances(items).filter(F.col("distance_km").isNotNull())
-    placed = with_place(scoped, customers, place).join(distances, "order_id")
+    placed = with_place(scoped.join(distances, "order_id"), customers, place)
     medians = exact_quantiles(
         placed.select("order_id", place, "distance_km"),
         [place],
@@ -223,7 +223,7 @@ def states_at_same_distance(
     """Late rate per place among orders that travelled a similar distance."""
     scoped = in_scope(orders, *window).select("order_id", "customer_id", "is_late")
     distances = order_distances(items).filter(F.col("distance_km").between(*distance_km))
-    placed = with_place(scoped, customers, place).join(distances, "order_id")
+    placed = with_place(scoped.join(distances, "order_id"), customers, place)
     medians = exact_quantiles(
         placed.select("order_id", place, "distance_km", "is_late"),
         [place],

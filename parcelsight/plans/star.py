@@ -39,25 +39,26 @@ def fact_orders(
     place: str = PLACE,
 ) -> DataFrame:
     """One row per order in scope, with distance, bands and review score."""
-    placed = with_place(in_scope(orders), customers, place)
-    return (
-        placed.join(order_distances(items), "order_id", "left")
+    # Joins on order_id come first: stored by order, they need no exchange.
+    described = (
+        in_scope(orders)
+        .join(order_distances(items), "order_id", "left")
         .join(reviews.select("order_id", "review_score"), "order_id", "left")
-        .select(
-            "order_id",
-            F.to_date(PURCHASED).alias("order_date"),
-            place,
-            "is_late",
-            "delay_days",
-            *STAGE_LABELS,
-            *[days.alias(name) for name, days in promised_and_actual_days().items()],
-            "distance_km",
-            DISTANCE_BANDS.label("distance_km").alias("distance_bucket"),
-            DISTANCE_BANDS.position("distance_km").alias("distance_bucket_order"),
-            DELAY_BANDS.label("delay_days").alias("delay_bucket"),
-            DELAY_BANDS.position("delay_days").alias("delay_bucket_order"),
-            "review_score",
-        )
+    )
+    return with_place(described, customers, place).select(
+        "order_id",
+        F.to_date(PURCHASED).alias("order_date"),
+        place,
+        "is_late",
+        "delay_days",
+        *STAGE_LABELS,
+        *[days.alias(name) for name, days in promised_and_actual_days().items()],
+        "distance_km",
+        DISTANCE_BANDS.label("distance_km").alias("distance_bucket"),
+        DISTANCE_BANDS.position("distance_km").alias("distance_bucket_order"),
+        DELAY_BANDS.label("delay_days").alias("delay_bucket"),
+        DELAY_BANDS.position("delay_days").alias("delay_bucket_order"),
+        "review_score",
     )
 
 

@@ -12,6 +12,7 @@ from parcelsight.operators.rows import latest_per_key
 from parcelsight.plans import geography as G
 from parcelsight.plans import kpis as K
 from parcelsight.plans import model as M
+from parcelsight.plans import star as S
 from parcelsight.session import sized_for
 from parcelsight.testbed import queries as testbed
 
@@ -108,7 +109,10 @@ def test_bucketed_tables_meet_without_an_exchange(spark, stored):
         with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
             by_band = K.review_by_delay_band(model["orders"], model["reviews"])
             sellers = K.seller_orders(model["orders"], model["order_items"])
-            for question in (by_band, sellers):
+            fact = S.fact_orders(
+                model["orders"], model["customers"], model["order_items"], model["reviews"]
+            )
+            for question in (by_band, sellers, fact):
                 assert "hashpartitioning(order_id" not in plan(question)
         want = K.review_by_delay_band(stored["orders"], stored["reviews"])
         assert by_band.collect() == want.collect()

@@ -6,7 +6,7 @@ Raw tables are ``<raw>/<table>.csv``; clean and model tables ``<dir>/<table>``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelsight.operators.profile import describe, distinct_count, value_counts
@@ -51,17 +51,24 @@ def clean_order_items(spark: SparkSession, raw: str, clean: str) -> Report:
 
 
 def clean_products(spark: SparkSession, raw: str, clean: str) -> Report:
-    products = C.clean_products(_raw(spark, raw, "products"), _raw(spark, raw, "translation"))
+    products = C.clean_products(
+        _raw(spark, raw, "products"), _raw(spark, raw, "translation"), validate=True
+    )
     path, category = f"{clean}/products", F.col("product_category")
     report = write_observed(products, path, {"without_category": F.count_if(category.isNull())})
     return report | {"categories": distinct_count(spark.read.parquet(path), "product_category")}
 
 
 def clean_reviews(spark: SparkSession, raw: str, clean: str) -> Report:
-    path = f"{clean}/reviews"
-    report = write_observed(C.clean_reviews(_raw(spark, raw, "reviews")), path)
+    path, seen = f"{clean}/reviews", Observation()
+    # A review without an answer date counts as the latest, so say how many there are.
+    undated = F.count_if(F.col("review_answer_timestamp").isNull()).alias("unknown_answer_date")
+    reviews = _raw(spark, raw, "reviews").observe(
+        seen, F.count(F.lit(1)).alias("raw_rows"), undated
+    )
+    report = write_observed(C.clean_reviews(reviews), path)
     scores = value_counts(spark.read.parquet(path), "review_score", by_value=True)
-    return report | {"scores": scores}
+    return report | seen.get | {"scores": scores}
 
 
 def clean_geography(spark: SparkSession, raw: str, clean: str) -> Report:

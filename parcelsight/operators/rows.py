@@ -44,9 +44,16 @@ def lookup_with_overrides(
     value: str,
     output: str,
     overrides: Mapping[str, str],
+    *,
+    validate: bool = False,
 ) -> DataFrame:
-    """Map ``df[key]`` through ``table(key, value)``; overrides beat the table."""
-    joined = df.join(table.select(key, F.col(value).alias(output)), key, "left")
+    """Map ``df[key]`` through ``table(key, value)``; overrides beat the table.
+
+    A key listed twice has no last row to win in a distributed table: ``validate``
+    refuses it.
+    """
+    values = table.select(key, F.col(value).alias(output))
+    joined = join_many_to_one(df, values, key, validate=validate)
     if not overrides:
         return joined
     fixed = None

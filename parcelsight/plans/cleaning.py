@@ -58,6 +58,8 @@ def clean_products(
     products: DataFrame,
     translation: DataFrame,
     overrides: Mapping[str, str] = MISSING_TRANSLATIONS,
+    *,
+    validate: bool = False,
 ) -> DataFrame:
     """Reduce products to one translated category each; no category stays none."""
     return lookup_with_overrides(
@@ -67,6 +69,7 @@ def clean_products(
         value="product_category_name_english",
         output="product_category",
         overrides=overrides,
+        validate=validate,
     ).select("product_id", "product_category")
 
 

@@ -291,6 +291,7 @@ VIOLATIONS = " union all ".join(
         _orphans("order_items: product_id in products", "c_items", "product_id", "c_products"),
         _orphans("order_items: seller_id in sellers", "c_items", "seller_id", "raw_sellers"),
         _bad_key("lineitem", "lineitem", "l_orderkey, l_linenumber"),
+        _nulls("raw reviews: review_answer_timestamp is known", "raw_reviews", "review_answer_timestamp is null"),
         """select 'fact_orders: one row per order' as check_name, count(*) as violations from (
   select order_id from scoped join raw_customers using (customer_id)
   left join order_distance using (order_id) left join c_reviews using (order_id)

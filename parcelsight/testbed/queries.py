@@ -109,6 +109,9 @@ def _violations(t: Clean) -> DataFrame:
         "lineitem: key l_orderkey, l_linenumber": Q.primary_key_violations(
             t.table("lineitem"), ["l_orderkey", "l_linenumber"]
         ),
+        "raw reviews: review_answer_timestamp is known": Q.null_violations(
+            t.reviews(False), ["review_answer_timestamp"]
+        ),
         "fact_orders: one row per order": Q.duplicate_keys(fact.select("order_id"), ["order_id"]),
     }
     enriched = Q.row_count_change(

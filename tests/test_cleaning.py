@@ -94,6 +94,14 @@ def test_categories_come_from_the_table_then_the_overrides(spark):
     assert translated(spark, None, "not listed") == [None, None]
 
 
+def test_a_category_translated_twice_is_refused(spark):
+    table = spark.createDataFrame(
+        [("a", "x"), ("a", "y")], "product_category_name string, product_category_name_english string"
+    )
+    with pytest.raises(QualityError, match="product_category_name is unique"):
+        C.clean_products(products(spark, "a"), table, validate=True)
+
+
 REVIEWS = "review_id string, order_id string, review_score int, review_answer_timestamp timestamp_ntz"
 
 

@@ -83,6 +83,8 @@ def test_the_chain_from_csv_to_star(spark, raw, tmp_path, capsys):
         "orders: carrier_before_approved = 0",
         "order_items: missed_shipping_deadline = 1",
         "products: without_category = 1",
+        "reviews: raw_rows = 3",
+        "reviews: unknown_answer_date = 0",
         "geography: unknown_distance = 1",
         "model: order_items = 3",
         "star: fact_orders = 2",

@@ -39,9 +39,14 @@ def month_index(month: str | Column) -> Column:
     return F.year(col(month)) * 12 + F.month(col(month))
 
 
+def _clock_hour(timestamp: str | Column) -> Column:
+    """Running number of the clock hour; on zone-less timestamps no zone is involved."""
+    return F.floor(F.unix_timestamp(col(timestamp)) / F.lit(3600.0))
+
+
 def hour_boundaries(start: str | Column, end: str | Column) -> Column:
     """Clock hours crossed between two timestamps (10:59 to 12:01 is 2)."""
-    return F.timestamp_diff("HOUR", F.date_trunc("HOUR", col(start)), F.date_trunc("HOUR", col(end)))
+    return _clock_hour(end) - _clock_hour(start)
 
 
 def days_between_hours(start: str | Column, end: str | Column) -> Column:

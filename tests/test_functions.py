@@ -60,6 +60,18 @@ def test_hour_boundaries_count_clock_hours(values, a, b, expected):
     assert pair(values, a, b, S.hour_boundaries("a", "b")) == expected
 
 
+def test_hour_boundaries_do_not_depend_on_the_session_zone(spark, values):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        # This zone skipped midnight to one o'clock on 2018-11-04.
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        hours = S.hour_boundaries("a", "b")
+        assert pair(values, "2018-11-03 22:30", "2018-11-04 02:30", hours) == 4
+        assert pair(values, "2018-11-04 00:30", "2018-11-04 01:30", hours) == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_days_between_hours_is_a_double(values):
     assert pair(values, "2018-01-01", "2018-01-02 12:00", S.days_between_hours("a", "b")) == 1.5
 

@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelsight.functions.bands import DELAY_BANDS, DISTANCE_BANDS
-from parcelsight.operators.quality import QualityError
+from parcelsight.operators.quality import (
+    QualityError,
+    duplicate_keys,
+    null_violations,
+    orphan_keys,
+    require,
+)
 from parcelsight.plans.alerts import alerts
 from parcelsight.plans.kpis import (
     PLACE,
@@ -121,17 +127,43 @@ def build_star(spark: SparkSession, model: Mapping[str, DataFrame]) -> dict[str,
     }
 
 
-def check_fact_grain(fact: DataFrame, orders: DataFrame) -> None:
-    """Raise unless the fact has exactly one row per order in scope."""
-    sides = {"fact": fact, "scope": in_scope(orders)}
-    rows = {name: frame.count() for name, frame in sides.items()}
-    if rows["fact"] != rows["scope"]:
+def _require_grain(fact_rows: int, scope_rows: int) -> None:
+    if fact_rows != scope_rows:
         raise QualityError(
-            f"fact has {rows['fact']} rows for {rows['scope']} orders in scope: a join multiplies orders"
+            f"fact has {fact_rows} rows for {scope_rows} orders in scope: a join changed the grain"
         )
 
 
-def write_star(star: Mapping[str, DataFrame], orders: DataFrame, out_dir: str) -> dict[str, int]:
-    """Check the fact's grain, then write every table; returns the rows written."""
-    check_fact_grain(star["fact_orders"], orders)
-    return {name: write_parquet(frame, f"{out_dir}/{name}") for name, frame in star.items()}
+def check_fact_grain(fact: DataFrame, orders: DataFrame) -> None:
+    """Raise unless the fact has exactly one row per order in scope."""
+    _require_grain(fact.count(), in_scope(orders).count())
+
+
+def check_fact_joins(model: Mapping[str, DataFrame]) -> None:
+    """Raise if a join of the fact would multiply or lose orders.
+
+    Reads keys only, so a bad export stops before the fact itself is computed.
+    """
+    orders, customers = in_scope(model["orders"]), model["customers"]
+    require(
+        {
+            "orders: key order_id": duplicate_keys(orders, ["order_id"]),
+            "customers: key customer_id": duplicate_keys(customers, ["customer_id"]),
+            "reviews: key order_id": duplicate_keys(model["reviews"], ["order_id"]),
+            "orders: customer_id is known": null_violations(orders, ["customer_id"]),
+            "orders: customer_id in customers": orphan_keys(
+                orders, "customer_id", customers, "customer_id"
+            ),
+        }
+    )
+
+
+def write_star(
+    star: Mapping[str, DataFrame], model: Mapping[str, DataFrame], out_dir: str
+) -> dict[str, int]:
+    """Check the fact's joins, write every table, and compare the fact's written rows
+    with the orders in scope; returns the rows written."""
+    check_fact_joins(model)
+    counts = {name: write_parquet(frame, f"{out_dir}/{name}") for name, frame in star.items()}
+    _require_grain(counts["fact_orders"], in_scope(model["orders"]).count())
+    return counts

@@ -78,16 +78,33 @@ def test_fact_places_can_be_any_customer_column(spark):
     assert long.columns == ["order_id", "order_date", REGION, "is_late", "stage", "stage_order", "hours"]
 
 
-def test_the_export_stops_before_writing_when_a_join_multiplies_orders(spark, model, tmp_path):
-    star = S.build_star(spark, model | {"reviews": model["reviews"].union(model["reviews"].limit(1))})
-    with pytest.raises(QualityError, match="multiplies"):
-        S.write_star(star, model["orders"], str(tmp_path / "star"))
+@pytest.mark.parametrize(
+    "change, message",
+    [
+        (lambda m: {"reviews": m["reviews"].union(m["reviews"].limit(1))}, "reviews: key"),
+        (lambda m: {"customers": m["customers"].union(m["customers"].limit(1))}, "customers: key"),
+        (lambda m: {"customers": m["customers"].limit(3)}, "customer_id in customers"),
+    ],
+)
+def test_the_export_stops_before_writing_when_a_join_would_change_the_grain(
+    spark, model, tmp_path, change, message
+):
+    broken = model | change(model)
+    with pytest.raises(QualityError, match=message):
+        S.write_star(S.build_star(spark, broken), broken, str(tmp_path / "star"))
     assert not (tmp_path / "star").exists()
 
 
+def test_the_grain_check_compares_row_counts(model):
+    scope = K.in_scope(model["orders"])
+    S.check_fact_grain(scope, model["orders"])
+    with pytest.raises(QualityError, match="changed the grain"):
+        S.check_fact_grain(scope.union(scope.limit(1)), model["orders"])
+
+
 def test_the_export_writes_every_table(spark, model, tmp_path):
     star = S.build_star(spark, model)
-    counts = S.write_star(star, model["orders"], str(tmp_path))
+    counts = S.write_star(star, model, str(tmp_path))
     assert set(counts) == set(star)
     for name, rows in counts.items():
         assert spark.read.parquet(str(tmp_path / name)).count() == rows

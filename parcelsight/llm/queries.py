@@ -6,21 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelsight.llm import bpe, exact
+from parcelsight.llm import bpe, exact, langid, near
 from parcelsight.llm.common import read
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.decisions(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_language": op5_language,
     "op7_bpe": op7_bpe,
+    "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

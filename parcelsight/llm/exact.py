@@ -33,6 +33,10 @@ _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # A run takes what is there and ends: stores are closed after each commit, and what is
+    # uploaded is the log of changes.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -106,7 +110,7 @@ def decisions(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> D
             "doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest"
         )
     advance(spark, records, made.schema, state)
-    held = state_table(spark, state)
+    held = stored(state_table(spark, state), "exact-held")
     grouped = rows.join(held, "digest").select(
         "digest",
         "doc_id",

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelsight.llm import bpe, exact, langid, near
+from parcelsight.llm import bpe, exact, langid, mixing, near
 from parcelsight.llm.common import read
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.chosen(read(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
@@ -30,6 +34,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op5_language": op5_language,
     "op7_bpe": op7_bpe,
     "op9_near_dedup": op9_near_dedup,
@@ -37,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_mixing": mixing.sql(),
     "op10_exact_dedup": r"""
 with keyed as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as body

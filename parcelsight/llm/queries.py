@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelsight.llm import bpe, exact, langid, mixing, near
+from parcelsight.llm import bpe, counts, exact, langid, mixing, near, urls
 from parcelsight.llm.common import read
 
 
@@ -20,10 +20,29 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+#: The rules of the contract (host, path, verdict); fixed values.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.judged(read(spark, sf_dir, "pages").select("page_id", "url"), urls.rules_of(spark, URL_RULES))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = counts.token_counts(read(spark, sf_dir, "documents"))
+    return found.withColumn("over_limit", F.col("n_tokens") > counts.LIMIT)
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
@@ -36,13 +55,36 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op5_language": op5_language,
+    "op6_url_filter": op6_url_filter,
     "op7_bpe": op7_bpe,
+    "op8_token_counts": op8_token_counts,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op1_mixing": mixing.sql(),
+    "op6_url_filter": r"""
+with parts as (
+  select page_id,
+         coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path
+  from pages
+), found as (
+  select *, '.' || host as dotted from parts
+), ruled as (
+  select page_id, host, path,
+         case when ends_with(dotted, '.example.net') and starts_with(path, '/en/') then 'example.net/en/'
+              when ends_with(dotted, '.example.com') and starts_with(path, '/de/') then 'example.com/de/'
+              when ends_with(dotted, '.org') and starts_with(path, '/fr/') then 'org/fr/'
+              when ends_with(dotted, '.net') and starts_with(path, '/') then 'net/' end as rule
+  from found
+)
+select page_id, host, path, rule,
+       case when rule in ('net/', 'example.com/de/') then 'block' else 'allow' end as verdict
+from ruled
+""",
     "op10_exact_dedup": r"""
 with keyed as (
   select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as body

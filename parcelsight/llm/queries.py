@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelsight.llm import bpe, counts, exact, langid, mixing, near, urls
+from parcelsight.llm import bpe, counts, exact, langid, mixing, near, secrets, urls
 from parcelsight.llm.common import read
 
 
@@ -14,6 +14,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.chosen(read(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is the owner; its repositories are its languages."""
+    docs = read(spark, sf_dir, "documents")
+    found = secrets.scan(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+    return found.withColumn("spans", secrets.joined())
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
@@ -54,6 +61,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_secrets": op2_secrets,
     "op5_language": op5_language,
     "op6_url_filter": op6_url_filter,
     "op7_bpe": op7_bpe,

@@ -145,11 +145,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     next smaller id (after the last: the first).
 
     Rows are dealt by ranges of descending ids and sorted there; rows of one id are ordered by
-    text, and a null id comes last. A task goes through its rows with one row in hand, and
+    a hash of their text, and a null id comes last. A task goes through its rows with one row in hand, and
     hands its first text on, with its last one open. These ends, one pair per task, meet in a
     second, small step. A single document is its own next one.
     """
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     given = docs.select("doc_id", text_of().alias("text"))
     dealt = given.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("task", F.spark_partition_id())
     kind = given.schema["doc_id"].dataType.simpleString()

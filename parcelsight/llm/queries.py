@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelsight.llm import bpe, counts, exact, langid, mixing, near, phrases, secrets, urls
+from parcelsight.llm import bpe, counts, exact, langid, lm, mixing, near, phrases, secrets, urls
 from parcelsight.llm.common import read
 
 
@@ -21,6 +21,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("spans", secrets.joined())
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(read(spark, sf_dir, "documents"))
+
+
 def op4_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.with_next(read(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
+    "op3_lm_score": op3_lm_score,
     "op4_phrase_fingerprint": op4_phrase_fingerprint,
     "op5_language": op5_language,
     "op6_url_filter": op6_url_filter,

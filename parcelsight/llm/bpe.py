@@ -6,7 +6,8 @@ encoded left to right, taking the longest token that starts at a position and is
 compatible with the one before; where none is left, the last token is given up for its
 next shorter prefix and the position is closed for good. Every position is closed at most
 once, which bounds the work by the word's length. Compatibility of two tokens is
-found by undoing their merges, latest first, and remembered.
+found by undoing their merges, latest first, and remembered. This needs a vocabulary
+whose every token is the merge of two earlier ones, as training gives; others are refused.
 
 Longest matches come from an Aho-Corasick automaton, whose keys are texts: bytes are
 mapped to Latin-1 for it.
@@ -57,11 +58,12 @@ class Codec:
         self.automaton.make_automaton()
 
     def _parts(self, token: int) -> tuple[int, ...]:
-        """The two tokens whose merge gives this one; the byte itself for a byte; more for a
-        token that merges never reach."""
+        """The two tokens whose merge gives this one, or the byte itself for a byte."""
         found = self.parts.get(token)
         if found is None:
             found = self.parts[token] = tuple(merge(self.bytes[token], self.ranks, below=token))
+            if len(found) > 2:
+                raise ValueError(f"token {token} is no merge of two earlier ones")
         return found
 
     def _prefix(self, token: int) -> int:
@@ -79,7 +81,8 @@ class Codec:
         if found is None:
             if len(self.pairs) >= 2 * self.memo:
                 self.pairs.clear()
-            found = self.pairs[left, right] = len(self._parts(right)) <= 2 and (left < 0 or self._compatible(left, right))
+            self._parts(right)
+            found = self.pairs[left, right] = left < 0 or self._compatible(left, right)
         return found
 
     def _compatible(self, left: int, right: int) -> bool:

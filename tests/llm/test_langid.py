@@ -1,0 +1,81 @@
+"""The byte network: gradients, held-out accuracy, odd texts."""
+
+import zlib
+
+import numpy as np
+import pytest
+from parcelsight.llm import gru, langid
+
+
+def test_gradients_of_the_layer_equal_differences():
+    rng = np.random.default_rng(0)
+    layer = {k: w.astype(np.float64) for k, w in gru.new_layer(rng, 7, 3).items()}
+    symbols = rng.integers(0, 7, (5, 4))
+    start, aim = np.zeros((3, 4)), rng.normal(size=(5, 3, 4))
+
+    def loss():
+        return float((gru.states_and_tape(layer, symbols, start)[0].astype(np.float64) * aim).sum())
+
+    _, tape = gru.states_and_tape(layer, symbols, start)
+    grads = gru.gradients(layer, symbols, tape, aim)
+    for name, weights in layer.items():
+        for place in list(np.ndindex(weights.shape))[::5]:
+            old = weights[place]
+            weights[place] = old + 1e-2
+            up = loss()
+            weights[place] = old - 1e-2
+            down = loss()
+            weights[place] = old
+            assert (up - down) / 2e-2 == pytest.approx(grads[name][place], abs=2e-3)
+
+
+def test_states_without_and_with_a_tape_are_equal():
+    rng = np.random.default_rng(1)
+    layer = gru.new_layer(rng, 9, 4)
+    symbols = rng.integers(0, 9, (6, 5))
+    start = rng.normal(size=(4, 5)).astype(np.float32)
+    assert np.allclose(gru.states(layer, symbols, start), gru.states_and_tape(layer, symbols, start)[0])
+
+
+def test_held_out_documents_are_recognised(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = langid.predict(docs, langid.train(docs)).where(langid.held_out()).select("doc_id", "lang", "lang_pred", "score").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in found)
+    assert np.mean([r.lang == r.lang_pred for r in found]) >= 0.97
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_odd_texts_and_rows(table):
+    words = {"en": "the thing of and with ", "de": "der und nicht schön "}
+    docs = [(i, words[lang] * 9, lang) for i, lang in enumerate(["en", "de"] * 30)]
+    odd = [(900, None, "en"), (901, "", "en"), (902, "123 .,| 45", "en"), (903, "und der " * 20_000, None), (904, words["en"] * 5, None), (904, words["en"] * 5, None)]
+    model = langid.train(table(docs + odd))
+    found = {r.doc_id: r for r in langid.predict(table(docs + odd), model).collect()}
+    assert model.languages == ["de", "en"]
+    assert [found[i].lang_pred for i in (900, 901, 902)] == ["und"] * 3
+    assert [found[i].score for i in (900, 901, 902)] == [0.0] * 3
+    assert found[903].lang_pred == "de" and found[904].lang_pred == "en"
+    kept = langid.keep_known(table(docs + odd))
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(60), 903, 904, 904]
+
+
+def test_nothing_to_learn_from(table):
+    assert langid.train(table([])) is None
+    assert langid.predict(table([]), None).collect() == []
+    unlabelled = table([(2, "some words here")])
+    assert [r.lang_pred for r in langid.predict(unlabelled, langid.train(unlabelled)).collect()] == ["und"]
+
+
+def test_clashing_names(spark, table):
+    docs = table([(i, "the thing of", "en") for i in range(9)])
+    with pytest.raises(ValueError):
+        langid.predict(docs.withColumnRenamed("n_chars", "score"), None)
+    odd = docs.withColumnRenamed("n_chars", "_score")
+    assert langid.keep_known(odd).columns == odd.columns
+
+
+def test_the_last_part_of_a_text_counts(table):
+    model = langid.train(table([(i, w * 20, x) for i in range(30) for w, x in (("the of and ", "en"), ("der und ß ", "de"))]))
+    long = "the of and " * 30 + "der und ß " * 3_000
+    assert model.documents([long])[0] == ["de"]

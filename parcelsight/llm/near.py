@@ -13,13 +13,14 @@ Improved consistent weighted sampling draws BANDS x ROWS samples per text; a sam
 texts agrees with the probability of their similarity. Texts that agree in all rows of a
 band meet in a bucket. At similarity 0.8 a pair meets with probability 0.9992.
 
-Equal texts (lower case, blanks as one space) are one node. In a bucket of up to PAIRS nodes
-every pair is verified. In larger ones all nodes are compared with one leader, and as 1 -
-similarity is a metric, nodes close to the leader need no comparison among themselves, nor
-with a node further from the leader than theirs by more than 1 - LEAST; what is left goes
-to the next round without the leader. So no link between nodes of a bucket is lost and a
-large group costs one comparison per node. Linked nodes form classes (alternating star
-contraction, in Spark).
+Equal texts (lower case, blanks as one space) are one node. Each bucket has a leader, the
+node that shares most buckets, and every node of it is compared with the leader: one
+comparison per node, however large the group. Linked nodes form components. A node that
+is in a bucket but not in the component of its leader is far from it; far nodes are compared
+with all nodes of that component and with the other far nodes there, in cells of FAR far nodes
+and PART others, so a pair of nodes that meet in a bucket is either compared or known to be
+in one component: no link that counts is lost, and no group meets in one task. Linked nodes
+form the classes (alternating star contraction, in Spark).
 
 Null and empty texts are equal to each other, so they are one class. Repeated rows are in
 one class. The class id is the smallest doc_id in it (null only if all are). Other columns
@@ -31,6 +32,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,7 +42,8 @@ from parcelsight.llm.common import BLANKS, stored, text_of
 LEAST = 0.8
 COMMON = 0.005
 BANDS, ROWS = 10, 3
-PAIRS = 8
+#: Nodes that are compared together: far ones, and those they are compared with.
+FAR, PART = 64, 512
 #: Texts of a block that reports common shingles.
 TEXTS = 4_096
 
@@ -230,30 +233,77 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
     return found.select("left", "right", "left_body", "right_body").mapInArrow(run, "left binary, right binary, likeness double")
 
 
-def links(members: DataFrame, texts: DataFrame, weights: Weights, least: float = LEAST) -> list[DataFrame]:
-    """Stored tables of linked nodes (left < right), from bucket members (bucket, node)."""
+def links(members: DataFrame, texts: DataFrame, weights: Weights, least: float = LEAST) -> DataFrame:
+    """Links (left, right) that connect all nodes that alike pairs of one bucket connect.
+
+    members: bucket, node; texts: node, body of each."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    shared = members.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("shared"))
+    leaders = members.join(shared, "node").groupBy("bucket").agg(F.max(F.struct("shared", "node")).node.alias("leader"))
+    pairs = members.join(leaders, "bucket").where("node != leader")
+    pairs = pairs.select(F.col("leader").alias("left"), F.col("node").alias("right")).distinct()
+    seen = stored(_verified(pairs, texts, weights), "near-pairs")
+    found = seen.where(F.col("likeness") >= least).select("left", "right")
+    roots = stored(components(found), "near-roots")
+    far = _rooted(_rooted(seen.where(F.col("likeness") < least), roots, "left", "root"), roots, "right", "home")
+    far = far.where("root != home").select("root", F.col("right").alias("node"), "home").distinct()
+    return found.unionByName(_far_links(stored(far, "near-far"), roots, texts, weights, least))
+
+
+def _rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
+    """The component of a node column, which is the node itself if it has no link."""
+    own = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
+    return df.join(own, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
+
+
+def _far_links(far: DataFrame, roots: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
+    """One link of each far node (root, node, home) to every component that holds a node like it,
+    among the nodes of component `root` and the far nodes there."""
+    sent = far.sparkSession.sparkContext.broadcast(weights)
+    wanted = far.select("root").distinct()
+    inside = roots.join(wanted, "root").select("root", "node").unionByName(wanted.select("root", F.col("root").alias("node")))
+    every = inside.withColumn("home", F.col("root")).unionByName(far)
+    sizes = every.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.join(far.groupBy("root").agg(F.count(F.lit(1)).alias("n_far")), "root")
+    # Two nodes have been compared as node and leader.
+    sizes = sizes.where("n > 2").select(
+        "root", F.ceil(F.col("n_far") / FAR).cast("int").alias("blocks"), F.ceil(F.col("n") / PART).cast("int").alias("parts")
+    )
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    blocks = far.join(sizes, "root").select("root", "node", "home", own("blocks").alias("block"), numbers("parts").alias("part"))
+    parts = every.join(sizes, "root").select("root", "node", "home", numbers("blocks").alias("block"), own("parts").alias("part"))
+    cells = blocks.withColumn("is_far", F.lit(True)).unionByName(parts.withColumn("is_far", F.lit(False)))
+
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        return _compared(cell, sent.value, least)
+
+    return cells.join(texts, "node").groupBy("root", "block", "part").applyInPandas(compare, "left binary, right binary")
+
+
+def _compared(cell: pd.DataFrame, weights: Weights, least: float) -> pd.DataFrame:
+    """Links of the far nodes of a cell to the others, one for each home."""
+    far, others = cell[cell["is_far"]], cell[~cell["is_far"]]
     found = []
-    active = members
-    while True:
-        sized = active.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        grouped = stored(active.join(sized, "bucket"), "near-buckets")
-        small, large = grouped.where(F.col("n") <= PAIRS), grouped.where(F.col("n") > PAIRS)
-        others = small.select("bucket", F.col("node").alias("right"))
-        every = small.select("bucket", F.col("node").alias("left")).join(others, "bucket").where(F.col("left") < F.col("right"))
-        to_leader = large.where("node != leader").select(F.col("leader").alias("left"), F.col("node").alias("right"))
-        pairs = every.select("left", "right").unionByName(to_leader).distinct()
-        seen = stored(_verified(pairs, texts, weights), "near-pairs")
-        found.append(seen.where(F.col("likeness") >= least).select("left", "right"))
-        apart = (
-            large.where("node != leader")
-            .join(seen.select(F.col("left").alias("leader"), F.col("right").alias("node"), "likeness"), ["leader", "node"])
-            .select("bucket", "node", (1 - F.col("likeness")).alias("far"))
-        )
-        far = apart.where(F.col("far") > 1 - least).groupBy("bucket").agg(F.min("far").alias("nearest"))
-        rest = apart.join(far, "bucket").where(F.col("far") >= F.col("nearest") - (1 - least)).select("bucket", "node")
-        active = stored(rest, "near-rest")
-        if active.isEmpty():
-            return found
+    if len(far) and len(others):
+        numbers, owners, counts = sh.counted([b.encode() for b in others["body"]])
+        heavy = weights(numbers, counts)
+        known, places = np.unique(numbers, return_inverse=True)
+        totals = np.bincount(owners, heavy, len(others))
+        for node, home, body in zip(far["node"], far["home"], far["body"]):
+            own, _, own_counts = sh.counted([body.encode()])
+            own_heavy = weights(own, own_counts)
+            dense = np.zeros(len(known) + 1)
+            at, there = _lookup(known, own)
+            dense[at[there]] = own_heavy[there]
+            both = np.bincount(owners, np.minimum(heavy, dense[places]), len(others))
+            alike = both / np.maximum(totals + own_heavy.sum() - both, 1e-300) >= least
+            first = {}
+            for other, other_home in zip(others["node"][alike], others["home"][alike]):
+                if other_home != home:
+                    first.setdefault(other_home, other)
+            found += [(min(node, other), max(node, other)) for other in first.values()]
+    return pd.DataFrame(found, columns=["left", "right"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -289,12 +339,8 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     wanted = wanted.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
     texts = nodes.join(wanted.hint("shuffle_hash"), F.expr("doc_id <=> _id and node = _node"))
     texts = stored(texts.select("node", "body").dropDuplicates(["node"]), "near-texts")
-    found = links(members, texts, weights, least)
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.unionByName(more)
-    rooted = signed.select("doc_id", "node").join(components(edges), "node", "left")
-    rooted = rooted.select("doc_id", "node", F.coalesce("root", "node").alias("root"))
+    roots = components(links(members, texts, weights, least))
+    rooted = _rooted(signed.select("doc_id", "node"), roots, "node", "root")
     sized = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return rooted.join(sized, "root").select(
         "doc_id", "node", "class_id", "class_size", F.expr("doc_id <=> class_id").alias("kept")

@@ -62,12 +62,13 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     words, owners = word_hashes(texts)
     n = len(words)
     total = np.zeros(n, np.uint64)
-    for j, odd in enumerate(_ODD[:WORDS]):
+    for j, odd in enumerate(_ODD[: min(n, WORDS)]):
         same = owners[j:] == owners[: n - j]
         total[: n - j] += np.where(same, words[j:] * np.uint64(odd), np.uint64(0))
     # A start counts if all its words are there, or if it starts a short text.
     full = np.zeros(n, bool)
-    full[: max(0, n - WORDS + 1)] = owners[WORDS - 1 :] == owners[: max(0, n - WORDS + 1)]
+    if n >= WORDS:
+        full[: n - WORDS + 1] = owners[WORDS - 1 :] == owners[: n - WORDS + 1]
     opens = np.ones(n, bool)
     opens[1:] = owners[1:] != owners[:-1]
     taken = full | opens

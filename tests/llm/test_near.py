@@ -74,16 +74,15 @@ def test_classes_of_the_documents(documents, table):
     assert got == plain_classes(rows)
 
 
-def test_leader_rounds_lose_no_link(spark):
+def test_one_bucket_loses_no_link(spark, monkeypatch):
     """One bucket with everything: the links must connect what all pairs connect."""
+    monkeypatch.setattr(near, "FAR", 7)
+    monkeypatch.setattr(near, "PART", 11)
     rows = [r for r in made_rows() if r[1]]
     texts = spark.createDataFrame([(f"{i:04}".encode(), r[1].lower()) for i, r in enumerate(rows)], "node binary, body string")
     weights = near.Weights(np.zeros(0, np.uint64), np.zeros(0))
     members = texts.selectExpr("1L as bucket", "node")
-    found = near.links(members, texts, weights)
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.union(more)
+    edges = near.links(members, texts, weights)
     roots = {bytes(r.node): bytes(r.root) for r in near.components(edges).collect()}
     got = [roots.get(f"{i:04}".encode(), f"{i:04}".encode()) for i in range(len(rows))]
     want = dict(plain_classes([(i, r[1]) for i, r in enumerate(rows)], common=1e-9))
@@ -121,6 +120,7 @@ def test_shingles_of_odd_texts():
     for text in ("", "a", "a b c d", "a b c d e", "a b c d e f", "x y z", "é " * 9, "a b a b a b a b a b a"):
         _, _, counts = shingles.counted([b"first text here", text.encode(), b"last"])
         want = plain_shingles(text)
+        assert sorted(shingles.counted([text.encode()])[2]) == sorted(want.values())
         assert sorted(counts)[: len(want) + 2] == sorted([1, 1, *want.values()])
 
 

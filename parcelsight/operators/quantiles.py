@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Each bracket is cut into this many slices before its values are ranked.
-SLICES = 1024
+# Cells per power of two, and slices per cell. Cells cover every double, so a group has at
+# most 64 x 2,098 x 2 of them; a slice of a cell holds at most 2**27 distinct doubles.
+CELLS = 64
+SLICES = 1 << 20
+_INFINITE, _NAN = 1 << 39, 1 << 40
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -25,17 +28,25 @@ def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> tuple[Data
     )
 
 
-def _slot(value: Column, edges: Column, brackets: int) -> Column:
-    """Position of a value: gaps are even multiples of SLICES, bracket slices lie between."""
-    slot = F.when(value.isNull(), F.lit(None))
-    for i in range(brackets):
-        low, high = edges[2 * i], edges[2 * i + 1]
-        share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
-        piece = F.least(F.floor(share * SLICES), F.lit(SLICES - 1))
-        slot = slot.when(value < low, 2 * i * SLICES).when(
-            value <= high, (2 * i + 1) * SLICES + piece
-        )
-    return slot.otherwise(2 * brackets * SLICES).cast("int")
+def _cell(value: Column) -> Column:
+    """Number of a value's cell: a larger value is never in a lower cell."""
+    size = F.floor((F.log2(F.abs(value)) + F.lit(1075.0)) * F.lit(float(CELLS))) + 1
+    finite = F.abs(value) < F.lit(float("inf"))
+    return (
+        F.when(value.isNull(), F.lit(None))
+        .when(F.isnan(value), F.lit(_NAN))
+        .when(value == 0, F.lit(0))
+        .when(~finite, F.signum(value) * F.lit(_INFINITE))
+        .otherwise(F.signum(value) * size)
+        .cast("long")
+    )
+
+
+def _slice(value: Column, low: Column, high: Column) -> Column:
+    """Number of a value's slice between the least and the largest value of its cell."""
+    share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
+    piece = F.least(F.floor(share * SLICES), F.lit(SLICES - 1))
+    return F.when(high > low, piece).otherwise(F.lit(0)).cast("int")
 
 
 def exact_quantiles(
@@ -46,99 +57,39 @@ def exact_quantiles(
     aggregates: Mapping[str, Column] | None = None,
     few_groups: bool = False,
     exchange_once: bool = False,
-    margin: float = 0.002,
-    accuracy: int = 5_000,
 ) -> DataFrame:
     """Interpolated quantiles per group, exact whatever the size of a group.
 
     ``quantiles`` maps an output name to (column, probability). The result holds
-    the keys, the ``aggregates`` (ordinary aggregates that ride along with the
-    first pass) and the quantiles.
-
-    1. A mergeable sketch gives each group a narrow bracket around every wanted
-       rank: ``margin`` to both sides, ten times the sketch's error 1/accuracy.
-       A group of a few thousand rows at most keeps all its values instead.
-    2. Rows shrink to counts in the map-side combine: one count per gap between
-       brackets, one per distinct value inside a bracket (2 x margin of a group).
-    3. Counts per slice of a bracket tell which slice holds the wanted rank.
-    4. Only the values of that slice are sorted, each slice in its own partition.
-
-    So a group holding most of the table still leaves every task as counts, and
-    no task sorts more than a slice. A bracket that missed its rank, which the
-    sketch's error bound rules out, raises instead of giving a near value.
-
-    Set ``few_groups`` only where the number of groups has a fixed bound: the
-    brackets are then broadcast. Otherwise their measured size decides.
-
-    ``df`` is read twice. A scan is best read twice; set ``exchange_once`` for a
-    costly ``df``. It is then exchanged on all its columns, and both passes read
-    that one exchange: hashing all columns keeps the two passes' columns alike,
+    the keys, the ``aggregates`` (ordinary aggregates of the group) and the quantiles.
+
+    1. Rows shrink map-side to counts per cell, a fixed division of the numbers. Sums
+       over a group's cells tell which cells hold the wanted ranks.
+    2. Rows of those cells shrink map-side to counts per distinct value.
+    3. Counts per slice of a cell, which follow the cell's least and largest
+       value, tell which slice holds the wanted rank.
+    4. Only the distinct values of that slice are sorted, each slice in its own partition.
+
+    All counts are exact, so no rank can be missed, and nothing depends on how the
+    values lie: no task gets a group, but its counts of at most 270,000 cells, of a
+    million slices, and of one slice's distinct values, whatever the number of rows and
+    of map tasks. Partial counts are merged by cell and by value, never by group.
+
+    Set ``few_groups`` only where the number of groups has a fixed bound: the wanted
+    cells are then broadcast. Otherwise their measured size decides.
+
+    ``df`` is read three times. Scans are best read again; set ``exchange_once`` for a
+    costly ``df``. It is then exchanged on all its columns, and all passes read
+    that one exchange: hashing all columns keeps the passes' columns alike,
     and a row key among them spreads the rows evenly.
     """
-    if margin * accuracy < 2:
-        raise ValueError("margin must be at least twice the sketch's error")
-    keys, aggregates = list(keys), dict(aggregates or {})
+    names, aggregates = list(keys) or ["_all"], dict(aggregates or {})
     columns = list(dict.fromkeys(column for column, _ in quantiles.values()))
-    wanted = {c: sorted({p for column, p in quantiles.values() if column == c}) for c in columns}
-
     if exchange_once:
         df = df.repartition(*df.columns)
-
-    # 1. brackets
-    def edges(probabilities: list[float]) -> list[float]:
-        return [
-            edge
-            for p in probabilities
-            for edge in (max(0.0, p - margin), min(1.0, p + margin))
-        ]
-
-    sketches = []
-    for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
-        ends = F.array(*[F.min(v), F.max(v)] * len(wanted[c]))
-        # Below this size the bracket may fall between two ranks: keep every value.
-        small = F.count(v) <= F.lit(4 / margin)
-        near = F.percentile_approx(v, edges(wanted[c]), accuracy)
-        sketches.append(F.when(small, ends).otherwise(near).alias(f"_edges{i}"))
-    groups = df.groupBy(*keys).agg(*[c.alias(name) for name, c in aggregates.items()], *sketches)
-    rows = df.select(*keys, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
-    if keys:
-        renamed, same = _same(rows, groups, keys)
-        placed = rows.join(F.broadcast(renamed) if few_groups else renamed, same)
-    else:
-        whole = groups.select(F.struct("*")).scalar()  # planned and run once
-        placed = rows.withColumn("_all", whole).select(
-            "*", *[f"_all._edges{i}" for i in range(len(columns))]
-        )
-
-    # 2. counts per gap and per distinct value inside a bracket
-    measures = [
-        F.struct(
-            F.lit(i).alias("_measure"),
-            F.col(f"_v{i}").alias("_v"),
-            _slot(F.col(f"_v{i}"), F.col(f"_edges{i}"), len(wanted[c])).alias("_slot"),
-        )
-        for i, c in enumerate(columns)
-    ]
-    inside = F.floor(F.col("_slot") / SLICES) % 2 == 1
-    # The aggregates are constant within a group, so they add no groups here.
-    carried = [*keys, *aggregates] if keys else []
-    counts = (
-        placed.select(*carried, F.inline(F.array(*measures)))
-        .groupBy(*carried, "_measure", "_slot", F.when(inside, F.col("_v")).alias("_value"))
-        .agg(F.count("_v").alias("_n"))
-    )
-
-    # 3. the slots that hold a wanted rank (or the only slot of a group without values)
-    slots = counts.groupBy(*keys, "_measure", "_slot").agg(F.sum("_n").alias("_n"))
-    group = W.partitionBy(*keys, "_measure")
-    running = group.orderBy("_slot").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = slots.withColumns(
-        {
-            "_before": F.sum("_n").over(running) - F.col("_n"),
-            "_total": F.sum("_n").over(group),
-        }
-    )
+    groups = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()], F.count(F.lit(1)).alias("_rows"))
+    if not keys:
+        df, groups = df.withColumn("_all", F.lit(0)), groups.withColumn("_all", F.lit(0))
 
     def rank(p: float, end) -> Column:
         return end((F.col("_total") - 1) * F.lit(float(p)))
@@ -153,41 +104,63 @@ def exact_quantiles(
             for end in (F.floor, F.ceil)
         ],
     )
-    targets = ranked.filter(holds_rank | (F.col("_total") == 0)).select(
-        *keys, "_measure", "_slot", "_before", "_total"
+
+    def up_to(window, order: str) -> Column:
+        return F.sum("_n").over(window.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow))
+
+    # 1. cells
+    values = [
+        F.struct(F.lit(i).alias("_measure"), F.col(c).cast("double").alias("_v"))
+        for i, c in enumerate(columns)
+    ]
+    rows = df.select(*names, F.inline(F.array(*values))).filter("_v is not null")
+    rows = rows.withColumn("_cell", _cell(F.col("_v")))
+    group = W.partitionBy(*names, "_measure")
+    cells = (
+        rows.groupBy(*names, "_measure", "_cell")
+        .agg(F.count("_v").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        .withColumns({"_before": up_to(group, "_cell") - F.col("_n"), "_total": F.sum("_n").over(group)})
+        .filter(holds_rank)
+        .drop("_n")
+    )
+
+    # 2. distinct values of the cells that hold a wanted rank
+    renamed, same = _same(rows, cells, [*names, "_measure", "_cell"])
+    placed = rows.join(F.broadcast(renamed) if few_groups else renamed, same)
+    piece = _slice(F.col("_v"), F.col("_low"), F.col("_high")).alias("_slice")
+    where = [*names, "_measure", "_cell"]
+    # Before and total are constant within a cell, so they add no groups here.
+    counts = placed.groupBy(*where, piece, "_before", "_total", "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+    # 3. slices
+    in_cell = W.partitionBy(*where)
+    slices = (
+        counts.groupBy(*where, "_slice", "_before", "_total")
+        .agg(F.sum("_n").alias("_n"))
+        .withColumn("_before", F.col("_before") + up_to(in_cell, "_slice") - F.col("_n"))
+        .filter(holds_rank)
+        .select(*where, "_slice", "_before")
     )
 
-    # 4. ranks of the values in those slots
-    renamed, same = _same(counts, targets, [*keys, "_measure", "_slot"])
-    in_slot = W.partitionBy(*keys, "_measure", "_slot").orderBy("_value")
-    chosen = counts.join(renamed, same)
-    # The slices of a group are small now: one exchange serves the running count
-    # and the last aggregate.
-    values = (chosen.repartition(*keys) if keys else chosen).withColumn(
-        "_upto",
-        F.col("_before")
-        + F.sum("_n").over(in_slot.rowsBetween(W.unboundedPreceding, W.currentRow)),
+    # 4. ranks of the values in those slices
+    renamed, same = _same(counts.drop("_before"), slices, [*where, "_slice"])
+    in_slice = W.partitionBy(*where, "_slice")
+    sorted_values = counts.drop("_before").join(renamed, same).withColumn(
+        "_upto", F.col("_before") + up_to(in_slice, "_v")
     )
     picks, results = [], []
     for i, (name, (column, p)) in enumerate(quantiles.items()):
         mine = F.col("_measure") == columns.index(column)
         for side, end in (("lo", F.floor), ("hi", F.ceil)):
             reached = mine & (F.col("_upto") > rank(p, end))
-            picks.append(F.min(F.when(reached, F.col("_value"))).alias(f"_{side}{i}"))
+            picks.append(F.min(F.when(reached, F.col("_v"))).alias(f"_{side}{i}"))
         picks.append(F.max(F.when(mine, rank(p, lambda x: x - F.floor(x)))).alias(f"_frac{i}"))
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        results.append(
-            F.when(F.col("_missed"), F.raise_error(F.lit("a quantile bracket missed its rank")))
-            .otherwise(low + (high - low) * F.col(f"_frac{i}"))
-            .alias(name)
-        )
-    missed = F.bool_or(F.col("_value").isNull() & (F.col("_n") > 0)).alias("_missed")
-    found = values.groupBy(*carried).agg(missed, *picks).select(*carried, *results)
-    if keys or not aggregates:
-        return found
-    return found.withColumn("_all", whole).select(
-        *[F.col(f"_all.{name}") for name in aggregates], *quantiles
-    )
+        between = F.when(low == high, low).otherwise(low + (high - low) * F.col(f"_frac{i}"))
+        results.append(between.alias(name))
+    found = sorted_values.groupBy(*names).agg(*picks)
+    renamed, same = _same(groups, found, names)
+    return groups.join(renamed, same, "left").select(*keys, *aggregates, *results)
 
 
 def median_of_few_values(

@@ -10,23 +10,34 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelsight.operators.profile import describe, distinct_count, value_counts
+from parcelsight.operators.quality import duplicate_keys, raise_if_violated, require
 from parcelsight.plans import cleaning as C
 from parcelsight.plans import geography as G
 from parcelsight.plans.model import (
     attach_distances,
     conform_model,
     read_model,
+    save_model,
     validate_model,
     write_model,
 )
 from parcelsight.plans.star import build_star, write_star
-from parcelsight.sources.files import read_csv, read_parquet, write_observed, write_parquet
+from parcelsight.sources.files import (
+    read_csv,
+    read_parquet,
+    unreadable_timestamps,
+    write_observed,
+    write_parquet,
+)
 
 Report = dict[str, int | DataFrame]
 
 
 def _raw(spark: SparkSession, raw: str, table: str) -> DataFrame:
-    return read_csv(spark, f"{raw}/{table}.csv", table)
+    """A raw table; stops with a count where a timestamp column holds something else."""
+    path = f"{raw}/{table}.csv"
+    raise_if_violated(unreadable_timestamps(spark, path, table))
+    return read_csv(spark, path, table)
 
 
 def clean_orders(spark: SparkSession, raw: str, clean: str) -> Report:
@@ -78,20 +89,20 @@ def clean_geography(spark: SparkSession, raw: str, clean: str) -> Report:
     report["prefixes"] = write_parquet(coordinates, f"{clean}/geolocation")
     # Read back: the stored size lets Spark pick the join, and the medians run once.
     coordinates = spark.read.parquet(f"{clean}/geolocation")
-    located = {}
+    located, orders = {}, read_parquet(spark, f"{clean}/orders", ["order_id", "customer_id"])
+    # What the joins rely on is proved on the stored keys, not on joined rows.
+    unique = {f"{G.PREFIX} is unique": duplicate_keys(coordinates, [G.PREFIX])}
+    unique["order_id is unique"] = duplicate_keys(orders, ["order_id"])
     for table, side in (("customers", "customer"), ("sellers", "seller")):
-        people = _raw(spark, raw, table)
-        report[table] = write_parquet(people, f"{clean}/{table}")
-        located[table] = G.add_coordinates(
-            people, f"{side}_zip_code_prefix", coordinates, side, validate=True
-        )
+        report[table] = write_parquet(_raw(spark, raw, table), f"{clean}/{table}")
+        people = spark.read.parquet(f"{clean}/{table}")
+        unique[f"{side}_id is unique"] = duplicate_keys(people, [f"{side}_id"])
+        located[table] = G.add_coordinates(people, f"{side}_zip_code_prefix", coordinates, side)
+    require(unique)
     items = read_parquet(
         spark, f"{clean}/order_items", ["order_id", "order_item_id", "seller_id"]
     )
-    orders = read_parquet(spark, f"{clean}/orders", ["order_id", "customer_id"])
-    distances = G.item_distances(
-        items, orders, located["customers"], located["sellers"], validate=True
-    )
+    distances = G.item_distances(items, orders, located["customers"], located["sellers"])
     path = f"{clean}/order_distances"
     unknown = F.count_if(F.col("distance_km").isNull())
     written = write_observed(distances, path, {"unknown_distance": unknown})
@@ -108,8 +119,13 @@ CLEANING = {
 }
 
 
-def load_model(spark: SparkSession, clean: str, model: str) -> dict[str, int]:
-    """Clean tables to the checked model; a broken rule stops before writing."""
+def load_model(
+    spark: SparkSession, clean: str, model: str, stored: tuple[str, int] | None = None
+) -> dict[str, int]:
+    """Clean tables to the checked model; a broken rule stops before writing.
+
+    ``stored`` (database, buckets) keeps the model as catalog tables too, bucketed by order.
+    """
     names = ("customers", "sellers", "products", "geolocation", "orders", "reviews")
     tables = {name: spark.read.parquet(f"{clean}/{name}") for name in names}
     tables["order_items"] = attach_distances(
@@ -117,7 +133,10 @@ def load_model(spark: SparkSession, clean: str, model: str) -> dict[str, int]:
     )
     conformed = conform_model(tables)
     validate_model(conformed)
-    return write_model(conformed, model)
+    written = write_model(conformed, model)
+    if stored:
+        save_model(read_model(spark, model), *stored)
+    return written
 
 
 def export_star(spark: SparkSession, model: str, out: str) -> dict[str, int]:

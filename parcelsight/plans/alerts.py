@@ -105,7 +105,10 @@ def alert_episodes(
     absolute rule fires at once. A month under the floor breaks a run. With
     ``require_late`` a month without any late order is no relative alert.
     """
-    months = place_months(orders, customers, place, since)
+    return _episodes(place_months(orders, customers, place, since), rule, require_late)
+
+
+def _episodes(months: DataFrame, rule: Rule, require_late: bool = True) -> DataFrame:
     flagged = _flags(place_against_rest(months, rule.floor), rule)
     if require_late:
         flagged = flagged.withColumn("relative", F.col("relative") & (F.col("late_orders") > 0))
@@ -154,16 +157,33 @@ def excess_after_alert(
     reviews: DataFrame,
     place: str = PLACE,
     focal: str = FOCAL,
-    window: tuple[str, str] = EPISODE,
+    window: tuple[str | None, str | None] = EPISODE,
     since: str | None = TIMELINE_START,
     rule: Rule = Rule(),
 ) -> DataFrame:
-    """One row: the focal place's excess after the rule first fired, in review points."""
-    start, end = (F.lit(day).cast("date") for day in window)
+    """One row: the focal place's excess after the rule first fired, in review points.
+
+    An open end of the window is no limit. A window that starts or ends within a month
+    counts that month's orders in the window only, while the rule sees whole months.
+    """
+    start, end = window
+    all_months = place_months(orders, customers, place, since)
+
+    def in_window(months: DataFrame) -> DataFrame:
+        if start:
+            months = months.filter(F.col("month") >= F.trunc(F.lit(start).cast("date"), "MM"))
+        if end:
+            months = months.filter(F.col("month") < F.lit(end).cast("date"))
+        return months
+
+    whole = all(day is None or day[8:10] == "01" and len(day) == 10 for day in window)
+    if whole and (since is None or (start is not None and since <= start)):
+        counted = in_window(all_months)  # the months are there already
+    else:
+        counted = place_months(orders, customers, place, *window)
     fired = (
-        alert_episodes(orders, customers, place, since, rule)
+        in_window(_episodes(all_months, rule))
         .filter((F.col("place") == focal) & F.col("fired_relative"))
-        .filter((F.col("month") >= start) & (F.col("month") < end))
         .agg(F.min("month"))
         .scalar()
     )
@@ -176,7 +196,7 @@ def excess_after_alert(
         .scalar()
     )
     excess = F.col("focal_late") - F.col("expected")
-    months = focal_months(place_months(orders, customers, place, *window), focal)
+    months = focal_months(counted, focal)
     totals = (
         months.withColumn("_fired", fired)
         .groupBy("_fired")

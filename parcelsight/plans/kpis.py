@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parcelsight.functions.bands import DELAY_BANDS, DISTANCE_BANDS, Bands
@@ -107,11 +106,13 @@ def late_by_state(orders: DataFrame, customers: DataFrame, place: str = PLACE) -
     """Late rate per place and the place's share of all late orders."""
     scoped = in_scope(orders).select("customer_id", "is_late")
     counts = with_place(scoped, customers, place).transform(_count(place))
-    # The window runs over one row per place, not over orders.
-    total_late = F.sum("late_orders").over(W.partitionBy())
+    # One number, whatever the number of places: no task gets all of them.
+    total_late = counts.agg(F.sum("late_orders")).scalar()
     return (
         _late_rates(counts)
-        .withColumn("share_of_late_pct", percent(F.col("late_orders"), total_late))
+        .withColumn("_all_late", total_late)
+        .withColumn("share_of_late_pct", percent("late_orders", "_all_late"))
+        .drop("_all_late")
         .withColumnRenamed(place, "state")
         .orderBy(F.desc("late_orders"), F.asc_nulls_last("state"))
     )

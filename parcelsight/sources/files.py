@@ -29,21 +29,44 @@ def _typed(name: str, kind: T.DataType) -> Column:
     return known.cast(kind).alias(name)
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A raw table with the declared types; columns are matched by header name.
-
-    Only the header line is looked at up front; nothing is inferred from rows.
-    """
+def _read_texts(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """All cells as text. The files of a folder must have one header: names are taken from
+    one file, and reading stops at a file whose header names other columns or another order."""
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": table in MULTI_LINE}
     names = spark.read.options(**options).csv(path).columns
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    types = RAW_TYPES[table]
-    return (
-        spark.read.options(**options)
-        .schema(text)
-        .csv(path)
-        .select(*[_typed(n, types.get(n, T.StringType())) for n in names])
-    )
+    return spark.read.options(**options).schema(text).option("enforceSchema", False).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A raw table with the declared types, from a file or a folder of files of one header.
+
+    Only the header line is looked at up front; nothing is inferred from rows. A large
+    table of reviews is best given as many files, as each is one task.
+    """
+    texts, types = _read_texts(spark, path, table), RAW_TYPES[table]
+    return texts.select(*[_typed(n, types.get(n, T.StringType())) for n in texts.columns])
+
+
+def unreadable_timestamps(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """(check_name, violations): cells per timestamp column that hold a text but no timestamp.
+
+    `read_csv` makes them unknown, as it must not stop an exploration; the jobs refuse them.
+    """
+    texts = _read_texts(spark, path, table)
+    kinds = RAW_TYPES[table]
+    dated = [n for n in texts.columns if isinstance(kinds.get(n), T.TimestampNTZType)]
+    if not dated:
+        return spark.createDataFrame([], "check_name string, violations long")
+
+    def broken(name: str) -> Column:
+        known = ~F.col(name).isin(MISSING_TEXTS)
+        return F.count_if(known & parse_timestamp(name).isNull())
+
+    counts = texts.agg(*[broken(n).alias(n) for n in dated])
+    long = counts.unpivot([], dated, "_column", "violations")
+    name = F.concat(F.lit(f"{table}: "), F.col("_column"), F.lit(" is a timestamp"))
+    return long.select(name.alias("check_name"), "violations")
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

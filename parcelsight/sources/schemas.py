@@ -26,15 +26,31 @@ RAW_TYPES: dict[str, dict[str, T.DataType]] = {
     },
     "customers": {"customer_zip_code_prefix": INT},
     "sellers": {"seller_zip_code_prefix": INT},
-    "products": {},
+    "products": {
+        "product_name_lenght": INT,
+        "product_description_lenght": INT,
+        "product_photos_qty": INT,
+        "product_weight_g": DOUBLE,
+        "product_length_cm": DOUBLE,
+        "product_height_cm": DOUBLE,
+        "product_width_cm": DOUBLE,
+    },
     "translation": {},
     "geolocation": {
         "geolocation_zip_code_prefix": INT,
         "geolocation_lat": DOUBLE,
         "geolocation_lng": DOUBLE,
     },
-    "reviews": {"review_score": INT, "review_answer_timestamp": TIMESTAMP},
-    "payments": {},
+    "reviews": {
+        "review_score": INT,
+        "review_creation_date": TIMESTAMP,
+        "review_answer_timestamp": TIMESTAMP,
+    },
+    "payments": {
+        "payment_sequential": INT,
+        "payment_installments": INT,
+        "payment_value": DOUBLE,
+    },
 }
 
 

@@ -13,6 +13,7 @@ from parcelsight.operators import profile as P
 from parcelsight.operators import quality as Q
 from parcelsight.plans import alerts as A
 from parcelsight.plans import cleaning as C
+from parcelsight.plans import exploration as E
 from parcelsight.plans import geography as G
 from parcelsight.plans import kpis as K
 from parcelsight.plans import model as M
@@ -22,6 +23,7 @@ from parcelsight.testbed.tables import (
     EPISODE,
     EPISODE_REGION,
     KEY_TYPE,
+    STATES,
     TIMELINE_START,
     TRANSLATIONS,
     TestTables,
@@ -137,52 +139,6 @@ def _attached_distances(t: Clean) -> DataFrame:
     )
 
 
-def _out_of_order(t: Clean) -> DataFrame:
-    pairs = {
-        "approved before purchased": (C.PURCHASED, C.APPROVED),
-        "carrier before approved": (C.APPROVED, C.HANDED_OVER),
-        "delivered before carrier": (C.HANDED_OVER, C.DELIVERED),
-    }
-    return Q.count_violations(
-        {name: Q.out_of_order_rows(t.raw_orders, *pair) for name, pair in pairs.items()}
-    )
-
-
-def _orphans(t: Clean) -> DataFrame:
-    return Q.orphan_keys(t.raw_orders, "order_id", t.lines, "order_id")
-
-
-def _referential_integrity(t: Clean) -> DataFrame:
-    items = t.lines
-    return Q.count_violations(
-        {
-            "items to products": Q.orphan_keys(items, "product_id", t.products(), "product_id"),
-            "items to sellers": Q.orphan_keys(items, "seller_id", t.sellers(), "seller_id"),
-            "reviews to orders": Q.orphan_keys(t.reviews(False), "order_id", t.raw_orders, "order_id"),
-            "categories to translation": Q.orphan_keys(
-                t.products(), "product_category_name", t.translation(), "product_category_name"
-            ),
-        }
-    )
-
-
-def _coverage(t: Clean, points: DataFrame) -> DataFrame:
-    sides = {
-        "customers": (t.customers(), "customer_zip_code_prefix"),
-        "sellers": (t.sellers(), "seller_zip_code_prefix"),
-    }
-    rows = [
-        Q.key_coverage(frame, key, points, G.PREFIX).select(
-            F.lit(name).alias("side"),
-            "keys",
-            "uncovered",
-            round_half_away(F.col("uncovered_share") * F.lit(100.0), 1).alias("uncovered_pct"),
-        )
-        for name, (frame, key) in sides.items()
-    ]
-    return rows[0].unionAll(rows[1])
-
-
 def _describe(df: DataFrame, column: str, exchange_once: bool = False) -> DataFrame:
     summary = P.describe(df, column, exchange_once=exchange_once)
     return summary.select("statistic", _micro("value"))
@@ -209,11 +165,28 @@ def _fact_orders(t: Clean) -> DataFrame:
 
 
 def _dim_state(t: Clean) -> DataFrame:
-    return t.nations().select(
-        F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("state_code"),
-        F.col("n_name").alias("state_name"),
-        F.col("r_name").alias("region"),
-    )
+    """The reference data of the states that the nation table names."""
+    keys = t.nations().select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("state_code"))
+    return keys.join(S.dim_state(t.spark, STATES), "state_code")
+
+
+def _round_trip(t: Clean) -> DataFrame:
+    """The model, checked, written and read back: rows per table."""
+    model, folder = t.model(), t.new_folder("model")
+    M.validate_model(model)
+    M.write_model(model, folder)
+    return M.model_counts(M.read_model(t.spark, folder))
+
+
+def _star_round_trip(t: Clean) -> DataFrame:
+    """The order fact of the exported star, read back."""
+    model = t.model()
+    fact = S.fact_orders(model["orders"], model["customers"], model["order_items"], model["reviews"])
+    folder = t.new_folder("star")
+    S.write_star({"fact_orders": fact}, model, folder)
+    stored = t.spark.read.parquet(f"{folder}/fact_orders")
+    S.check_fact_grain(stored, model["orders"])
+    return stored.withColumn("distance_km", _micro("distance_km"))
 
 
 def _episodes(t: Clean) -> DataFrame:
@@ -286,6 +259,9 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
     # cleaning and model
     "clean_orders": lambda t: t.clean_orders,
     "clean_order_items": lambda t: C.clean_order_items(t.items, t.raw_orders),
+    "clean_order_items_checked": lambda t: C.clean_order_items(
+        t.items, t.raw_orders, validate=True
+    ),
     "clean_products": lambda t: t.clean_products,
     "clean_reviews": lambda t: t.clean_reviews,
     "geo_by_prefix": lambda t: t.coordinates.select(
@@ -303,16 +279,20 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
     "items_with_attached_distance": _attached_distances,
     "order_items_model": _order_items_model,
     "table_counts": _table_counts,
+    "model_round_trip": _round_trip,
+    "star_round_trip": _star_round_trip,
     # checks
     "violations": _violations,
-    "out_of_order_rows": _out_of_order,
-    "orphan_orders": _orphans,
-    "orphan_status": lambda t: P.value_counts(
-        Q.rows_with_keys(t.raw_orders, "order_id", _orphans(t)), "order_status"
+    "out_of_order_rows": lambda t: E.out_of_order(t.raw_orders),
+    "orphan_orders": lambda t: E.orphan_orders(t.raw_orders, t.lines),
+    "orphan_status": lambda t: E.orphan_status(t.raw_orders, t.lines),
+    "referential_integrity": lambda t: E.referential_integrity(
+        t.lines, t.products(), t.sellers(), t.reviews(False), t.raw_orders, t.translation()
+    ),
+    "zip_coverage": lambda t: E.coverage(t.customers(), t.sellers(), t.geolocation()),
+    "coordinate_coverage": lambda t: E.coverage(
+        t.customers(), t.sellers(), G.points_in_box(t.geolocation())
     ),
-    "referential_integrity": _referential_integrity,
-    "zip_coverage": lambda t: _coverage(t, t.geolocation()),
-    "coordinate_coverage": lambda t: _coverage(t, G.points_in_box(t.geolocation())),
     "cleaning_report": _cleaning_report,
     # profiling
     "profile_orders": lambda t: P.profile(t.clean_orders),

@@ -7,6 +7,10 @@ planted on purpose; see FIXTURES.md.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,7 +23,9 @@ EPISODE_REGION = "AMERICA"
 EPISODE = ("1997-10-01", "1998-04-01")
 TIMELINE_START = "1995-01-01"
 TRANSLATIONS = {"promo": "promo_goods", "small": "small_goods"}
-
+# The reference data of the state codes: the nations of the test tables, by their rule.
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+STATES = [(f"{i:02}", f"NATION_{i}", REGIONS[i % 5]) for i in range(25)]
 
 # Part keys per tile when lines are numbered within an order.
 TILE_WIDTH = 1000
@@ -65,6 +71,12 @@ class TestTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def new_folder(self, name: str) -> str:
+        """A folder that does not exist yet, below the one that driver and executors share."""
+        root = self.spark.conf.get("spark.checkpoint.dir", None)
+        root = root or Path(tempfile.mkdtemp(prefix="parcelsight-")).as_uri()
+        return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 

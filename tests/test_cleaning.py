@@ -128,19 +128,20 @@ POINTS = "geolocation_zip_code_prefix int, geolocation_lat double, geolocation_l
 
 
 def test_coordinates_are_the_median_of_the_points_inside_the_box(spark):
-    points = [(1001, -23.55, -46.63), (1001, -23.57, -46.65), (1001, 45.0, 121.0)]
-    points += [(2002, -22.9, -43.17), (3003, 45.0, 121.0), (None, -22.9, -43.17)]
-    points += [(4004, 6.0, -28.0), (4004, -34.0, -75.0), (5005, None, -43.0)]
+    points = [(71, -10.0, -40.0), (71, -12.0, -41.0), (71, 51.5, -0.1)]
+    points += [(72, -3.25, -60.5), (73, 51.5, -0.1), (None, -3.25, -60.5)]
+    points += [(74, 6.0, -28.0), (74, -34.0, -75.0), (75, None, -60.0)]
     got = {r[0]: r[1:] for r in G.coordinates_by_prefix(spark.createDataFrame(points, POINTS)).collect()}
     assert got == {
-        1001: pytest.approx((-23.56, -46.64)),
-        2002: (-22.9, -43.17),
-        4004: pytest.approx((-14.0, -51.5)),
+        71: pytest.approx((-11.0, -40.5)),
+        72: (-3.25, -60.5),
+        74: pytest.approx((-14.0, -51.5)),
     }
 
 
 def test_distances_keep_every_item_and_leave_uncovered_ones_unknown(spark):
-    coordinates = spark.createDataFrame([(1, -23.5505, -46.6333), (2, -22.9068, -43.1729)], POINTS)
+    # One degree of latitude is 111.2 km.
+    coordinates = spark.createDataFrame([(1, -8.0, -50.0), (2, -9.0, -50.0)], POINTS)
     people = [("c1", 1), ("c2", 2), ("c3", 99), ("c4", None)]
     customers = G.add_coordinates(
         spark.createDataFrame(people, "customer_id string, z int"), "z", coordinates, "customer", validate=True
@@ -158,5 +159,5 @@ def test_distances_keep_every_item_and_leave_uncovered_ones_unknown(spark):
     got = G.item_distances(items, orders_, customers, sellers, validate=True)
     assert got.columns == ["order_id", "order_item_id", "distance_km"]
     km = {r.order_id: r.distance_km for r in got.collect()}
-    assert km["o0"] == 0.0 and km["o1"] == pytest.approx(360, rel=0.01)
+    assert km["o0"] == 0.0 and km["o1"] == pytest.approx(111.2, rel=0.001)
     assert [km["o2"], km["o3"], km["o4"]] == [None] * 3

@@ -115,3 +115,56 @@ def test_loading_stops_at_a_broken_rule(spark, raw, tmp_path):
     with pytest.raises(QualityError, match="customer_id in customers"):
         jobs.load_model(spark, clean, str(tmp_path / "model"))
     assert not (tmp_path / "model").exists()
+
+
+def test_a_job_stops_at_a_broken_timestamp_with_a_count(spark, raw, tmp_path):
+    rows = [list(r) for r in TABLES["orders"]]
+    rows[1][6] = "10/10/2017 21:25"
+    with open(tmp_path / "orders.csv", "w", newline="", encoding="utf-8") as file:
+        csv.writer(file).writerows(rows)
+    with pytest.raises(QualityError, match="order_delivered_customer_date is a timestamp: 1 violations"):
+        jobs.clean_orders(spark, str(tmp_path), str(tmp_path / "clean"))
+    assert not (tmp_path / "clean").exists()
+
+
+def test_no_row_and_no_column_of_a_report_is_cut(spark, capsys, monkeypatch, tmp_path):
+    import parcelsight.__main__ as cli
+
+    long = spark.range(1_001).selectExpr("id", "concat('place ', id) as place")
+    wide = spark.createDataFrame([tuple(range(25))], [f"c{i}" for i in range(25)])
+    cli._report("t", {"long": long, "columns": cli.profile(wide)})
+    lines = capsys.readouterr().out.splitlines()
+    assert sum(line.endswith(f"place {i}") for i, line in enumerate(lines[2:1_003])) == 1_001
+    cells = [line.split("\t") for line in lines]
+    assert all(any(f"c{i}" in row for row in cells) for i in range(25))
+    monkeypatch.setattr(cli, "QUESTIONS", {"long": lambda model: long})
+    monkeypatch.setattr(cli, "read_model", lambda spark, path: {})
+    main(["ask", "any", "--out", str(tmp_path)])
+    assert "long: rows = 1001" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "long")).count() == 1_001
+
+
+def test_the_command_line_sets_partitions_and_keeps_tables(spark, raw, tmp_path, capsys):
+    clean, model = str(tmp_path / "clean"), str(tmp_path / "model")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.sql("create database if not exists kept")
+    try:
+        main(["clean", raw, clean])
+        main(["--shuffle-bytes", str(40_000 * 2**20), "load", clean, model, "--database", "kept", "--buckets", "2"])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        main(["ask", "any", "late_rate_baseline", "--database", "kept"])
+        assert "late_rate_baseline" in capsys.readouterr().out
+    finally:
+        for key in ("shuffle.partitions", "files.maxPartitionBytes", "adaptive.advisoryPartitionSizeInBytes", "adaptive.coalescePartitions.parallelismFirst"):
+            spark.conf.unset(f"spark.sql.{key}")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sql("drop database kept cascade")
+
+
+def test_explore_checks_all_tables(spark, raw, capsys):
+    main(["explore", raw])
+    text = capsys.readouterr().out
+    for line in ("orders: values of order_status", "order_items: summary of price", "tables: integrity", "tables: zip coverage", "orders: unreadable timestamps"):
+        assert line in text
+    assert "categories to translation\t1" in text and "delivered\t2" in text

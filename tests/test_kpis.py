@@ -280,6 +280,30 @@ def test_excess_is_unknown_when_the_rule_never_fired(spark):
     assert (row.fired_month, row.excess_late, row.excess_after_alert, row.review_points) == (None, 0.0, None, None)
 
 
+def test_open_windows_and_windows_within_a_month(spark):
+    quiet, bad = (95, 5), (60, 40)
+    df, people = months(
+        spark,
+        RJ={"2017-09": quiet, "2017-10": bad, "2017-11": bad, "2017-12": bad},
+        SP={m: (95, 5) for m in ("2017-09", "2017-10", "2017-11", "2017-12")},
+    )
+    reviews = df.selectExpr("order_id", "if(is_late, 2, 4) as review_score")
+
+    def ask(window, since="2017-01-01"):
+        (row,) = A.excess_after_alert(df, people, reviews, window=window, since=since).collect()
+        return row
+
+    whole = ask(("2017-09-01", "2018-01-01"))
+    assert (whole.fired_month, whole.excess_after_alert) == (date(2017, 11, 1), 35.0)
+    for window in ((None, None), (None, "2018-01-01"), ("2017-09-01", None)):
+        assert ask(window) == whole and ask(window, None) == whole
+    # Orders are dated the first of a month or later; the first month still counts as one.
+    within = ask(("2017-11-01 00:00:00", "2018-01-01"))
+    assert (within.fired_month, within.excess_after_alert) == (date(2017, 11, 1), 35.0)
+    middle = ask(("2017-10-15", "2018-01-01"))
+    assert middle.fired_month == date(2017, 11, 1)
+
+
 @pytest.mark.parametrize("question", ["late_by_month", "late_by_state"])
 def test_groups_add_up_to_the_baseline(spark, question):
     df, people = months(

@@ -64,6 +64,39 @@ def test_csv_rejects_text_in_a_number_column(spark, tmp_path):
         files.read_csv(spark, path, "customers").collect()
 
 
+def test_files_of_a_folder_must_have_one_header(spark, tmp_path):
+    folder = tmp_path / "sellers.csv"
+    folder.mkdir()
+    write(folder / "a.csv", "seller_id,seller_city,seller_state", "x,rio,RJ")
+    write(folder / "b.csv", "seller_id,seller_city,seller_state", "y,sao paulo,SP")
+    rows = files.read_csv(spark, str(folder), "sellers").orderBy("seller_id").collect()
+    assert [tuple(r) for r in rows] == [("x", "rio", "RJ"), ("y", "sao paulo", "SP")]
+    write(folder / "c.csv", "seller_id,seller_state,seller_city", "z,BA,salvador")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, str(folder), "sellers").collect()
+
+
+def test_reviews_may_be_many_files(spark, tmp_path):
+    folder = tmp_path / "reviews.csv"
+    folder.mkdir()
+    for i in range(4):
+        write(folder / f"{i}.csv", "review_id,review_comment_message", f'r{i},"one', f'two {i}"')
+    df = files.read_csv(spark, str(folder), "reviews")
+    assert sorted(r.review_comment_message for r in df.collect()) == [f"one\ntwo {i}" for i in range(4)]
+
+
+def test_texts_that_are_no_timestamps_are_counted(spark, tmp_path):
+    lines = ["order_id,order_purchase_timestamp,order_approved_at"]
+    lines += ["a,2018-01-05 09:00:00,", "b,05/01/2018 09:00,NA", "c,2018-02-30 00:00:00,soon"]
+    path = write(tmp_path / "orders.csv", *lines)
+    found = {r.check_name: r.violations for r in files.unreadable_timestamps(spark, path, "orders").collect()}
+    assert found == {
+        "orders: order_purchase_timestamp is a timestamp": 2,
+        "orders: order_approved_at is a timestamp": 1,
+    }
+    assert files.unreadable_timestamps(spark, write(tmp_path / "t.csv", "a", "b"), "translation").collect() == []
+
+
 def test_catalog_names_its_tables(spark, tmp_path):
     path = write(tmp_path / "p.csv", "payment_type", "boleto")
     catalog = files.read_catalog(spark, {"payments": path})

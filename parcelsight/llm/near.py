@@ -15,12 +15,11 @@ band meet in a bucket. At similarity 0.8 a pair meets with probability 0.9992.
 
 Equal texts (lower case, blanks as one space) are one node. Each bucket has a leader, the
 node that shares most buckets, and every node of it is compared with the leader: one
-comparison per node, however large the group. Linked nodes form components. A node that
-is in a bucket but not in the component of its leader is far from it; far nodes are compared
-with all nodes of that component and with the other far nodes there, in cells of FAR far nodes
-and PART others, so a pair of nodes that meet in a bucket is either compared or known to be
-in one component: no link that counts is lost, and no group meets in one task. Linked nodes
-form the classes (alternating star contraction, in Spark).
+comparison per node, however large the group. A node that is not linked to its leader is
+far from it; far nodes are compared with all nodes that are linked to that leader and with its
+other far nodes, in cells of FAR far nodes and PART others. So two nodes that meet in a bucket
+are either compared or both linked to one leader: no link that counts is lost, and no
+group meets in one task. Linked nodes form the classes (alternating star contraction, in Spark).
 
 Null and empty texts are equal to each other, so they are one class. Repeated rows are in
 one class. The class id is the smallest doc_id in it (null only if all are). Other columns
@@ -243,11 +242,8 @@ def links(members: DataFrame, texts: DataFrame, weights: Weights, least: float =
     pairs = members.join(leaders, "bucket").where("node != leader")
     pairs = pairs.select(F.col("leader").alias("left"), F.col("node").alias("right")).distinct()
     seen = stored(_verified(pairs, texts, weights), "near-pairs")
-    found = seen.where(F.col("likeness") >= least).select("left", "right")
-    roots = stored(components(found), "near-roots")
-    far = _rooted(_rooted(seen.where(F.col("likeness") < least), roots, "left", "root"), roots, "right", "home")
-    far = far.where("root != home").select("root", F.col("right").alias("node"), "home").distinct()
-    return found.unionByName(_far_links(stored(far, "near-far"), roots, texts, weights, least))
+    linked = seen.where(F.col("likeness") >= least).select("left", "right")
+    return linked.unionByName(_far_links(seen, texts, weights, least))
 
 
 def _rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
@@ -256,17 +252,19 @@ def _rooted(df: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
     return df.join(own, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
 
 
-def _far_links(far: DataFrame, roots: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
-    """One link of each far node (root, node, home) to every component that holds a node like it,
-    among the nodes of component `root` and the far nodes there."""
-    sent = far.sparkSession.sparkContext.broadcast(weights)
-    wanted = far.select("root").distinct()
-    inside = roots.join(wanted, "root").select("root", "node").unionByName(wanted.select("root", F.col("root").alias("node")))
-    every = inside.withColumn("home", F.col("root")).unionByName(far)
+def _far_links(seen: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
+    """Links of the nodes that are far from a leader: one to the nodes linked to that leader, if
+    any is alike, and one to every other far node that is. seen: leader, node, likeness."""
+    sent = seen.sparkSession.sparkContext.broadcast(weights)
+    near_it = F.col("likeness") >= least
+    every = seen.select(
+        F.col("left").alias("root"), F.col("right").alias("node"), F.when(near_it, F.col("left")).otherwise(F.col("right")).alias("home")
+    )
+    far = every.where("home = node")
+    # The leader itself has been compared with all of them.
     sizes = every.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.join(far.groupBy("root").agg(F.count(F.lit(1)).alias("n_far")), "root")
-    # Two nodes have been compared as node and leader.
-    sizes = sizes.where("n > 2").select(
+    sizes = sizes.where("n > 1").select(
         "root", F.ceil(F.col("n_far") / FAR).cast("int").alias("blocks"), F.ceil(F.col("n") / PART).cast("int").alias("parts")
     )
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -307,23 +305,25 @@ def _compared(cell: pd.DataFrame, weights: Weights, least: float) -> pd.DataFram
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and root (least node of its component) of every node with a link."""
-    edges = stored(edges.distinct(), "near-edges")
-    before = None
+    """node and root (least node of its component) of every node with a link, but the roots."""
+    edges = stored(edges, "near-edges")
     while True:
         both = edges.select("left", "right").union(edges.select(F.col("right"), F.col("left"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("left"), F.col("v").alias("right"))
-        large = large.where("left != right").distinct()
+        large = stored(large, "near-large")
         # Now the smaller neighbours of each node are tied to the least of them.
         least = large.groupBy("right").agg(F.min("left").alias("m"))
         tied = large.join(least, "right")
-        small = tied.select(F.col("m").alias("left"), F.col("left").alias("right")).union(tied.select("m", "right"))
+        ties = F.explode(F.array(F.struct("m", F.col("left").alias("n")), F.struct("m", F.col("right").alias("n"))))
+        small = tied.select(ties.alias("t")).select(F.col("t.m").alias("left"), F.col("t.n").alias("right"))
         edges = stored(small.where("left != right").distinct(), "near-edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("left", "right").cast("decimal(38,0)"))).first()
-        if now == before:
+        # All is done when every node is tied to one other, which is tied to none.
+        sides = F.explode(F.array(F.struct(F.col("left").alias("n"), F.lit(0).alias("tied")), F.struct(F.col("right").alias("n"), F.lit(1).alias("tied"))))
+        ends = edges.select(sides.alias("s")).select("s.n", "s.tied").groupBy("n")
+        open_ends = ends.agg(F.sum("tied").alias("ties"), F.min("tied").alias("least")).where("ties > 1 or (ties = 1 and least = 0)")
+        if open_ends.isEmpty():
             return edges.select(F.col("right").alias("node"), F.col("left").alias("root"))
-        before = now
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:

@@ -37,10 +37,12 @@ from parcelsight.llm.shingles import blocks, word_hashes
 
 ADDED = 0.1
 HEAD = 1 << 18
-KNOWN, CLASSES, HIDDEN = 2_046, 46, 16
+KNOWN, CLASSES, HIDDEN = 1_022, 32, 16
 SAMPLE, SLICE, STREAMS, STEPS, EPOCHS, RATE = 1_200, 2_000, 64, 20, 2, 0.01
-#: Steps that are scored together, and texts side by side.
+#: Steps that are scored together (more where few texts are left), and texts side by side.
 WINDOW, WIDE = 64, 2_048
+#: Rows of a softmax that are worked on together, and bytes of texts.
+ROWS, BLOCK_BYTES = 4_096, 16 << 20
 #: Corpus bytes per bucket of words.
 BUCKET_BYTES = 8 << 20
 END = np.uint64(0x5851F42D4C957F2D)
@@ -53,12 +55,14 @@ def held_out() -> Column:
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts in order, ends included, and where each text starts
     (one more: the end of the last)."""
-    words, owners = word_hashes([t.lower() for t in texts])  # bytes: A-Z only
-    sizes = np.bincount(owners, minlength=len(texts)) + 1
-    starts = np.append(0, np.cumsum(sizes))
-    out = np.full(starts[-1], END)
-    out[np.arange(len(words)) + owners] = words
-    return out, starts
+    parts, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for block in blocks(texts):
+        words, owners = word_hashes([t.lower() for t in block])  # bytes: A-Z only
+        sizes.append(np.bincount(owners, minlength=len(block)) + 1)
+        part = np.full(len(words) + len(block), END)
+        part[np.arange(len(words)) + owners] = words
+        parts.append(part)
+    return np.concatenate(parts), np.append(0, np.cumsum(np.concatenate(sizes)))
 
 
 def _buckets(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -184,10 +188,12 @@ class Model:
         for at in range(0, len(order), WIDE):
             texts = order[at : at + WIDE]
             state = np.zeros((HIDDEN, len(texts)), np.float32)
-            for first in range(0, int(sizes[texts[0]]), WINDOW):
+            first, last = 0, int(sizes[texts[0]])
+            while first < last:
                 n = int((sizes[texts] > first).sum())
                 texts, state = texts[:n], state[:, :n]
-                steps = np.arange(first, first + min(WINDOW, int(sizes[texts[0]]) - first))[:, None]
+                steps = np.arange(first, min(last, first + max(1, WINDOW * WIDE // n)))[:, None]
+                first += len(steps)
                 there = steps < sizes[texts]
                 places = np.where(there, starts[texts] + steps, 0)
                 states = gru.states(self.layer, before[places], np.ascontiguousarray(state))
@@ -199,23 +205,29 @@ class Model:
 
     def _log_probabilities(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         size = self.out["words"].shape[1]
-        classes, places = np.divmod(symbols, size)
-        out = _picked(states @ self.out["classes"].T + self.out["class_bias"], classes)
+        classes, places = np.divmod(symbols.astype(np.int16), np.int16(size))
         order = np.argsort(classes, kind="stable")
-        states, places = states[order], places[order]
-        within = np.empty(len(order), np.float32)
-        for c, run in _runs(classes[order]):
-            within[run] = _picked(states[run] @ self.out["words"][c].T + self.out["word_bias"][c], places[run])
-        out[order] += within
+        states, places, classes = states[order], places[order], classes[order]
+        sums = _picked(states, self.out["classes"], self.out["class_bias"], classes)
+        for c, run in _runs(classes):
+            sums[run] += _picked(states[run], self.out["words"][c], self.out["word_bias"][c], places[run])
+        out = np.empty_like(sums)
+        out[order] = sums
         return out
 
 
-def _picked(logits: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Log softmax at the given places, by row."""
-    logits -= logits.max(1, keepdims=True)
-    chosen = logits[np.arange(len(places)), places]
-    np.exp(logits, out=logits)
-    return chosen - np.log(logits.sum(1))
+def _picked(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Log softmax at the given places, by row. States lie between -1 and 1, which keeps the
+    logits in the range of the exponential."""
+    out = np.empty(len(places), np.float32)
+    for at in range(0, len(places), ROWS):
+        part = slice(at, at + ROWS)
+        logits = states[part] @ weights.T
+        logits += bias
+        chosen = logits[np.arange(len(logits)), places[part]]
+        np.exp(logits, out=logits)
+        out[part] = chosen - np.log(logits.sum(1))
+    return out
 
 
 def new_model(total: Totals, seed: int = 3) -> Model:
@@ -373,7 +385,7 @@ def _scored(texts: list[bytes], rows: np.ndarray, total: Totals, model: Model |
     made: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "logs", "other_logs", "model")}
     rare_rows, rare_hashes = [], []
     at = 0
-    for block in blocks(texts, 8 << 20):
+    for block in blocks(texts, BLOCK_BYTES):
         hashes, starts = tokens(block)
         sizes, n = np.diff(starts), len(block)
         owners = np.repeat(np.arange(n), sizes)

@@ -85,32 +85,31 @@ class Printed:
         n = int(np.searchsorted(ends, len(text) - len(text) // 3, side="right"))
         self.ends, self.at = ends[:n], ends[n - 1] if n else 0
         self.shared = least_values(text, 0, self.ends)
-        self.print = _hex(text, np.minimum(self.shared, least_values(text, self.at, ends[n:])))
+        self.print = _bytes(text, np.minimum(self.shared, least_values(text, self.at, ends[n:])))
 
-    def edited(self, following: str) -> tuple[str, str]:
+    def edited(self, following: str) -> tuple[str, bytes]:
         """The edited text and its fingerprint. The phrases in the part that stays are the same;
         one that ends the text early was known before, so it is no phrase of its own there."""
         text = edited(self.text, following)
         starts = [0, *self.ends[:-1]]
         known = {self.text[i:j] for i, j in zip(starts, self.ends)}
         more = parse(text, known, self.at)
-        return text, _hex(text, np.minimum(self.shared, least_values(text, self.at, more)))
+        return text, _bytes(text, np.minimum(self.shared, least_values(text, self.at, more)))
 
 
 def fingerprint(text: str) -> str:
-    return Printed(text).print
+    return Printed(text).print.hex()
 
 
-def _hex(text: str, least: np.ndarray) -> str:
-    return least.astype(">u4").tobytes().hex() if text else ""
+def _bytes(text: str, least: np.ndarray) -> bytes:
+    return least.astype(">u4").tobytes() if text else b""
 
 
-def likeness(left: str, right: str) -> float:
-    """Share of equal values of two fingerprints."""
+def likeness(left: bytes, right: bytes) -> float:
+    """Share of equal values of two fingerprints (as bytes)."""
     if not left or not right:
         return float(left == right)
-    a, b = (np.frombuffer(bytes.fromhex(x), ">u4") for x in (left, right))
-    return float((a == b).mean())
+    return float((np.frombuffer(left, ">u4") == np.frombuffer(right, ">u4")).mean())
 
 
 def edited(text: str, following: str) -> str:
@@ -122,7 +121,7 @@ def edited(text: str, following: str) -> str:
 # On a table: every text with the next one by descending id
 
 _ROW = (
-    "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 
@@ -131,7 +130,7 @@ def _result(own: Printed, following: Printed) -> dict:
     text, changed = own.edited(following.text)
     return {
         "n_chars": len(own.text),
-        "edited_sha256": hashlib.sha256(text.encode()).hexdigest(),
+        "edited_sha256": hashlib.sha256(text.encode()).digest(),
         "fingerprint": own.print,
         "edited_fingerprint": changed,
         "near_edited": likeness(own.print, changed),
@@ -190,10 +189,12 @@ def with_next(docs: DataFrame) -> DataFrame:
             yield _batch(rows, batch.schema.field("doc_id").type, ends=False)
 
     closed = open_rows.mapInArrow(close, f"doc_id {kind}, {_ROW}")
-    return inside.unionByName(closed)
+    digests = {n: F.lower(F.hex(n)) for n in ("edited_sha256", "fingerprint", "edited_fingerprint")}
+    return inside.unionByName(closed).withColumns(digests)
 
 
 _TYPES = {"n_chars": pa.int64(), "near_edited": pa.float64(), "near_next": pa.float64(), "task": pa.int32()}
+_TYPES |= {n: pa.binary() for n in ("edited_sha256", "fingerprint", "edited_fingerprint")}
 _NAMES = [part.split()[0] for part in _ROW.split(", ")]
 
 

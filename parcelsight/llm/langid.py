@@ -17,7 +17,6 @@ Repeated rows get equal answers; other columns are ignored. Empty tables give em
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,11 +33,14 @@ LANGUAGES, PER_LANGUAGE, SLICES = 200, 400, 4
 WINDOW, HIDDEN, BATCH, UPDATES, RATE = 128, 8, 256, 150, 0.02
 #: Windows that run side by side.
 WIDE = 2_048
-_LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that stand in letters: ASCII letters and all bytes of longer characters.
 _OF_LETTERS = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -69,7 +71,7 @@ class Model:
         total = sums.sum(1)
         names, scores = [], []
         for text, row, n in zip(texts, sums, total):
-            known = n > 0 and _LETTER.search(text) is not None
+            known = n > 0 and has_letter(text)
             best = int(row.argmax()) if known else -1
             names.append(self.languages[best] if known else UNKNOWN)
             scores.append(min(1.0, float(row[best] / n)) if known else 0.0)
@@ -152,7 +154,7 @@ def sample(docs: DataFrame) -> list[tuple[str, bytes]]:
     cuts = [F.substring(text, (F.length(text) * s).cast("int") + 1, F.lit(WINDOW)) for s in steps]
     chosen = rows.where(place < F.element_at(share, F.col("lang"))).select("lang", F.array_distinct(F.array(*cuts)).alias("cuts"))
     found = sorted((r["lang"], cut) for r in chosen.collect() for cut in r["cuts"])
-    return [(lang, cut.encode()) for lang, cut in found if _LETTER.search(cut)]
+    return [(lang, cut.encode()) for lang, cut in found if has_letter(cut)]
 
 
 def train(docs: DataFrame) -> Model | None:

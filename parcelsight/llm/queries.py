@@ -18,7 +18,8 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source is the owner; its repositories are its languages."""
     docs = read(spark, sf_dir, "documents")
     found = secrets.scan(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
-    return found.withColumn("spans", secrets.joined())
+    found = found.withColumn("spans", secrets.joined())
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_example")
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,7 @@ def test_held_out_documents_are_recognised(spark):
 def test_odd_texts_and_rows(table):
     words = {"en": "the thing of and with ", "de": "der und nicht schön "}
     docs = [(i, words[lang] * 9, lang) for i, lang in enumerate(["en", "de"] * 30)]
-    odd = [(900, None, "en"), (901, "", "en"), (902, "123 .,| 45", "en"), (903, "und der " * 20_000, None), (904, words["en"] * 5, None), (904, words["en"] * 5, None)]
+    odd = [(900, None, "en"), (901, "", "en"), (902, "123 .,| 45 ² ①", "en"), (903, "und der " * 20_000, None), (904, words["en"] * 5, None), (904, words["en"] * 5, None)]
     model = langid.train(table(docs + odd))
     found = {r.doc_id: r for r in langid.predict(table(docs + odd), model).collect()}
     assert model.languages == ["de", "en"]

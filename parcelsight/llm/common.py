@@ -50,6 +50,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a table as one, `_row`, so that no name of theirs can clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     """crc32 of an integer id written as text, as a long. A null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")))

@@ -23,9 +23,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from parcelsight.llm.common import BLANKS, shared_folder, stored, text_of
+from parcelsight.llm.common import BLANKS, shared_folder, stored, text_of, whole_row
 
 #: Copies that meet one replica of the kept text.
 SALT_ROWS = 2_000
@@ -170,15 +170,8 @@ def _regrouped(docs: DataFrame, grouped: DataFrame, odd: DataFrame, digest: Call
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all columns of docs: of equal texts the one with the smallest id."""
     chosen = decisions(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    found = docs.withColumn("_own", sha256(normalised(text_of()))).join(
-        chosen.hint("shuffle_hash"), F.expr("doc_id <=> _id and _own = _digest")
-    )
+    rows = docs.select(whole_row(docs), "doc_id", sha256(normalised(text_of())).alias("_own"))
+    found = rows.join(chosen.hint("shuffle_hash"), F.expr("doc_id <=> _id and _own = _digest"))
     # Repeated rows share id and text; one of them stays. The join has dealt rows by this key.
-    repeated = F.row_number().over(_by_row())
-    return found.withColumn("_n", repeated).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def _by_row():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("_id", "_digest").orderBy("_id")
+    repeated = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy("_id"))
+    return found.withColumn("_n", repeated).where("_n = 1").select("_row.*")

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from parcelsight.llm.common import stored, text_of
+from parcelsight.llm.common import stored, text_of, whole_row
 
 LEVELS = ["domain", "language", "source"]
 EPOCHS = 4
@@ -155,19 +155,12 @@ def chosen(docs: DataFrame, targets: Targets = Targets()) -> DataFrame:
 def mixed(docs: DataFrame, targets: Targets = Targets()) -> DataFrame:
     """The rows of docs with all columns, each as often as it is taken."""
     rows = stored(placed(docs), "mix-rows")
-    found = cuts(rows, targets).select(*[F.col(c).alias(f"_mix_{c}") for c in (*LEVELS, "whole", "last_key")])
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     language = F.coalesce(F.col("lang").cast("string"), F.lit(""))
-    joined = docs.join(
-        found,
-        (domain_of(source) == F.col("_mix_domain")) & (language == F.col("_mix_language")) & (source == F.col("_mix_source")),
-    )
-    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    key = F.md5(F.concat_ws(":", F.lit(str(targets.seed)), F.col("_mix_whole").cast("string"), doc_id))
-    copies = F.col("_mix_whole") + F.coalesce(key <= F.col("_mix_last_key"), F.lit(False)).cast("long")
-    taken = joined.withColumn("_mix_copies", copies).where("_mix_copies > 0")
-    again = F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies").cast("int")))
-    return taken.withColumn("_mix_n", again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    named = [domain_of(source).alias("domain"), language.alias("language"), source.alias("source")]
+    joined = docs.select(whole_row(docs), "doc_id", *named).join(cuts(rows, targets), LEVELS)
+    taken = joined.select("_row", _copies(targets).cast("int").alias("copies")).where("copies > 0")
+    return taken.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("_row.*")
 
 
 def sql(targets: Targets = Targets()) -> str:

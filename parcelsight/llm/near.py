@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelsight.llm import shingles as sh
-from parcelsight.llm.common import BLANKS, stored, text_of
+from parcelsight.llm.common import BLANKS, stored, text_of, whole_row
 
 LEAST = 0.8
 COMMON = 0.005
@@ -352,7 +352,7 @@ def keep_one(docs: DataFrame, least: float = LEAST) -> DataFrame:
     share this id, the one with the least node and then any of the equal ones stays."""
     chosen = classes(docs, least).where("kept").groupBy("class_id").agg(F.min("node").alias("_node"))
     chosen = chosen.select(F.col("class_id").alias("_id"), "_node")
-    own = docs.withColumn("_own", F.unhex(F.md5(body())))
+    own = docs.select(whole_row(docs), "doc_id", F.unhex(F.md5(body())).alias("_own"))
     found = own.join(chosen.hint("shuffle_hash"), F.expr("doc_id <=> _id and _own = _node"))
     repeated = F.row_number().over(Window.partitionBy("_id", "_node").orderBy("_id"))
-    return found.withColumn("_n", repeated).where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.withColumn("_n", repeated).where("_n = 1").select("_row.*")

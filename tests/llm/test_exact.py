@@ -64,3 +64,13 @@ def test_state_goes_on_over_runs(spark, table):
 def test_an_empty_table(table):
     assert exact.decisions(table([])).collect() == []
     assert exact.keep_first(table([])).collect() == []
+
+
+def test_clashing_columns_stay(table):
+    names = ["_row", "_id", "_n", "_own", "domain", "copies", "node"]
+    docs = table([(1, "one text of words here", "en", "src1"), (2, "other words in this text", "de", "src2")])
+    for i, name in enumerate(names):
+        docs = docs.selectExpr("*", f"{i} as `{name}`")
+    made = exact.keep_first(docs)
+    assert made.columns == docs.columns
+    assert all([r[n] for n in names] == list(range(7)) for r in made.collect())

@@ -96,3 +96,14 @@ def test_mixed_rows_are_there_as_often_as_taken(documents, table):
 def test_an_empty_table(table):
     assert mixing.chosen(table([])).collect() == []
     assert mixing.mixed(table([])).collect() == []
+
+
+def test_clashing_columns_stay(table):
+    names = ["_row", "_id", "_n", "_own", "domain", "copies", "node"]
+    docs = table([(1, "one text of words here", "en", "src1"), (2, "other words in this text", "de", "src2")])
+    for i, name in enumerate(names):
+        docs = docs.selectExpr("*", f"{i} as `{name}`")
+    made = mixing.mixed(docs, mixing.Targets(hundredths=100, epochs=1))
+    assert made.count() == 2
+    assert made.columns == docs.columns
+    assert all([r[n] for n in names] == list(range(7)) for r in made.collect())

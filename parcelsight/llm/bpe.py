@@ -29,9 +29,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from parcelsight.llm.common import sliced
+
 RANKS = "byte_bpe_50k.tiktoken"
 #: Words whose ids a Python worker remembers; the store is emptied when it is full.
-MEMO = 400_000
+MEMO = 250_000
 _NEVER = 1 << 62
 
 
@@ -246,7 +248,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocabulary: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in batches:
+        for batch in sliced(batches):
             made = pa.array([own.encode(x or "") for x in batch.column(text).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, ids])
 
@@ -260,7 +262,7 @@ def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in batches:
+        for batch in sliced(batches):
             made = pa.array([own.decode(x or ()) for x in batch.column(ids).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, decoded])
 
@@ -274,7 +276,7 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in batches:
+        for batch in sliced(batches):
             counts, of_ids, of_bytes = [], [], []
             for x in batch.column("text"):
                 ids = own.encode(x.as_py() or "")

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space of the contracts: space and the ASCII control blanks.
@@ -50,6 +52,13 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1_024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, which bounds what a worker holds besides them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of a table as one, `_row`, so that no name of theirs can clash."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")

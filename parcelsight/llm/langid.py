@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from parcelsight.llm import gru
-from parcelsight.llm.common import crc_of_id, text_of
+from parcelsight.llm.common import crc_of_id, sliced, text_of
 
 UNKNOWN = "und"
 LANGUAGES, PER_LANGUAGE, SLICES = 200, 400, 4
@@ -168,7 +168,7 @@ def predict(docs: DataFrame, model: Model | None, language: str = "lang_pred", s
         raise ValueError(f"columns {sorted(clash)} exist already; name others")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             names, scores = model.documents(texts) if model else ([UNKNOWN] * len(texts), [0.0] * len(texts))
             yield pa.RecordBatch.from_arrays(

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelsight.llm import shingles as sh
-from parcelsight.llm.common import BLANKS, stored, text_of, whole_row
+from parcelsight.llm.common import BLANKS, sliced, stored, text_of, whole_row
 
 LEAST = 0.8
 COMMON = 0.005
@@ -176,7 +176,7 @@ def signatures(nodes: DataFrame, weights: Weights) -> DataFrame:
     sent = nodes.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             keys: list[list[int]] = []
             for block in sh.blocks(_texts(batch.column("body"))):
                 keys += _band_keys(block, sent.value)
@@ -221,7 +221,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
     sent = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             both = zip(_texts(batch.column("left_body")), _texts(batch.column("right_body")))
             made = pa.array([similarity(x, y, sent.value) for x, y in both], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("left"), batch.column("right"), made], ["left", "right", "likeness"])

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from parcelsight.llm.common import stored, text_of
+from parcelsight.llm.common import sliced, stored, text_of
 from parcelsight.llm.shingles import _powers_to, mix
 
 SIZE = 64
@@ -155,7 +155,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for batch in batches:
+        for batch in sliced(batches):
             id_type, rows = batch.schema.field("doc_id").type, []
             for doc_id, text, task in zip(*(batch.column(c) for c in ("doc_id", "text", "task"))):
                 own = Printed(text.as_py())

@@ -89,7 +89,7 @@ def exact_quantiles(
         df = df.repartition(*df.columns)
     groups = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()], F.count(F.lit(1)).alias("_rows"))
     if not keys:
-        df, groups = df.withColumn("_all", F.lit(0)), groups.withColumn("_all", F.lit(0))
+        df = df.withColumn("_all", F.lit(0))
 
     def rank(p: float, end) -> Column:
         return end((F.col("_total") - 1) * F.lit(float(p)))
@@ -158,8 +158,12 @@ def exact_quantiles(
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         between = F.when(low == high, low).otherwise(low + (high - low) * F.col(f"_frac{i}"))
         results.append(between.alias(name))
-    found = sorted_values.groupBy(*names).agg(*picks)
-    renamed, same = _same(groups, found, names)
+    found = sorted_values.groupBy(*keys).agg(*picks)
+    if not keys:  # one row each
+        whole = groups.select(F.struct("*")).scalar()
+        row = found.withColumn("_whole", whole)
+        return row.select(*[F.col(f"_whole.{name}").alias(name) for name in aggregates], *results)
+    renamed, same = _same(groups, found, keys)
     return groups.join(renamed, same, "left").select(*keys, *aggregates, *results)
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelsight.llm import gru
-from parcelsight.llm.common import crc_of_id, stored, text_of
+from parcelsight.llm.common import crc_of_id, sliced, stored, text_of
 from parcelsight.llm.shingles import blocks, word_hashes
 
 ADDED = 0.1
@@ -42,9 +42,9 @@ SAMPLE, SLICE, STREAMS, STEPS, EPOCHS, RATE = 1_200, 2_000, 64, 20, 2, 0.01
 #: Steps that are scored together (more where few texts are left), and texts side by side.
 WINDOW, WIDE = 64, 2_048
 #: Rows of a softmax that are worked on together, and bytes of texts.
-ROWS, BLOCK_BYTES = 4_096, 16 << 20
+ROWS, BLOCK_BYTES = 4_096, 8 << 20
 #: Corpus bytes per bucket of words.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 32 << 20
 END = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -84,7 +84,7 @@ def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
     hashes (sorted), counts, and two numbers of each row: words and all their tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 4_096):
             found = [np.unique(tokens(b)[0], return_counts=True) for b in blocks(_bytes(batch), 8 << 20)]
             if not found:
                 continue
@@ -330,6 +330,8 @@ def fit(docs: DataFrame, total: Totals) -> Model | None:
 
 # Scores
 
+#: monotonically_increasing_id has the number of the row within its task in the lower bits.
+_TASK_BITS = 33
 _DOC = "row long, doc_id {id}, n_tokens long, n_known long, logs double, other_logs double, model double"
 _RARE = "bucket long, rows binary, hashes binary"
 
@@ -346,7 +348,7 @@ def scores(docs: DataFrame, total: Totals, model: Model | None, counted: DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, model = sent.value
-        for batch in batches:
+        for batch in sliced(batches, 2_048):
             made, rare = _scored(_bytes(batch), batch.column("row").to_numpy(), total, model, buckets)
             n, extra = batch.num_rows, len(rare)
             columns = [
@@ -361,8 +363,8 @@ def scores(docs: DataFrame, total: Totals, model: Model | None, counted: DataFra
     texts = made.where("row is not null").drop(*rare_names)
     rare = made.where("bucket is not null").select(*rare_names)
     looked_up = rare.groupBy("bucket").cogroup(counted.select("bucket", "hashes", "counts").groupBy("bucket"))
-    sums = looked_up.applyInPandas(_rare_sums, "row long, rare_known long, rare_logs double")
-    sums = sums.groupBy("row").agg(F.sum("rare_known").alias("rare_known"), F.sum("rare_logs").alias("rare_logs"))
+    sums = looked_up.applyInPandas(_rare_sums, "task long, rows binary, known binary, logs binary")
+    sums = sums.groupBy("task").applyInPandas(_row_sums, "row long, rare_known long, rare_logs double")
     joined = texts.join(sums, "row", "left").fillna(0, ["rare_known", "rare_logs"])
     norm = float(np.log10(total.tokens + ADDED * (total.words + 1)))
     base = F.col("logs") + F.col("rare_logs") - F.col("n_tokens") * F.lit(norm)
@@ -417,22 +419,33 @@ def _scored(texts: list[bytes], rows: np.ndarray, total: Totals, model: Model |
 
 
 def _rare_sums(rare: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
-    """Per row of a bucket: tokens with a count, and the sum of log10 of smoothed counts."""
+    """Per row that has words of a bucket: tokens with a count, and the sum of log10 of smoothed
+    counts; packed by the task that numbered the rows."""
     rows, hashes = _joined(rare["rows"], np.int64), _joined(rare["hashes"], np.uint64)
     known, counts = _joined(counted["hashes"], np.uint64), _joined(counted["counts"], np.int64)
     found = np.zeros(len(hashes), np.int64)
     if len(known):
         place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
         found = np.where(known[place] == hashes, counts[place], 0)
+    which, n_known, logs = _by_row(rows, found > 0, np.log10(found + ADDED))
+    packed = [
+        (task, which[s].tobytes(), n_known[s].tobytes(), logs[s].tobytes())
+        for task, s in _runs(which >> _TASK_BITS)
+    ]
+    return pd.DataFrame(packed, columns=["task", "rows", "known", "logs"])
+
+
+def _row_sums(parts: pd.DataFrame) -> pd.DataFrame:
+    """The sums of each row of a task over all buckets."""
+    rows = _joined(parts["rows"], np.int64)
+    which, n_known, logs = _by_row(rows, _joined(parts["known"], np.float64), _joined(parts["logs"], np.float64))
+    return pd.DataFrame({"row": which, "rare_known": n_known.astype(np.int64), "rare_logs": logs})
+
+
+def _by_row(rows: np.ndarray, known: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     which, place = np.unique(rows, return_inverse=True)
     n = len(which)
-    return pd.DataFrame(
-        {
-            "row": which,
-            "rare_known": np.bincount(place, found > 0, n).astype(np.int64),
-            "rare_logs": np.bincount(place, np.log10(found + ADDED), n),
-        }
-    )
+    return which, np.bincount(place, known, n), np.bincount(place, logs, n)
 
 
 def scored(docs: DataFrame) -> DataFrame:

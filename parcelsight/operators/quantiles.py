@@ -163,8 +163,10 @@ def exact_quantiles(
         whole = groups.select(F.struct("*")).scalar()
         row = found.withColumn("_whole", whole)
         return row.select(*[F.col(f"_whole.{name}").alias(name) for name in aggregates], *results)
-    renamed, same = _same(groups, found, keys)
-    return groups.join(renamed, same, "left").select(*keys, *aggregates, *results)
+    # A group without values has its row from the aggregates.
+    both = groups.drop("_rows").unionByName(found.select(*keys, *results), allowMissingColumns=True)
+    columns = [*aggregates, *quantiles]
+    return both.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
 
 
 def median_of_few_values(

@@ -219,12 +219,12 @@ def merge(word: bytes, ranks: dict[bytes, int], below: int = _NEVER) -> list[int
     return [ranks[p] for p in parts]
 
 
-@lru_cache(maxsize=2)
-def codec(path: str, pattern: str = public_tokenizers.PATTERN) -> Codec:
-    """One codec per vocabulary and Python worker."""
+@lru_cache(maxsize=1)
+def codec(path: str, pattern: str = public_tokenizers.PATTERN, memo: int = MEMO) -> Codec:
+    """One codec per Python worker."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return Codec(ranks, pattern)
+    return Codec(ranks, pattern, memo)
 
 
 def _path(vocabulary: str | None) -> str:
@@ -237,22 +237,39 @@ def _plus(df: DataFrame, *names: str) -> None:
         raise ValueError(f"columns {sorted(clash)} exist already; name others")
 
 
-def encode(docs: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    text: str = "text",
+    ids: str = "ids",
+    vocabulary: str | None = None,
+    round_trip: str | None = None,
+    memo: int = MEMO,
+) -> DataFrame:
     """All columns of docs and the token ids of a text column; null text has no ids.
 
-    Rows are independent: no shuffle, repeated rows stay, an empty table stays empty. A
-    clashing output name is refused. A batch is one Arrow batch of whole texts.
+    With a name for it, `round_trip` tells whether the ids decode to the text's bytes; one
+    worker does both, where `decode` after `encode` would need two. `memo` bounds what
+    a worker remembers. Rows are independent: no shuffle, repeated rows stay, an empty table
+    stays empty. A clashing output name is refused. Texts are taken whole.
     """
-    _plus(docs, ids)
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    if round_trip:
+        added.append(T.StructField(round_trip, T.BooleanType()))
+    names = [f.name for f in added]
+    _plus(docs, *names)
     path = _path(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
-        for batch in sliced(batches):
-            made = pa.array([own.encode(x or "") for x in batch.column(text).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, ids])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+        own = codec(path, memo=memo)
+        for batch in sliced(batches, 256):
+            texts = [x or "" for x in batch.column(text).to_pylist()]
+            encoded = [own.encode(x) for x in texts]
+            made = [pa.array(encoded, pa.list_(pa.int32()))]
+            if round_trip:
+                made.append(pa.array([own.decode(i) == x.encode() for i, x in zip(encoded, texts)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", vocabulary: str | None = None) -> DataFrame:

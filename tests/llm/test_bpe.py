@@ -68,6 +68,8 @@ def test_columns_stay_and_clashes_are_refused(table):
     made = {r.doc_id: r for r in bpe.decode(bpe.encode(docs)).collect()}
     assert made[1].n_chars == 7 and bytes(made[1].decoded) == b"one two"
     assert made[2].ids == [] and bytes(made[2].decoded) == b""
+    checked = {r.doc_id: r for r in bpe.encode(docs, ids="own", round_trip="same", memo=1).collect()}
+    assert checked[1].own == made[1].ids and checked[1].same and checked[2].same
     with pytest.raises(ValueError):
         bpe.encode(docs, ids="n_chars")
     assert bpe.round_trip(table([])).collect() == []

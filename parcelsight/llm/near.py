@@ -327,7 +327,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """One row per row of docs: doc_id, node, class_id, class_size and kept (see `keep_one`)."""
+    """One row per row of docs: doc_id, node, root, class_id, class_size and kept (see `keep_one`).
+    The root tells classes apart, also those whose smallest id is the same or null."""
     nodes = nodes_of(docs)
     weights = Weights(*common_shares(nodes))
     signed = stored(signatures(nodes, weights), "near-signatures")
@@ -343,14 +344,14 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     rooted = _rooted(signed.select("doc_id", "node"), roots, "node", "root")
     sized = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return rooted.join(sized, "root").select(
-        "doc_id", "node", "class_id", "class_size", F.expr("doc_id <=> class_id").alias("kept")
+        "doc_id", "node", "root", "class_id", "class_size", F.expr("doc_id <=> class_id").alias("kept")
     )
 
 
 def keep_one(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """One row of each class, that with the smallest id, with all columns of docs. Of rows that
-    share this id, the one with the least node and then any of the equal ones stays."""
-    chosen = classes(docs, least).where("kept").groupBy("class_id").agg(F.min("node").alias("_node"))
+    """One row of each class, that with the smallest id, with all columns of docs. Of rows of a
+    class that share this id, the one with the least node and then any of the equal ones stays."""
+    chosen = classes(docs, least).where("kept").groupBy("root", "class_id").agg(F.min("node").alias("_node"))
     chosen = chosen.select(F.col("class_id").alias("_id"), "_node")
     own = docs.select(whole_row(docs), "doc_id", F.unhex(F.md5(body())).alias("_own"))
     found = own.join(chosen.hint("shuffle_hash"), F.expr("doc_id <=> _id and _own = _node"))

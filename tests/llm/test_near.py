@@ -133,6 +133,21 @@ def test_one_row_of_each_class_stays(table):
     assert ids == sorted(set(c for _, c in plain_classes(rows)) | {100} | ({100} & set(ids))) or ids.count(100) == 2
 
 
+def test_each_class_keeps_one_row_where_ids_are_null_or_repeated(table):
+    rng = np.random.default_rng(8)
+    first, second, third = (text_of(rng, 200) for _ in range(3))
+    group = [(7, first), *((20 + i, changed(rng, first, 1)) for i in range(10))]  # near copies, least id 7
+    rows = group + [(7, second), (7, second), (7, "short text")]  # two more classes of id 7
+    rows += [(None, third), (None, changed(rng, third, 1)), (None, "no id"), (None, None), (None, " "), (None, "No  ID")]
+    rows += [(30, "some id"), (None, "some  id")]
+    kept = sorted((r.doc_id or 0, (r.text or "").strip().lower()[:7]) for r in near.keep_one(table(rows)).collect())
+    want = [(7, first), (7, second), (7, "short text"), (0, third), (0, "no id"), (0, ""), (30, "some id")]
+    # Of `third` and its near copy the first words may be the changed ones.
+    assert len(kept) == len(want)
+    assert [k for k in kept if k[0]] == sorted((d, t[:7].strip()) for d, t in want if d)
+    assert sorted(" ".join(t.split()) for d, t in kept if not d and t in ("", "no id", "no  id")) == ["", "no id"]
+
+
 def test_an_empty_table(table):
     assert near.classes(table([])).collect() == []
     assert near.keep_one(table([])).collect() == []

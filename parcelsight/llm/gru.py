@@ -53,18 +53,21 @@ def states(layer, symbols: np.ndarray, state: np.ndarray) -> np.ndarray:
     return out
 
 
-def states_and_tape(layer, symbols: np.ndarray, state: np.ndarray):
-    """The same with what backpropagation needs."""
+def states_and_tape(layer, symbols: np.ndarray, state: np.ndarray, kept: np.ndarray | None = None):
+    """The same with what backpropagation needs. kept: 0 at steps x sequences that start from
+    a new state, 1 elsewhere."""
     out, tape = np.empty((len(symbols), *state.shape), np.float32), []
     for t, row in enumerate(symbols):
+        if kept is not None:
+            state = state * kept[t]
         update, reset, candidate, inner = _step(layer, row, state)
         tape.append((state, update, reset, candidate, inner))
         state = out[t] = candidate + update * (state - candidate)
     return out, tape
 
 
-def gradients(layer, symbols: np.ndarray, tape, of_states: np.ndarray) -> dict[str, np.ndarray]:
-    """Gradients of table and back, given those of the states after each step."""
+def gradients(layer, symbols: np.ndarray, tape, of_states: np.ndarray, kept: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Gradients of table and back, given those of the states after each step. kept: as there."""
     hidden = of_states.shape[1]
     back = layer["back"]
     of_back = np.zeros_like(back)
@@ -82,6 +85,8 @@ def gradients(layer, symbols: np.ndarray, tape, of_states: np.ndarray) -> dict[s
         recalled[2 * hidden :] *= reset
         of_back += recalled @ before.T
         later = now * update + back.T @ recalled
+        if kept is not None:
+            later *= kept[t]
     count = layer["table"].shape[1]
     flat = symbols.ravel()
     rows = of_given.transpose(1, 0, 2).reshape(3 * hidden, -1)

@@ -9,8 +9,13 @@ each text and is carried over all its windows. Its output is factored: first the
 the token, then the token among those of its class. It knows the KNOWN most frequent
 tokens; any other is an `other`, times its share of the smoothed counts of all others,
 so the probabilities of all words add up to one. It is trained in numpy by backpropagation
-truncated to STEPS tokens, on slices of a bounded number of training texts (SAMPLE texts,
-SLICE signs each).
+truncated to STEPS tokens (more where few texts are left), on all training texts from their
+first token to their end, states carried through each and new in the next.
+
+Training goes in rounds: each takes a share of the training texts (ROUNDS, by hash), and every
+text is in one round. In a round each task trains the model on its texts; the next one starts
+from the mean of the tasks' models, weighted by their tokens. Corpora under LEAST tokens
+are passed over several times, PASSES at most.
 
 Counts of frequent words (a HEAD-th of all tokens or more, so HEAD words at most) go to
 every task. What remains of a text, its rare words, is looked up where their counts are: by
@@ -23,12 +28,15 @@ gives an empty table. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import copy
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelsight.llm import gru
@@ -38,7 +46,13 @@ from parcelsight.llm.shingles import blocks, word_hashes
 ADDED = 0.1
 HEAD = 1 << 18
 KNOWN, CLASSES, HIDDEN = 1_022, 32, 16
-SAMPLE, SLICE, STREAMS, STEPS, EPOCHS, RATE = 1_200, 2_000, 64, 20, 2, 0.01
+#: Texts side by side at most, and updates that a block gets at least if it has the tokens.
+STREAMS, UPDATES = 512, 64
+STEPS, LONGEST, RATE = 20, 400, 0.01
+#: Where the rounds end, as shares of the training texts; tokens of a corpus that is passed over once.
+ROUNDS, LEAST, PASSES = (1 / 16, 1 / 4, 1), 1 << 21, 8
+#: Parts of the weights that are summed apart.
+PARTS = 16
 #: Steps that are scored together (more where few texts are left), and texts side by side.
 WINDOW, WIDE = 64, 2_048
 #: Rows of a softmax that are worked on together, and bytes of texts.
@@ -260,30 +274,81 @@ def new_model(total: Totals, seed: int = 3) -> Model:
     )
 
 
-def train(model: Model, symbols: np.ndarray, epochs: int = EPOCHS) -> None:
-    """Truncated backpropagation over STREAMS runs of the symbols of all slices, in place.
-
-    symbols: the sample's texts one after the other; a text's state starts anew after an end."""
-    length = len(symbols) // STREAMS // STEPS * STEPS
-    if not length:
-        return
-    after = symbols[: length * STREAMS].reshape(STREAMS, length).T
-    before = np.vstack([np.full((1, STREAMS), model.end), after[:-1]])
-    weights = {f"layer.{k}": w for k, w in model.layer.items()} | {f"out.{k}": w for k, w in model.out.items()}
-    tuned = gru.Adam(weights, RATE)
-    updates = epochs * (length // STEPS)
+class Trainer:
+    """Truncated backpropagation over STREAMS runs of whole texts, in place.
+
+    Each text goes to the run that has least to do. All runs move on by STEPS tokens
+    while each has as many; `finish` takes what is left of them."""
+
+    def __init__(self, model: Model, rate: float = RATE):
+        self.model, self.tokens = model, 0
+        self.tuned = gru.Adam(_weights(model), rate)
+        self.waiting: list[np.ndarray] = []
+
+    def feed(self, symbols: np.ndarray) -> None:
+        """Learn from texts one after the other, each with its end."""
+        if not len(symbols):
+            return
+        self.tokens += len(symbols)
+        if not self.waiting:
+            n = max(1, min(STREAMS, len(symbols) // (STEPS * UPDATES)))
+            self.waiting = [np.zeros(0, np.int64)] * n
+            self.last, self.state = np.full(n, self.model.end), np.zeros((HIDDEN, n), np.float32)
+        edges = np.flatnonzero(symbols[:-1] == self.model.end) + 1
+        own: list[list[np.ndarray]] = [[w] for w in self.waiting]
+        load = [(len(w), i) for i, w in enumerate(self.waiting)]
+        heapq.heapify(load)
+        for text in np.split(symbols, edges):
+            size, i = load[0]
+            own[i].append(text)
+            heapq.heapreplace(load, (size + len(text), i))
+        self.waiting = [np.concatenate(x) for x in own]
+        every = np.arange(len(own))
+        sizes = np.array([len(w) for w in self.waiting])
+        for _ in range(sizes.min() // STEPS):
+            self._step(every, STEPS)
+
+    def finish(self) -> None:
+        while True:
+            sizes = np.array([len(w) for w in self.waiting])
+            runs = np.flatnonzero(sizes)
+            if not len(runs):
+                return
+            steps = min(LONGEST, STEPS * len(sizes) // len(runs)) if len(sizes) > 1 else LONGEST
+            self._step(runs, min(steps, int(sizes.max())))
+
+    def _step(self, runs: np.ndarray, steps: int) -> None:
+        after, there = np.zeros((steps, len(runs)), np.int64), np.zeros((steps, len(runs)), bool)
+        for j, i in enumerate(runs.tolist()):
+            part, self.waiting[i] = self.waiting[i][:steps], self.waiting[i][steps:]
+            after[: len(part), j], there[: len(part), j] = part, True
+        before = np.vstack([self.last[runs][None], after[:-1]])
+        kept = (before != self.model.end).astype(np.float32)
+        grads, self.state[:, runs] = _gradients(self.model, before, after, self.state[:, runs], kept, there)
+        self.last[runs] = after[-1]
+        self.tuned.step(grads, 1 / (1 + self.tuned.steps / 200))
+
+
+def _weights(model: Model) -> dict[str, np.ndarray]:
+    return {f"layer.{k}": w for k, w in model.layer.items()} | {f"out.{k}": w for k, w in model.out.items()}
+
+
+def train(model: Model, symbols: np.ndarray, epochs: int = 1) -> None:
+    """Learn from texts one after the other, each with its end, in place."""
+    trainer = Trainer(model)
     for _ in range(epochs):
-        state = np.zeros((HIDDEN, STREAMS), np.float32)
-        for at in range(0, length, STEPS):
-            grads, state = _gradients(model, before[at : at + STEPS], after[at : at + STEPS], state)
-            tuned.step(grads, 1 - 0.9 * tuned.steps / updates)
+        trainer.feed(symbols)
+    trainer.finish()
 
 
-def _gradients(model: Model, before: np.ndarray, after: np.ndarray, state: np.ndarray):
-    states, tape = gru.states_and_tape(model.layer, before, state)
-    seen = states.transpose(0, 2, 1).reshape(-1, HIDDEN)
+def _gradients(model: Model, before: np.ndarray, after: np.ndarray, state: np.ndarray, kept=None, there=None):
+    """Gradients of the mean loss and the last states. kept: 0 where a text starts; there: False
+    where a run has no more tokens. Both steps x runs, as before and after."""
+    there = np.ones(after.shape, bool) if there is None else there
+    states, tape = gru.states_and_tape(model.layer, before, state, kept)
+    seen = states.transpose(0, 2, 1)[there]
     size = model.out["words"].shape[1]
-    classes, places = np.divmod(after.ravel(), size)
+    classes, places = np.divmod(after[there], size)
     n = len(classes)
     wrong = _softmax(seen @ model.out["classes"].T + model.out["class_bias"])
     wrong[np.arange(n), classes] -= 1
@@ -297,9 +362,11 @@ def _gradients(model: Model, before: np.ndarray, after: np.ndarray, state: np.nd
         off[np.arange(len(rows)), places[rows]] -= 1
         grads["words"][c], grads["word_bias"][c] = off.T @ seen[rows], off.sum(0)
         of_seen[rows] += off @ model.out["words"][c]
-    of_states = (of_seen / n).reshape(*after.shape, HIDDEN).transpose(0, 2, 1)
+    of_states = np.zeros((*after.shape, HIDDEN), np.float32)
+    of_states[there] = of_seen / n
     grads = {f"out.{k}": g / n for k, g in grads.items()}
-    grads |= {f"layer.{k}": g for k, g in gru.gradients(model.layer, before, tape, of_states).items()}
+    of_layer = gru.gradients(model.layer, before, tape, of_states.transpose(0, 2, 1), kept)
+    grads |= {f"layer.{k}": g for k, g in of_layer.items()}
     return {k: g.astype(np.float32) for k, g in grads.items()}, states[-1]
 
 
@@ -315,19 +382,50 @@ def fit(docs: DataFrame, total: Totals) -> Model | None:
     if not total.tokens:
         return None
     model = new_model(total)
-    rows = docs.where(~held_out())
-    share = min(1.0, SAMPLE / max(1, rows.count()))
-    place = F.pmod(F.xxhash64(F.lit("model sample"), "doc_id"), F.lit(1 << 32)) / float(1 << 32)
-    text = text_of()
-    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length(text) - SLICE + 1)).cast("int") + 1
-    cut = F.substring(text, start, F.lit(SLICE))
-    found = rows.where(place < share).select(place.alias("place"), "doc_id", cut.alias("cut")).collect()
-    texts = [r["cut"].encode() for r in sorted(found, key=lambda r: (r["place"], r["doc_id"], r["cut"]))]
-    if texts:
-        train(model, model.symbols_of(tokens(texts)[0]))
+    passes = min(PASSES, -(-LEAST // total.tokens))
+    place = F.pmod(F.xxhash64(F.lit("model rounds"), "doc_id", "text"), F.lit(1 << 32)) / float(1 << 32)
+    rows = docs.where(~held_out()).select("doc_id", text_of().alias("text")).select("text", place.alias("place"))
+    first = 0.0
+    for i, last in enumerate(ROUNDS):
+        _round(model, rows.where((F.col("place") >= first) & (F.col("place") < last)).select("text"), passes, RATE / (1 + i))
+        first = last
     return model
 
 
+def _round(model: Model, texts: DataFrame, passes: int, rate: float) -> None:
+    """Train the model on texts in every task; it becomes the mean of the tasks' models."""
+    sent = texts.sparkSession.sparkContext.broadcast(model)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = copy.deepcopy(sent.value)
+        trainer = Trainer(own, rate)
+        for batch in sliced(batches, 2_048):
+            for block in blocks(_bytes(batch), BLOCK_BYTES):
+                symbols = own.symbols_of(tokens(block)[0])
+                for _ in range(passes):
+                    trainer.feed(symbols)
+        if trainer.tokens:
+            trainer.finish()
+            parts = np.array_split(np.concatenate([w.ravel() for w in _weights(own).values()]), PARTS)
+            made = [range(PARTS), [TaskContext.get().partitionId()] * PARTS, [trainer.tokens] * PARTS, [p.tobytes() for p in parts]]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(made, kinds)], ["part", "task", "tokens", "weights"])
+
+    def mean(models: pd.DataFrame) -> pd.DataFrame:
+        models = models.sort_values("task")  # the same sums in every run
+        shares = models["tokens"] / models["tokens"].sum()
+        sums = sum(share * np.frombuffer(w, np.float32).astype(np.float64) for share, w in zip(shares, models["weights"]))
+        return pd.DataFrame([(models["part"].iloc[0], sums.astype(np.float32).tobytes())], columns=["part", "weights"])
+
+    learned = texts.mapInArrow(learn, "part long, task long, tokens long, weights binary")
+    rows = sorted(learned.groupBy("part").applyInPandas(mean, "part long, weights binary").collect())
+    if rows:
+        found, at = _joined([r["weights"] for r in rows], np.float32), 0
+        for w in _weights(model).values():
+            w[...] = found[at : at + w.size].reshape(w.shape)
+            at += w.size
+
+
 # Scores
 
 #: monotonically_increasing_id has the number of the row within its task in the lower bits.

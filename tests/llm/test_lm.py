@@ -1,12 +1,15 @@
 """Language model scores: counts by hand, probabilities that add up, carried states."""
 
+import uuid
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from conftest_llm import plain_words
 from parcelsight.llm import gru, lm
+from parcelsight.llm.common import shared_folder
 
 
 def lowered(text):
@@ -120,6 +123,76 @@ def test_training_lowers_the_loss():
     assert model.log_likelihoods(symbols[:500], np.array([0, 500]))[0] > before / 3
 
 
+def test_training_starts_each_text_anew_and_takes_it_whole(monkeypatch):
+    """Runs of texts give the gradients of the texts apart, whatever the windows leave over."""
+    model = small_model()
+    rng = np.random.default_rng(6)
+    words = np.delete(np.arange(70), model.end)
+    texts = [np.append(rng.choice(words, n), model.end) for n in (3, 1, 7, 2, 40, 5)]
+    one = np.concatenate(texts)[:, None]
+    before = np.vstack([[[model.end]], one[:-1]])
+    start = np.zeros((lm.HIDDEN, 1), np.float32)
+    grads, _ = lm._gradients(model, before, one, start, (before != model.end).astype(np.float32))
+    apart = 0
+    for text in texts:
+        own = text[:, None]
+        found, _ = lm._gradients(model, np.vstack([[[model.end]], own[:-1]]), own, start)
+        apart = {k: g * len(text) + (apart[k] if apart else 0) for k, g in found.items()}
+    assert all(np.allclose(g * len(one), apart[k], atol=1e-3) for k, g in grads.items())
+
+    seen = []
+    step = lm._gradients
+    monkeypatch.setattr(lm, "_gradients", lambda m, b, a, s, k, t: (seen.append((b[t], a[t])), step(m, b, a, s, k, t))[1])
+    lm.train(model, np.concatenate(texts))
+    got = sorted((b, a) for before, after in seen for b, a in zip(before.tolist(), after.tolist()))
+    assert got == sorted(zip(before[:, 0].tolist(), one[:, 0].tolist()))
+
+
+def test_every_training_text_is_learned_from_once(table, monkeypatch):
+    """In short and long texts, past any bound on texts or signs; held-out ones are not."""
+    rows = [(i, f"t{i} " + "word " * (3_000 if i % 9 == 4 else 3)) for i in range(120)] + [(None, "no id")] * 3
+    docs = table(rows)
+    folder = shared_folder(docs.sparkSession, "t-seen").removeprefix("file:")
+    Path(folder).mkdir(parents=True)
+
+    class Seen(lm.Trainer):
+        def feed(self, symbols):
+            with open(f"{folder}/{uuid.uuid4().hex}", "wb") as out:
+                out.write(self.model.names[symbols].tobytes())
+
+        def finish(self):
+            self.tokens = 0
+
+    counted = lm.word_counts(docs, 3)
+    total = lm.totals(counted)
+    monkeypatch.setattr(lm, "LEAST", 1)
+    made = lm.new_model
+
+    def named(total):
+        model = made(total)
+        model.names = np.zeros(len(model.hashes) + 1, np.uint64)
+        model.names[model.symbols] = model.hashes
+        return model
+
+    monkeypatch.setattr(lm, "new_model", named)
+    monkeypatch.setattr(lm, "Trainer", Seen)
+    lm.fit(docs, total)
+    seen = np.concatenate([np.frombuffer(f.read_bytes(), np.uint64) for f in Path(folder).iterdir()])
+    want = lm.tokens([t.encode() for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 10])[0]
+    assert sorted(seen.tolist()) == sorted(want.tolist())
+
+
+def test_short_corpora_are_learned_from(table):
+    rows = [(i, "one two three four " * 10) for i in range(1, 9)]
+    docs = table(rows)
+    total = lm.totals(lm.word_counts(docs, 3))
+    assert total.tokens < 1_280
+    before, after = lm.new_model(total), lm.fit(docs, total)
+    hashes, starts = lm.tokens([rows[0][1].encode()])
+    loss = lambda m: -m.log_likelihoods(m.symbols_of(hashes), starts)[0]
+    assert loss(after) < 0.8 * loss(before)
+
+
 def test_nothing_to_learn_from(table):
     assert lm.scored(table([])).collect() == []
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)

@@ -123,6 +123,15 @@ def test_training_lowers_the_loss():
     assert model.log_likelihoods(symbols[:500], np.array([0, 500]))[0] > before / 3
 
 
+def test_the_model_knows_the_2046_most_frequent_words():
+    rng = np.random.default_rng(7)
+    hashes = np.unique(np.append(rng.integers(0, 1 << 63, 5_000).astype(np.uint64), lm.END))
+    counts = rng.permutation(len(hashes)) + 1
+    model = lm.new_model(lm.Totals(int(counts.sum()), len(hashes), hashes, counts))
+    often = hashes[np.argsort(-counts)[:2_045]]
+    assert len(model.hashes) >= 2_046 and (model.symbols_of(often) != model.other).all()
+
+
 def test_training_starts_each_text_anew_and_takes_it_whole(monkeypatch):
     """Runs of texts give the gradients of the texts apart, whatever the windows leave over."""
     model = small_model()

@@ -131,21 +131,29 @@ def _texts(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
 
 def _unequal(docs: DataFrame, grouped: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """The digests under which some row's bytes differ from the kept row's, as a stored table."""
-    hits = grouped.where("group_size > 1")
+    differ = _met(docs, grouped, digest).where("text != kept_text")
+    return stored(differ.select("digest").distinct(), "exact-unequal")
+
+
+def _met(docs: DataFrame, grouped: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """digest, text and kept_text: each row of a group with the kept text, once. Only where rows
+    of the kept id have several texts under the digest does it meet each of them."""
+    # Repeated rows and rows without an id share doc_id and digest: one hit stands for them. One
+    # key of both, so that a large group is not dealt by its digest alone.
+    hits = grouped.where("group_size > 1").groupBy(F.struct("digest", "doc_id").alias("key"))
+    hits = hits.agg(F.max("kept").alias("kept"), F.max("group_size").alias("group_size"))
+    hits = hits.select("key.digest", "key.doc_id", "kept", "group_size")
     found = _texts(docs, digest).alias("t").join(
         hits.alias("h").hint("shuffle_hash"),
         F.expr("t.doc_id <=> h.doc_id and t.digest = h.digest"),
     )
-    rows = found.select("h.digest", "h.doc_id", "h.keep_id", "h.kept", "h.group_size", "t.text")
+    rows = found.select("h.digest", "h.doc_id", "h.kept", "h.group_size", "t.text")
     salts = F.ceil(F.col("group_size") / SALT_ROWS).cast("int")
-    kept = rows.where("kept").select(
+    kept = rows.where("kept").select("digest", "text", "group_size").distinct().select(
         "digest", F.col("text").alias("kept_text"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
     )
-    others = rows.where("not kept").select(
-        "digest", "text", F.pmod(F.xxhash64("doc_id", "text"), salts).cast("int").alias("salt")
-    )
-    differ = others.join(kept, ["digest", "salt"]).where("text != kept_text")
-    return stored(differ.select("digest").distinct(), "exact-unequal")
+    each = rows.select("digest", "text", F.pmod(F.xxhash64("doc_id", "text"), salts).cast("int").alias("salt"))
+    return each.join(kept, ["digest", "salt"]).select("digest", "text", "kept_text")
 
 
 def _regrouped(docs: DataFrame, grouped: DataFrame, odd: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:

@@ -44,6 +44,16 @@ def test_a_hot_group_is_spread_over_salts(table, monkeypatch):
     assert decided(exact.decisions(table(rows))) == plain(rows)
 
 
+def test_repeated_rows_meet_the_kept_text_once(table, monkeypatch):
+    met, given = [], exact._met
+    monkeypatch.setattr(exact, "_met", lambda *a: (met.append(given(*a).count()), given(*a))[1])
+    rows = [(1, "twice")] * 40 + [(None, "no id")] * 50 + [(2, "alone")]
+    made = exact.decisions(table(rows)).collect()
+    assert met == [90]
+    assert sorted((r.doc_id or 0, r.group_size, r.kept) for r in made if r.kept) == [(0, 50, True), (1, 40, True), (2, 1, True)]
+    assert len(made) == 91
+
+
 def test_what_stays_keeps_all_columns(table):
     kept = exact.keep_first(table(ROWS))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]

@@ -27,10 +27,3 @@ def values(spark):
         return [r[0] for r in spark.createDataFrame(rows, schema).select(column).collect()]
 
     return run
-
-
-def ts(text):
-    """A zone-less timestamp from 'YYYY-MM-DD[ HH:MM[:SS]]'."""
-    from datetime import datetime
-
-    return None if text is None else datetime.fromisoformat(text)

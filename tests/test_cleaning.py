@@ -1,7 +1,7 @@
 """Cleaning steps, coordinates and distances on hand-made rows."""
 
 import pytest
-from conftest import ts
+from helpers import ts
 
 from parcelsight.operators.quality import QualityError
 from parcelsight.plans import cleaning as C

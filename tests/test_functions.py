@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from conftest import ts
+from helpers import ts
 from pyspark.sql import functions as F
 
 from parcelsight.functions import delivery as D

@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from conftest import ts
+from helpers import ts
 
 from parcelsight.plans import alerts as A
 from parcelsight.plans import kpis as K

@@ -1,7 +1,7 @@
 """CSV and parquet sources and sinks, and the name-based conform step."""
 
 import pytest
-from conftest import ts
+from helpers import ts
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelsight.llm import bpe, counts, exact, langid, lm, mixing, near, phrases, secrets, urls
+from parcelsight.llm import bpe, counts, exact, langid, lm, manifest, mixing, near, phrases, secrets, urls
 from parcelsight.llm.common import read
 
 
@@ -68,6 +68,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(read(spark, sf_dir, "documents"), manifest.tampered())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_manifest": op12_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -117,4 +122,5 @@ select doc_id,
 from keyed
 window same as (partition by body)
 """,
+    "op12_manifest": manifest.sql(),
 }

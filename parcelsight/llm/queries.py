@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelsight.llm import bpe, counts, exact, langid, lm, manifest, mixing, near, phrases, secrets, urls
+from parcelsight.llm import bpe, counts, exact, forest, langid, lm, manifest, mixing, near, phrases, search, secrets, urls
 from parcelsight.llm.common import read
 
 
@@ -68,10 +68,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.linked(read(spark, sf_dir, "embeddings"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(read(spark, sf_dir, "documents"), manifest.tampered())
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_secrets": op2_secrets,
@@ -83,7 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_embedding_forest": op11_embedding_forest,
     "op12_manifest": op12_manifest,
+    "op13_search": op13_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -122,5 +132,7 @@ select doc_id,
 from keyed
 window same as (partition by body)
 """,
+    "op11_embedding_forest": forest.sql(),
     "op12_manifest": manifest.sql(),
+    "op13_search": search.sql(),
 }

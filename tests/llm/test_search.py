@@ -59,7 +59,7 @@ def test_against_scoring_every_document(spark):
     docs = corpus(rng, 400)
     queries = [(i, " ".join(f"w{rng.randrange(1, 70)}" for _ in range(rng.randrange(1, 12)))) for i in range(20)]
     check(spark, docs, queries)
-    check(spark, docs, queries, k=3, most=40)  # several blocks of queries
+    check(spark, docs, queries, k=3, most=90)  # several blocks of queries
 
 
 def test_ties_copies_nulls_empty_and_repeated_rows(spark):
@@ -67,7 +67,6 @@ def test_ties_copies_nulls_empty_and_repeated_rows(spark):
     docs += [(50, None), (51, ""), (52, " .,;\n"), (None, "two two É é 中文 a中b"), (53, "É é"), (54, "x" * 200_000 + " one")]
     docs += [(55, "one " * 60_000), (56, "Naïve naïve-ONE_two9")]
     queries = [(1, "ONE two"), (1, "ONE two"), (2, None), (3, ""), (4, "nowhere"), (None, "é two"), (5, "one one one two"), (6, "中文 naïve two9")]
-    check(spark, docs, queries)
     check(spark, docs, queries, k=60)
 
 

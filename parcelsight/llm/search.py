@@ -47,7 +47,7 @@ BEST = 10
 #: (query, term) rows of a block of queries.
 TERMS = 500_000
 #: Documents, and counts of terms, that a task searches together.
-SHARD, ENTRIES = 16_384, 4_000_000
+SHARD, ENTRIES = 8_192, 1_000_000
 #: Positions of each list in the first round; every further round reads twice as many.
 FIRST = 8
 #: Parts in which a query's results are merged first.
@@ -85,12 +85,12 @@ class Shard:
     def __init__(self, starts: np.ndarray, held: np.ndarray, impacts: np.ndarray, vocabulary: int):
         """starts: first posting of each document, and the end; held: terms of the postings."""
         self.starts, self.held, self.impacts = starts, held, impacts
-        owners = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        owners = np.repeat(np.arange(len(starts) - 1, dtype=np.int32), np.diff(starts))
         order = np.lexsort((-impacts, held))
         self.owners, self.falling = owners[order], impacts[order]
         self.first = np.searchsorted(held[order], np.arange(vocabulary + 1))
-        self.places = np.empty(len(order), np.int64)
-        self.places[order] = np.arange(len(order))
+        self.places = np.empty(len(order), np.int32)
+        self.places[order] = np.arange(len(order), dtype=np.int32)
 
     def postings(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Direct access: all postings of the documents, and the place of their document in docs."""
@@ -242,8 +242,8 @@ def frequencies(found: DataFrame, n: int) -> np.ndarray:
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     held, rows, entries = [], 0, 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 2_048):
-            part = batch.slice(at, 2_048)
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
             held.append(part)
             rows, entries = rows + part.num_rows, entries + len(part.column("held").flatten())
             if rows >= SHARD or entries >= ENTRIES:

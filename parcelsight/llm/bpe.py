@@ -29,14 +29,55 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from parcelsight.llm.common import sliced
+from parcelsight.llm.common import released, sliced
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Words whose ids a Python worker remembers; the store is emptied when it is full.
+#: Words whose ids a Python worker remembers.
 MEMO = 250_000
 _NEVER = 1 << 62
 
 
+class Memo:
+    """Remembered values by text, in two generations: when the young one is full it becomes the old
+    one, and what is still asked for there moves up. So frequent texts stay, and at most `size` are held.
+
+    A text is entered when it is met a second time, as most rare ones never are; whether it
+    was met is known from one bit per hash, which may take a new text for a known one."""
+
+    BITS = 1 << 21
+
+    def __init__(self, size: int):
+        self.half = max(1, size // 2)
+        self.forget()
+
+    def forget(self) -> None:
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+        self.met, self.n_met = bytearray(self.BITS), 0
+
+    def aged(self, text: str) -> tuple[int, ...] | None:
+        """The value of a text that the young generation does not have."""
+        found = self.old.get(text)
+        if found is not None:
+            self._enter(text, found)
+        return found
+
+    def offer(self, text: str, value: tuple[int, ...]) -> None:
+        at = hash(text) & (self.BITS - 1)
+        if self.met[at]:
+            self._enter(text, value)
+            return
+        if self.n_met >= self.BITS // 4:
+            self.met, self.n_met = bytearray(self.BITS), 0
+        self.met[at] = 1
+        self.n_met += 1
+
+    def _enter(self, text: str, value: tuple[int, ...]) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[text] = value
+
+
 class Codec:
     """Encoder and decoder for the ranks of one vocabulary."""
 
@@ -51,14 +92,19 @@ class Codec:
         self.parts: dict[int, tuple[int, ...]] = {}
         self.shorter: dict[int, int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.units: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
+        self.units, self.words = Memo(memo), Memo(memo)
         self.memo = memo
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
 
+    def forget(self) -> None:
+        """Let go of all texts and pairs that were remembered."""
+        self.units.forget()
+        self.words.forget()
+        self.pairs.clear()
+
     def _parts(self, token: int) -> tuple[int, ...]:
         """The two tokens whose merge gives this one, or the byte itself for a byte."""
         found = self.parts.get(token)
@@ -144,13 +190,11 @@ class Codec:
     def _encode_unit(self, unit: str) -> list[int]:
         words, ids = self.words, []
         for word in self.patterns.findall(unit):
-            found = words.get(word)
+            found = words.young.get(word) or words.aged(word)
             if found is None:
-                found = self.encode_word(word.encode())
+                found = tuple(self.encode_word(word.encode()))
                 if len(word) < 64:
-                    if len(words) >= self.memo:
-                        words.clear()
-                    words[word] = found
+                    words.offer(word, found)
             ids += found
         return ids
 
@@ -158,20 +202,21 @@ class Codec:
         """Ids of a text. A blank before a visible sign always starts a word of the pattern,
         so the text falls there into units whose ids are remembered."""
         units = text.split(" ")
-        found = list(map(self.units.get, units))
+        memo = self.units
+        found = list(map(memo.young.get, units))
         found[0] = self._encode_unit(units[0])
         if None in found:
-            memo = self.units
             for i, ids in enumerate(found):
                 if ids is None:
                     unit = units[i]
                     if not unit or unit[0].isspace():
                         return self._encode_apart(text)
-                    found[i] = ids = self._encode_unit(" " + unit)
-                    if len(unit) < 64:
-                        if len(memo) >= self.memo:
-                            memo.clear()
-                        memo[unit] = ids
+                    ids = memo.aged(unit)
+                    if ids is None:
+                        ids = tuple(self._encode_unit(" " + unit))
+                        if len(unit) < 64:
+                            memo.offer(unit, ids)
+                    found[i] = ids
         return list(chain.from_iterable(found))
 
     def _encode_apart(self, text: str) -> list[int]:
@@ -232,7 +277,8 @@ def _path(vocabulary: str | None) -> str:
 
 
 def _plus(df: DataFrame, *names: str) -> None:
-    clash = set(names) & set(df.columns)
+    """Refuse names that a column has already; Spark takes no notice of the case of letters."""
+    clash = {n.lower() for n in names} & {c.lower() for c in df.columns}
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already; name others")
 
@@ -261,6 +307,9 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, memo=memo)
+        return released(encoded_batches(batches, own), own.forget)
+
+    def encoded_batches(batches: Iterator[pa.RecordBatch], own: Codec) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 256):
             texts = [x or "" for x in batch.column(text).to_pylist()]
             encoded = [own.encode(x) for x in texts]
@@ -293,6 +342,9 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
+        return released(digests(batches, own), own.forget)
+
+    def digests(batches: Iterator[pa.RecordBatch], own: Codec) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             counts, of_ids, of_bytes = [], [], []
             for x in batch.column("text"):

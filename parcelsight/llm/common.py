@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from pathlib import Path
 
 import pyarrow as pa
@@ -31,11 +34,13 @@ def on_workers(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder, not yet made, below the one that driver and executors share.
 
-    The cluster names that folder in spark.checkpoint.dir. Only where the setting is
-    missing (one machine, tests) is a temporary folder taken.
+    The cluster names that folder in spark.checkpoint.dir. Only a local session without the
+    setting (tests) gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = Path(tempfile.mkdtemp(prefix="llm-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -59,6 +64,20 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1_024) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
+def released(batches: Iterator[pa.RecordBatch], own: Callable[[], None] = lambda: None) -> Iterator[pa.RecordBatch]:
+    """The same batches; after the last, `own` lets go of what the task kept, and what the process
+    holds unused goes back to the machine. A Python worker outlives its tasks, so it
+    would add up what each of them needed at most."""
+    try:
+        yield from batches
+    finally:
+        own()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # other C libraries return memory by themselves
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of a table as one, `_row`, so that no name of theirs can clash."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")

@@ -40,10 +40,13 @@ def _step(layer, symbols: np.ndarray, state: np.ndarray):
     return update, reset, candidate, inner
 
 
-def states(layer, symbols: np.ndarray, state: np.ndarray) -> np.ndarray:
-    """States after each step. symbols: steps x sequences; state: hidden x sequences."""
+def states(layer, symbols: np.ndarray, state: np.ndarray, kept: np.ndarray | None = None) -> np.ndarray:
+    """States after each step. symbols: steps x sequences; state: hidden x sequences; kept: 0 at
+    steps x sequences that start from a new state, 1 elsewhere."""
     out = np.empty((len(symbols), *state.shape), np.float32)
     for t, row in enumerate(symbols):
+        if kept is not None:
+            state = state * kept[t]
         update, _, candidate, _ = _step(layer, row, state)
         new = out[t]
         np.subtract(state, candidate, out=new)
@@ -54,8 +57,7 @@ def states(layer, symbols: np.ndarray, state: np.ndarray) -> np.ndarray:
 
 
 def states_and_tape(layer, symbols: np.ndarray, state: np.ndarray, kept: np.ndarray | None = None):
-    """The same with what backpropagation needs. kept: 0 at steps x sequences that start from
-    a new state, 1 elsewhere."""
+    """The same with what backpropagation needs."""
     out, tape = np.empty((len(symbols), *state.shape), np.float32), []
     for t, row in enumerate(symbols):
         if kept is not None:

@@ -6,9 +6,10 @@ windows of WINDOW bytes, which the layers run over side by side; all windows of
 text count.
 
 The network is trained in numpy by backpropagation through time on a bounded sample of
-labelled rows: of each of the LANGUAGES most frequent languages about PER_LANGUAGE
-documents, chosen by a hash of their id, with SLICES slices each. Predicting needs no
-shuffle.
+labelled rows: of every language PER_LANGUAGE documents at most (fewer where DOCUMENTS
+would not do for all languages), chosen by a hash of id and text, with SLICES slices each.
+Null and repeated ids are no special case: equal rows count as one document. Predicting
+needs no shuffle.
 
 Null text, empty text and text without a letter are `und` with score 0. Where nothing can
 be learned (no labelled rows), every document is. Null languages are not learned from.
@@ -22,14 +23,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from parcelsight.llm import gru
-from parcelsight.llm.common import crc_of_id, sliced, text_of
+from parcelsight.llm.common import crc_of_id, released, sliced, text_of
 
 UNKNOWN = "und"
-LANGUAGES, PER_LANGUAGE, SLICES = 200, 400, 4
+#: Documents learned from per language, and in all; slices of each. With more languages than
+#: DOCUMENTS / PER_LANGUAGE each has fewer documents, but none is left out.
+PER_LANGUAGE, DOCUMENTS, SLICES = 400, 80_000, 4
 WINDOW, HIDDEN, BATCH, UPDATES, RATE = 128, 8, 256, 150, 0.02
 #: Windows that run side by side.
 WIDE = 2_048
@@ -143,17 +146,20 @@ def held_out() -> Column:
 
 
 def sample(docs: DataFrame) -> list[tuple[str, bytes]]:
-    """Slices of a bounded number of labelled documents that are not held out."""
+    """Slices of a bounded number of labelled documents that are not held out: of each language
+    the distinct ones (id and text) with the least hashes, however often ids repeat or are null."""
     rows = docs.where(~held_out()).where("lang is not null").where(F.length(text_of()) > 0)
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return []
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, PER_LANGUAGE / r["count"]))])
-    place = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    place = F.xxhash64(F.lit("language sample"), "doc_id", "text").alias("place")
+    places = rows.select("lang", place).distinct()
+    languages = places.select("lang").distinct().count()
+    most = max(1, min(PER_LANGUAGE, DOCUMENTS // max(1, languages)))
+    least = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    chosen = places.withColumn("n", least).where(F.col("n") <= most).select("lang", "place")
     text, steps = F.col("text"), [i / SLICES for i in range(SLICES)]
     cuts = [F.substring(text, (F.length(text) * s).cast("int") + 1, F.lit(WINDOW)) for s in steps]
-    chosen = rows.where(place < F.element_at(share, F.col("lang"))).select("lang", F.array_distinct(F.array(*cuts)).alias("cuts"))
-    found = sorted((r["lang"], cut) for r in chosen.collect() for cut in r["cuts"])
+    held = rows.select("lang", place, F.array_distinct(F.array(*cuts)).alias("cuts")).join(chosen, ["lang", "place"], "left_semi")
+    held = held.groupBy("lang", "place").agg(F.first("cuts").alias("cuts"))
+    found = sorted((r["lang"], cut) for r in held.collect() for cut in r["cuts"])
     return [(lang, cut.encode()) for lang, cut in found if has_letter(cut)]
 
 
@@ -163,7 +169,7 @@ def train(docs: DataFrame) -> Model | None:
 
 def predict(docs: DataFrame, model: Model | None, language: str = "lang_pred", score: str = "score") -> DataFrame:
     """All columns of docs with the predicted language and its score."""
-    clash = {language, score} & set(docs.columns)
+    clash = {language.lower(), score.lower()} & {c.lower() for c in docs.columns}
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already; name others")
 
@@ -177,7 +183,7 @@ def predict(docs: DataFrame, model: Model | None, language: str = "lang_pred", s
             )
 
     added = [T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(lambda batches: released(run(batches)), T.StructType([*docs.schema.fields, *added]))
 
 
 #: Documents under this score belong to no learned language clearly enough.

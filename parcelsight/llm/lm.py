@@ -9,13 +9,14 @@ each text and is carried over all its windows. Its output is factored: first the
 the token, then the token among those of its class. It knows the KNOWN most frequent
 tokens; any other is an `other`, times its share of the smoothed counts of all others,
 so the probabilities of all words add up to one. It is trained in numpy by backpropagation
-truncated to STEPS tokens (more where few texts are left), on all training texts from their
+truncated to STEPS tokens, on all training texts from their
 first token to their end, states carried through each and new in the next.
 
 Training goes in rounds: each takes a share of the training texts (ROUNDS, by hash), and every
 text is in one round. In a round each task trains the model on its texts; the next one starts
-from the mean of the tasks' models, weighted by their tokens. Corpora under LEAST tokens
-are passed over several times, PASSES at most.
+from the mean of the tasks' models, weighted by their tokens, summed TOGETHER at a time in as many
+levels as it takes. Each text is learned from PASSES times, whatever the corpus's size. A score depends
+a little on how the files fall into tasks, as each task's model sees the texts of its own.
 
 Counts of frequent words (a HEAD-th of all tokens or more, so HEAD words at most) go to
 every task. What remains of a text, its rare words, is looked up where their counts are: by
@@ -40,19 +41,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parcelsight.llm import gru
-from parcelsight.llm.common import crc_of_id, sliced, stored, text_of
+from parcelsight.llm.common import crc_of_id, released, sliced, stored, text_of
 from parcelsight.llm.shingles import blocks, word_hashes
 
 ADDED = 0.1
 HEAD = 1 << 18
 KNOWN, CLASSES, HIDDEN = 2_046, 46, 16
 #: Texts side by side at most, and updates that a block gets at least if it has the tokens.
+#: LONGEST: steps of the last long runs whose states are carried on before their windows are learned.
 STREAMS, UPDATES = 512, 64
-STEPS, LONGEST, RATE = 20, 400, 0.01
-#: Where the rounds end, as shares of the training texts; tokens of a corpus that is passed over once.
-ROUNDS, LEAST, PASSES = (1 / 16, 1 / 4, 1), 1 << 21, 8
-#: Parts of the weights that are summed apart.
-PARTS = 16
+STEPS, LONGEST, RATE = 20, 1_000, 0.01
+#: Where the rounds end, as shares of the training texts; how often each text is learned from.
+ROUNDS, PASSES = (1 / 16, 1 / 4, 1), 1
+#: Parts of the weights that are summed apart, and models that are summed together.
+PARTS, TOGETHER = 16, 64
 #: Steps that are scored together (more where few texts are left), and texts side by side.
 WINDOW, WIDE = 64, 2_048
 #: Rows of a softmax that are worked on together, and bytes of texts.
@@ -217,13 +219,20 @@ class Model:
                 sums[texts] += np.bincount(np.nonzero(there)[1], values, n)
         return sums
 
+    def placed(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and place in it of each symbol. `other` is a class of its own, the last one."""
+        classes, places = np.divmod(symbols.astype(np.int16), np.int16(self.out["words"].shape[1]))
+        classes[symbols == self.other] = CLASSES
+        return classes, places
+
     def _log_probabilities(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        size = self.out["words"].shape[1]
-        classes, places = np.divmod(symbols.astype(np.int16), np.int16(size))
+        classes, places = self.placed(symbols)
         order = np.argsort(classes, kind="stable")
         states, places, classes = states[order], places[order], classes[order]
         sums = _picked(states, self.out["classes"], self.out["class_bias"], classes)
         for c, run in _runs(classes):
+            if c == CLASSES:  # its one member is certain
+                continue
             sums[run] += _picked(states[run], self.out["words"][c], self.out["word_bias"][c], places[run])
         out = np.empty_like(sums)
         out[order] = sums
@@ -251,16 +260,16 @@ def new_model(total: Totals, seed: int = 3) -> Model:
         ranked = np.append(ranked[: KNOWN - 1], np.searchsorted(total.hashes, END))
     hashes, counts = total.hashes[ranked], total.counts[ranked]
     order = np.argsort(hashes)
-    size = -(-(len(hashes) + 1) // CLASSES)
-    used = np.arange(CLASSES * size).reshape(CLASSES, size) <= len(hashes)
-    common = np.append(counts, max(1, total.tokens - counts.sum())) / max(1, total.tokens)
+    size = -(-len(hashes) // CLASSES)
+    used = np.arange(CLASSES * size).reshape(CLASSES, size) < len(hashes)
     prior = np.full(CLASSES * size, -30.0)
-    prior[: len(common)] = np.log(common)
+    prior[: len(counts)] = np.log(counts / max(1, total.tokens))
     prior = prior.reshape(CLASSES, size)
     most = prior.max(1, keepdims=True)
+    of_other = np.log(max(1, total.tokens - counts.sum()) / max(1, total.tokens))
     out = {
-        "classes": np.zeros((CLASSES, HIDDEN)),
-        "class_bias": (most + np.log(np.exp(prior - most).sum(1, keepdims=True)))[:, 0],
+        "classes": np.zeros((CLASSES + 1, HIDDEN)),
+        "class_bias": np.append((most + np.log(np.exp(prior - most).sum(1, keepdims=True)))[:, 0], of_other),
         "words": rng.normal(0, 0.05, (CLASSES, size, HIDDEN)) * used[..., None],
         "word_bias": prior,
     }
@@ -277,8 +286,8 @@ def new_model(total: Totals, seed: int = 3) -> Model:
 class Trainer:
     """Truncated backpropagation over STREAMS runs of whole texts, in place.
 
-    Each text goes to the run that has least to do. All runs move on by STEPS tokens
-    while each has as many; `finish` takes what is left of them."""
+    Each text goes to the run that has least to do, long ones first. All runs move on by STEPS
+    tokens while each has as many; `finish` takes what is left of them."""
 
     def __init__(self, model: Model, rate: float = RATE):
         self.model, self.tokens = model, 0
@@ -298,7 +307,7 @@ class Trainer:
         own: list[list[np.ndarray]] = [[w] for w in self.waiting]
         load = [(len(w), i) for i, w in enumerate(self.waiting)]
         heapq.heapify(load)
-        for text in np.split(symbols, edges):
+        for text in sorted(np.split(symbols, edges), key=len, reverse=True):
             size, i = load[0]
             own[i].append(text)
             heapq.heapreplace(load, (size + len(text), i))
@@ -309,24 +318,55 @@ class Trainer:
             self._step(every, STEPS)
 
     def finish(self) -> None:
+        """What is left is a few long runs, too few for good use of a step. So their states are
+        carried on first, and then their windows of STEPS tokens learn side by side, each from
+        the state that it starts with."""
+        windows = sum(-(-len(w) // STEPS) for w in self.waiting)
+        wide = max(1, min(STREAMS, windows // UPDATES))
         while True:
             sizes = np.array([len(w) for w in self.waiting])
             runs = np.flatnonzero(sizes)
             if not len(runs):
                 return
-            steps = min(LONGEST, STEPS * len(sizes) // len(runs)) if len(sizes) > 1 else LONGEST
-            self._step(runs, min(steps, int(sizes.max())))
-
-    def _step(self, runs: np.ndarray, steps: int) -> None:
+            runs = runs[np.argsort(-sizes[runs], kind="stable")]
+            steps = min(LONGEST, -(-int(sizes.max()) // STEPS) * STEPS)
+            before, after, there, kept = self._taken(runs, steps)
+            state, starts = self.state[:, runs], []
+            for at in range(0, steps, STEPS):
+                n = int(there[at].sum())  # the runs that go on are the first ones
+                starts.append(state[:, :n])
+                part = slice(at, at + STEPS)
+                state = gru.states(self.model.layer, before[part, :n], np.ascontiguousarray(state[:, :n]), kept[part, :n])[-1]
+            # Runs that went on to the end of what was taken may have more.
+            self.state[:, runs[: state.shape[1]]] = state
+            columns = [(at * STEPS, j) for at, own in enumerate(starts) for j in range(own.shape[1])]
+            state = np.concatenate(starts, axis=1)
+            row, column = np.array(columns).T
+            for first in range(0, len(columns), wide):
+                chosen = slice(first, first + wide)
+                place = row[chosen][None] + np.arange(STEPS)[:, None], column[chosen][None]
+                own = np.ascontiguousarray(state[:, chosen])
+                grads, _ = _gradients(self.model, before[place], after[place], own, kept[place], there[place])
+                self.tuned.step(grads, self._rate())
+
+    def _rate(self) -> float:
+        return 1 / (1 + self.tuned.steps / 200)
+
+    def _taken(self, runs: np.ndarray, steps: int):
+        """The next tokens of the runs: before, after, whether there is one, and whether the state
+        is kept; steps x runs."""
         after, there = np.zeros((steps, len(runs)), np.int64), np.zeros((steps, len(runs)), bool)
         for j, i in enumerate(runs.tolist()):
             part, self.waiting[i] = self.waiting[i][:steps], self.waiting[i][steps:]
             after[: len(part), j], there[: len(part), j] = part, True
         before = np.vstack([self.last[runs][None], after[:-1]])
-        kept = (before != self.model.end).astype(np.float32)
-        grads, self.state[:, runs] = _gradients(self.model, before, after, self.state[:, runs], kept, there)
         self.last[runs] = after[-1]
-        self.tuned.step(grads, 1 / (1 + self.tuned.steps / 200))
+        return before, after, there, (before != self.model.end).astype(np.float32)
+
+    def _step(self, runs: np.ndarray, steps: int) -> None:
+        before, after, there, kept = self._taken(runs, steps)
+        grads, self.state[:, runs] = _gradients(self.model, before, after, self.state[:, runs], kept, there)
+        self.tuned.step(grads, self._rate())
 
 
 def _weights(model: Model) -> dict[str, np.ndarray]:
@@ -347,8 +387,7 @@ def _gradients(model: Model, before: np.ndarray, after: np.ndarray, state: np.nd
     there = np.ones(after.shape, bool) if there is None else there
     states, tape = gru.states_and_tape(model.layer, before, state, kept)
     seen = states.transpose(0, 2, 1)[there]
-    size = model.out["words"].shape[1]
-    classes, places = np.divmod(after[there], size)
+    classes, places = model.placed(after[there])
     n = len(classes)
     wrong = _softmax(seen @ model.out["classes"].T + model.out["class_bias"])
     wrong[np.arange(n), classes] -= 1
@@ -357,11 +396,14 @@ def _gradients(model: Model, before: np.ndarray, after: np.ndarray, state: np.nd
     grads["classes"], grads["class_bias"] = wrong.T @ seen, wrong.sum(0)
     order = np.argsort(classes, kind="stable")
     for c, run in _runs(classes[order]):
+        if c == CLASSES:  # its one member is certain: nothing to learn
+            continue
         rows = order[run]
-        off = _softmax(seen[rows] @ model.out["words"][c].T + model.out["word_bias"][c])
+        here, words = seen[rows], model.out["words"][c]
+        off = _softmax(here @ words.T + model.out["word_bias"][c])
         off[np.arange(len(rows)), places[rows]] -= 1
-        grads["words"][c], grads["word_bias"][c] = off.T @ seen[rows], off.sum(0)
-        of_seen[rows] += off @ model.out["words"][c]
+        grads["words"][c], grads["word_bias"][c] = off.T @ here, off.sum(0)
+        of_seen[rows] += off @ words
     of_states = np.zeros((*after.shape, HIDDEN), np.float32)
     of_states[there] = of_seen / n
     grads = {f"out.{k}": g / n for k, g in grads.items()}
@@ -377,12 +419,11 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def fit(docs: DataFrame, total: Totals) -> Model | None:
-    """The trained model; None without training texts."""
+def fit(docs: DataFrame, total: Totals, passes: int = PASSES) -> Model | None:
+    """The trained model; None without training texts. passes: how often each text is learned from."""
     if not total.tokens:
         return None
     model = new_model(total)
-    passes = min(PASSES, -(-LEAST // total.tokens))
     place = F.pmod(F.xxhash64(F.lit("model rounds"), "doc_id", "text"), F.lit(1 << 32)) / float(1 << 32)
     rows = docs.where(~held_out()).select("doc_id", text_of().alias("text")).select("text", place.alias("place"))
     first = 0.0
@@ -411,21 +452,29 @@ def _round(model: Model, texts: DataFrame, passes: int, rate: float) -> None:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(made, kinds)], ["part", "task", "tokens", "weights"])
 
-    def mean(models: pd.DataFrame) -> pd.DataFrame:
-        models = models.sort_values("task")  # the same sums in every run
-        shares = models["tokens"] / models["tokens"].sum()
-        sums = sum(share * np.frombuffer(w, np.float32).astype(np.float64) for share, w in zip(shares, models["weights"]))
-        return pd.DataFrame([(models["part"].iloc[0], sums.astype(np.float32).tobytes())], columns=["part", "weights"])
-
-    learned = texts.mapInArrow(learn, "part long, task long, tokens long, weights binary")
-    rows = sorted(learned.groupBy("part").applyInPandas(mean, "part long, weights binary").collect())
+    kinds = "part long, task long, tokens long, weights binary"
+    learned = stored(texts.mapInArrow(lambda batches: released(learn(batches)), kinds), "lm-learned")
+    many = (learned.agg(F.max("task")).first()[0] or 0) + 1
+    while many > 1:
+        learned = learned.withColumn("task", F.floor(F.col("task") / TOGETHER).cast("long"))
+        learned, many = learned.groupBy("part", "task").applyInPandas(_mean, kinds), -(-many // TOGETHER)
+    rows = sorted((r["part"], r["weights"]) for r in learned.collect())
     if rows:
-        found, at = _joined([r["weights"] for r in rows], np.float32), 0
+        found, at = _joined([w for _, w in rows], np.float32), 0
         for w in _weights(model).values():
             w[...] = found[at : at + w.size].reshape(w.shape)
             at += w.size
 
 
+def _mean(models: pd.DataFrame) -> pd.DataFrame:
+    """The mean of one part of some models, weighted by their tokens."""
+    models = models.sort_values(["tokens", "weights"])  # the same sums in every run
+    total = models["tokens"].sum()
+    sums = sum(n / total * np.frombuffer(w, np.float32).astype(np.float64) for n, w in zip(models["tokens"], models["weights"]))
+    made = (models["part"].iloc[0], models["task"].iloc[0], total, sums.astype(np.float32).tobytes())
+    return pd.DataFrame([made], columns=["part", "task", "tokens", "weights"])
+
+
 # Scores
 
 #: monotonically_increasing_id has the number of the row within its task in the lower bits.

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelsight.llm import shingles as sh
-from parcelsight.llm.common import BLANKS, sliced, stored, text_of, whole_row
+from parcelsight.llm.common import BLANKS, released, sliced, stored, text_of, whole_row
 
 LEAST = 0.8
 COMMON = 0.005
@@ -88,7 +88,7 @@ def common_shares(bodies: DataFrame, common: float = COMMON) -> tuple[np.ndarray
 
     one = bodies.select("body")
     total = bodies.count()
-    reports = one.mapInArrow(report, "shingle long, held long, texts long")
+    reports = one.mapInArrow(lambda batches: released(report(batches)), "shingle long, held long, texts long")
     # Blocks that did not report a shingle hold it less often than their threshold.
     most = F.sum("held") + F.lit(common / 4) * (total - F.sum("texts"))
     may = reports.groupBy("shingle").agg(most.alias("most")).where(F.col("most") >= common * total)
@@ -106,7 +106,7 @@ def common_shares(bodies: DataFrame, common: float = COMMON) -> tuple[np.ndarray
         at = np.flatnonzero(own)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own[at])], ["place", "held"])
 
-    sums = one.mapInArrow(count, "place long, held long").groupBy("place").agg(F.sum("held").alias("held"))
+    sums = one.mapInArrow(lambda batches: released(count(batches)), "place long, held long").groupBy("place").agg(F.sum("held").alias("held"))
     held = np.zeros(len(wanted))
     for row in sums.toLocalIterator():
         held[row["place"]] = row["held"]
@@ -184,7 +184,7 @@ def signatures(nodes: DataFrame, weights: Weights) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), made], ["doc_id", "node", "bands"])
 
     kind = nodes.schema["doc_id"].dataType.simpleString()
-    return nodes.mapInArrow(run, f"doc_id {kind}, node binary, bands array<long>")
+    return nodes.mapInArrow(lambda batches: released(run(batches)), f"doc_id {kind}, node binary, bands array<long>")
 
 
 def _band_keys(texts: list[bytes], weights: Weights) -> list[list[int]]:
@@ -229,7 +229,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
     found = pairs.join(texts.select(F.col("node").alias("left"), F.col("body").alias("left_body")), "left").join(
         texts.select(F.col("node").alias("right"), F.col("body").alias("right_body")), "right"
     )
-    return found.select("left", "right", "left_body", "right_body").mapInArrow(run, "left binary, right binary, likeness double")
+    return found.select("left", "right", "left_body", "right_body").mapInArrow(
+        lambda batches: released(run(batches)), "left binary, right binary, likeness double"
+    )
 
 
 def links(members: DataFrame, texts: DataFrame, weights: Weights, least: float = LEAST) -> DataFrame:

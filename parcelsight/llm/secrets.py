@@ -3,8 +3,8 @@
 Candidates are found in every text by three patterns; a candidate is known by the hash of its
 value. Per value the distinct repositories and owners that hold it are counted over the
 whole corpus. A value that looks like a credential (enough distinct signs) and is held by
-few owners is live-looking: a span of kind `live` is added over it. A value that many
-owners hold is a copied example and gets a span of kind `example`. What does not look like a
+few owners in few repositories is live-looking: a span of kind `live` is added over it. A value that many
+owners, or many repositories even of one owner, hold is a copied example and gets a span of kind `example`. What does not look like a
 credential gets no span beside its base ones.
 
 Spans are kind:start:end in code points, end exclusive, ordered by start, then kind.
@@ -37,8 +37,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 12, 18, 16
 KINDS = ["assign", "access", "hex", "live", "example"]
 
-#: A value that this many owners hold, or more, is a copied example.
-OWNERS = 3
+#: A value that this many owners or this many repositories hold, or more, is a copied example.
+OWNERS, REPOSITORIES = 3, 8
 #: Distinct signs that a credential has at least.
 SIGNS = 6
 _WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -119,7 +119,7 @@ def ownership(found: DataFrame) -> DataFrame:
     return per_owner.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"))
 
 
-def scan(docs: DataFrame, owner: Column, repository: Column, owners: int = OWNERS) -> DataFrame:
+def scan(docs: DataFrame, owner: Column, repository: Column, owners: int = OWNERS, repositories: int = REPOSITORIES) -> DataFrame:
     """One row per row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, n_live, n_example
     and all spans in order (array of kind, start, end).
 
@@ -135,8 +135,9 @@ def scan(docs: DataFrame, owner: Column, repository: Column, owners: int = OWNER
     held = ownership(holding)
     each = holding.select("doc_id", "text_digest", F.explode("found").alias("c"))
     each = each.select("doc_id", "text_digest", "c.from", "c.to", "c.value", "c.live").distinct()
-    judged = each.join(held, "value").where(F.col("live") | (F.col("owners") >= owners))
-    kind = F.when(F.col("owners") >= owners, F.lit("example")).otherwise(F.lit("live"))
+    copied = (F.col("owners") >= owners) | (F.col("repositories") >= repositories)
+    judged = each.join(held, "value").where(F.col("live") | copied)
+    kind = F.when(copied, F.lit("example")).otherwise(F.lit("live"))
     spans = F.struct(F.col("from").alias("start"), kind.alias("kind"), F.col("to").alias("end"))
     added = judged.groupBy("doc_id", "text_digest").agg(F.collect_set(spans).alias("added"))
     added = added.select(F.col("doc_id").alias("_id"), F.col("text_digest").alias("_digest"), "added")

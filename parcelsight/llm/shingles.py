@@ -13,12 +13,11 @@ import numpy as np
 
 WORDS = 5
 #: Texts of about this many bytes are worked on together.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _ODD = [0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
-_powers = np.ones((2, 1), np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,13 +32,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers_to(n: int) -> np.ndarray:
     """Powers of the base and of its inverse modulo 2**64."""
-    global _powers
-    if _powers.shape[1] < n:
-        both = np.empty((2, max(n, BLOCK * 2)), np.uint64)
-        both[:, 0] = 1
-        both[0, 1:], both[1, 1:] = _BASE, pow(_BASE, -1, 1 << 64)
-        _powers = np.multiply.accumulate(both, axis=1)
-    return _powers[:, :n]
+    both = np.empty((2, n), np.uint64)
+    both[:, 0] = 1
+    both[0, 1:], both[1, 1:] = _BASE, pow(_BASE, -1, 1 << 64)
+    return np.multiply.accumulate(both, axis=1, out=both)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

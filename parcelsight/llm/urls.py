@@ -80,8 +80,9 @@ def fitting_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judged(pages: DataFrame, rules: DataFrame, otherwise: str = "allow") -> DataFrame:
-    """All columns of pages with host, path, rule (or null) and verdict of each url."""
-    clash = {"host", "path", "rule", "verdict"} & set(pages.columns)
+    """All columns of pages with host, path, rule (or null) and verdict of each url. Columns that
+    have one of these names already, in any case of letters, are refused."""
+    clash = {"host", "path", "rule", "verdict"} & {c.lower() for c in pages.columns}
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already; rename them")
     url = F.col("url")

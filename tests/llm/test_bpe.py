@@ -73,3 +73,24 @@ def test_columns_stay_and_clashes_are_refused(table):
     with pytest.raises(ValueError):
         bpe.encode(docs, ids="n_chars")
     assert bpe.round_trip(table([])).collect() == []
+
+
+def test_a_memo_keeps_what_is_asked_for_and_its_bound():
+    memo = bpe.Memo(10)
+    for i in range(2_000):
+        for text in ("hot", f"rare {i}"):
+            if memo.young.get(text) is None and memo.aged(text) is None:
+                memo.offer(text, (i,))
+        assert len(memo.young) + len(memo.old) <= 10
+    assert memo.young.get("hot") or memo.aged("hot")
+    for _ in range(2):
+        for i in range(30):
+            memo.offer(f"often {i}", (i,))
+            assert len(memo.young) + len(memo.old) <= 10
+    memo.forget()
+    assert not memo.young and not memo.old and not any(memo.met)
+
+
+def test_names_clash_in_any_case(table):
+    with pytest.raises(ValueError, match="ids"):
+        bpe.encode(table([(1, "a")]).withColumnRenamed("lang", "IDS"))

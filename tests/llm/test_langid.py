@@ -79,3 +79,22 @@ def test_the_last_part_of_a_text_counts(table):
     model = langid.train(table([(i, w * 20, x) for i in range(30) for w, x in (("the of and ", "en"), ("der und ß ", "de"))]))
     long = "the of and " * 30 + "der und ß " * 3_000
     assert model.documents([long])[0] == ["de"]
+
+
+def test_null_and_repeated_ids_are_learned_from_and_bounded(table):
+    texts = {"en": "the quick dog runs over that hill", "es": "el perro corre sobre la colina ayer"}
+    for ids in (lambda i: None, lambda i: 12):
+        rows = [(ids(i), f"{texts[lang]} {i}", lang) for lang in texts for i in range(600)]
+        rows += [(ids(0), f"{texts['en']} 0", "en")] * 50
+        found = langid.sample(table(rows))
+        for lang in texts:
+            n = sum(own == lang for own, _ in found)
+            assert 300 <= n <= langid.PER_LANGUAGE * langid.SLICES
+
+
+def test_every_language_is_learned_from(table, monkeypatch):
+    monkeypatch.setattr(langid, "DOCUMENTS", 30)
+    rows = [(i, f"text {i} of l{i % 300}", f"l{i % 300}") for i in range(900)]
+    found = langid.sample(table(rows))
+    assert {lang for lang, _ in found} == {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1}
+    assert len(found) <= 300 * langid.SLICES

@@ -69,5 +69,14 @@ def test_ownership_tells_examples_from_live_ones(table):
     assert (got[23].n_live, got[23].n_example) == (0, 0)
 
 
+def test_many_repositories_of_one_owner_make_an_example(table):
+    value = "token = Zx81kQpL9wYtR3vN"
+    rows = [(i, value, f"repository {i}", "one owner") for i in range(50)] + [(99, "token = Qm47sTbV2xHdK8cJ", "repository 1", "one owner")]
+    found = {r.doc_id: (r.n_live, r.n_example) for r in secrets.scan(table(rows), F.col("source"), F.concat_ws("/", "source", "lang")).collect()}
+    assert found[99] == (1, 0) and all(found[i] == (0, 1) for i in range(50))
+    fewer = {r.doc_id: (r.n_live, r.n_example) for r in secrets.scan(table(rows[:5]), F.col("source"), F.concat_ws("/", "source", "lang")).collect()}
+    assert set(fewer.values()) == {(1, 0)}
+
+
 def test_an_empty_table(table):
     assert scan(table, []) == []

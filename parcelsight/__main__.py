@@ -12,7 +12,7 @@ from parcelsight.plans import exploration
 from parcelsight.plans.catalog import QUESTIONS
 from parcelsight.plans.model import open_model, read_model
 from parcelsight.session import sized_for, tune
-from parcelsight.sources.files import read_csv, unreadable_timestamps, write_parquet
+from parcelsight.sources.files import read_csv, unreadable_cells, write_parquet
 from parcelsight.sources.schemas import RAW_TYPES
 
 
@@ -69,7 +69,7 @@ def main(arguments: list[str] | None = None) -> None:
             path = f"{args.raw}/{table}.csv"
             df = tables[table] = read_csv(spark, path, table)
             parts = {"columns": profile(df), "duplicates": duplicate_rows(df), "rows": preview(df)}
-            parts |= {"unreadable timestamps": unreadable_timestamps(spark, path, table)}
+            parts |= {"unreadable cells": unreadable_cells(spark, path, table)}
             _report(table, parts | exploration.summaries(table, df))
         if not args.tables:
             _report("tables", exploration.checks(tables))

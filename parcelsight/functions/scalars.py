@@ -62,6 +62,6 @@ def elapsed_hours(start: str | Column, end: str | Column) -> Column:
 def parse_timestamp(text: str | Column) -> Column:
     """Text to a zone-less timestamp; text that is no timestamp becomes unknown.
 
-    ``sources.files.unreadable_timestamps`` counts such cells, and the jobs refuse them.
+    ``sources.checked`` lists such cells, and the jobs refuse them.
     """
     return col(text).try_cast("timestamp_ntz")

@@ -22,10 +22,9 @@ from parcelsight.plans.model import (
     write_model,
 )
 from parcelsight.plans.star import build_star, write_star
+from parcelsight.sources.checked import stage
 from parcelsight.sources.files import (
-    read_csv,
     read_parquet,
-    unreadable_timestamps,
     write_observed,
     write_parquet,
 )
@@ -33,15 +32,20 @@ from parcelsight.sources.files import (
 Report = dict[str, int | DataFrame]
 
 
-def _raw(spark: SparkSession, raw: str, table: str) -> DataFrame:
-    """A raw table; stops with a count where a timestamp column holds something else."""
-    path = f"{raw}/{table}.csv"
-    raise_if_violated(unreadable_timestamps(spark, path, table))
-    return read_csv(spark, path, table)
+def _raw(spark: SparkSession, raw: str, clean: str, table: str) -> DataFrame:
+    """A raw table, typed and staged below ``clean`` in one pass over its files.
+
+    Cells that could not be read are listed in ``<clean>/_rejects/<table>`` (file, line, column,
+    text); the job stops if there are any.
+    """
+    found = stage(spark, f"{raw}/{table}.csv", table, f"{clean}/_staged/{table}")
+    if write_parquet(found.rejects, f"{clean}/_rejects/{table}"):
+        raise_if_violated(found.counts().withColumn("check_name", F.concat(F.lit(f"{table}: "), "check_name")))
+    return found.rows
 
 
 def clean_orders(spark: SparkSession, raw: str, clean: str) -> Report:
-    orders = C.clean_orders(_raw(spark, raw, "orders"))
+    orders = C.clean_orders(_raw(spark, raw, clean, "orders"))
     flags = ("carrier_before_approved", "delivered_before_carrier")
     return write_observed(orders, f"{clean}/orders", {f: F.count_if(F.col(f)) for f in flags})
 
@@ -49,7 +53,7 @@ def clean_orders(spark: SparkSession, raw: str, clean: str) -> Report:
 def clean_order_items(spark: SparkSession, raw: str, clean: str) -> Report:
     """Needs the clean orders for their hand-over dates."""
     dates = read_parquet(spark, f"{clean}/orders", ["order_id", C.HANDED_OVER])
-    items = C.clean_order_items(_raw(spark, raw, "order_items"), dates, validate=True)
+    items = C.clean_order_items(_raw(spark, raw, clean, "order_items"), dates, validate=True)
     missed = F.col("missed_shipping_deadline")
     return write_observed(
         items,
@@ -63,7 +67,7 @@ def clean_order_items(spark: SparkSession, raw: str, clean: str) -> Report:
 
 def clean_products(spark: SparkSession, raw: str, clean: str) -> Report:
     products = C.clean_products(
-        _raw(spark, raw, "products"), _raw(spark, raw, "translation"), validate=True
+        _raw(spark, raw, clean, "products"), _raw(spark, raw, clean, "translation"), validate=True
     )
     path, category = f"{clean}/products", F.col("product_category")
     report = write_observed(products, path, {"without_category": F.count_if(category.isNull())})
@@ -74,7 +78,7 @@ def clean_reviews(spark: SparkSession, raw: str, clean: str) -> Report:
     path, seen = f"{clean}/reviews", Observation()
     # A review without an answer date counts as the latest, so say how many there are.
     undated = F.count_if(F.col("review_answer_timestamp").isNull()).alias("unknown_answer_date")
-    reviews = _raw(spark, raw, "reviews").observe(
+    reviews = _raw(spark, raw, clean, "reviews").observe(
         seen, F.count(F.lit(1)).alias("raw_rows"), undated
     )
     report = write_observed(C.clean_reviews(reviews), path)
@@ -85,7 +89,7 @@ def clean_reviews(spark: SparkSession, raw: str, clean: str) -> Report:
 def clean_geography(spark: SparkSession, raw: str, clean: str) -> Report:
     """Needs the clean orders and items."""
     report: Report = {}
-    coordinates = G.coordinates_by_prefix(_raw(spark, raw, "geolocation"))
+    coordinates = G.coordinates_by_prefix(_raw(spark, raw, clean, "geolocation"))
     report["prefixes"] = write_parquet(coordinates, f"{clean}/geolocation")
     # Read back: the stored size lets Spark pick the join, and the medians run once.
     coordinates = spark.read.parquet(f"{clean}/geolocation")
@@ -94,7 +98,7 @@ def clean_geography(spark: SparkSession, raw: str, clean: str) -> Report:
     unique = {f"{G.PREFIX} is unique": duplicate_keys(coordinates, [G.PREFIX])}
     unique["order_id is unique"] = duplicate_keys(orders, ["order_id"])
     for table, side in (("customers", "customer"), ("sellers", "seller")):
-        report[table] = write_parquet(_raw(spark, raw, table), f"{clean}/{table}")
+        report[table] = write_parquet(_raw(spark, raw, clean, table), f"{clean}/{table}")
         people = spark.read.parquet(f"{clean}/{table}")
         unique[f"{side}_id is unique"] = duplicate_keys(people, [f"{side}_id"])
         located[table] = G.add_coordinates(people, f"{side}_zip_code_prefix", coordinates, side)
@@ -140,6 +144,6 @@ def load_model(
 
 
 def export_star(spark: SparkSession, model: str, out: str) -> dict[str, int]:
-    """The seven export tables; stops where the fact would not have one row per order."""
+    """The seven export tables, published together once what was written has been checked."""
     tables = read_model(spark, model)
     return write_star(build_star(spark, tables), tables, out)

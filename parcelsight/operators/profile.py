@@ -5,17 +5,34 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelsight.operators.quantiles import exact_quantiles
 
 
+def _digest(values: Sequence[Column]) -> list[Column]:
+    """128 bits of the values, as two numbers with seeds of their own."""
+    return [F.xxhash64(F.lit(seed), *values).alias(name) for seed, name in ((1, "_h1"), (2, "_h2"))]
+
+
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: type, rows, known and unknown values. One scan."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(df.columns)],
+    """One row per column: type, rows, known, unknown and distinct known values. One scan.
+
+    Each cell becomes (column, digest) on its way into a map-side count, so a task sends each of
+    a column's values once, as 16 bytes, and a frequent value is no hot key.
+    """
+    cells = [
+        F.struct(F.lit(i).alias("_column"), *_digest([F.col(f"`{c}`")]), F.col(f"`{c}`").isNotNull().alias("_known"))
+        for i, c in enumerate(df.columns)
+    ]
+    values = df.select(F.inline(F.array(*cells))).groupBy("_column", "_known", "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    columns = range(len(df.columns))
+    known = [F.col("_known") & (F.col("_column") == i) for i in columns]
+    counts = values.agg(
+        F.coalesce(F.sum(F.when(F.col("_column") == 0, F.col("_n"))), F.lit(0)).alias("_rows"),
+        *[F.coalesce(F.sum(F.when(known[i], F.col("_n"))), F.lit(0)).alias(f"_n{i}") for i in columns],
+        *[F.count_if(known[i]).alias(f"_d{i}") for i in columns],
     )
     lines = F.array(
         *[
@@ -26,6 +43,7 @@ def profile(df: DataFrame) -> DataFrame:
                 F.col("_rows").alias("rows"),
                 F.col(f"_n{i}").alias("known"),
                 (F.col("_rows") - F.col(f"_n{i}")).alias("unknown"),
+                F.col(f"_d{i}").alias("distinct_values"),
             )
             for i, (name, kind) in enumerate(df.dtypes)
         ]
@@ -38,8 +56,19 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: how many rows repeat an earlier, fully equal row."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    """One row: how many rows repeat an earlier, fully equal row.
+
+    Only digests of 16 bytes are exchanged for all rows. Rows are compared in full where a digest
+    repeats, so equal digests of unequal rows do no harm.
+    """
+    return _repeats(df, _digest([F.col(f"`{c}`") for c in df.columns]))
+
+
+def _repeats(df: DataFrame, digest: Sequence[Column]) -> DataFrame:
+    seen = df.select(*digest).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_rows"))
+    often = seen.filter("_rows > 1").select("_h1", "_h2")
+    candidates = df.select("*", *digest).join(often, ["_h1", "_h2"], "left_semi")
+    copies = candidates.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
     return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
@@ -86,26 +115,20 @@ def flag_counts(df: DataFrame, flags: Sequence[str]) -> DataFrame:
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
-def describe(df: DataFrame, column: str, *, exchange_once: bool = False) -> DataFrame:
-    """Rows (statistic, value): count, mean, sample deviation, min, quartiles, max.
-
-    ``exchange_once`` is for a costly, narrow ``df``; see ``exact_quantiles``.
-    """
+def describe(df: DataFrame, column: str) -> DataFrame:
+    """Rows (statistic, value): count, mean, sample deviation, min, quartiles, max."""
     value = F.col(column).cast("double")
-    summary = exact_quantiles(
-        df,
-        [],
-        {name: (column, p) for name, p in QUARTILES.items()},
-        aggregates={
-            "count": F.count(value).cast("double"),
-            "mean": F.avg(value),
-            "std": F.stddev_samp(value),
-            "min": F.min(value),
-            "max": F.max(value),
-        },
-        exchange_once=exchange_once,
+    moments = df.agg(
+        F.count(value).cast("double").alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
-    return summary.unpivot([], summary.columns, "statistic", "value")
+    ranks = {name: (column, p) for name, p in QUARTILES.items()}
+    quartiles = exact_quantiles(df.select(column), [], ranks, few_groups=True)
+    long = [part.unpivot([], part.columns, "statistic", "value") for part in (moments, quartiles)]
+    return long[0].unionAll(long[1])
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -70,6 +70,61 @@ def out_of_order_rows(df: DataFrame, earlier: str, later: str) -> DataFrame:
     return df.filter(F.col(earlier) > F.col(later))
 
 
+def key_census(sides: Mapping[str, tuple[DataFrame, str]], sums: Mapping[str, Mapping[str, Column]] | None = None) -> DataFrame:
+    """One row per value of a key that several tables hold: ``key`` and, for each side, in how
+    many of its rows the value stands. ``sides`` maps a name to (table, column).
+
+    All sides meet in one exchange, to which a task sends a key once per side. What a key
+    must keep follows from the counts: unique (at most 1), referenced (not 0 where another side is
+    not), covered. ``sums`` adds up columns of a side, named ``<side>.<name>``.
+    """
+    sums, parts, added = sums or {}, [], []
+    width = max([len(s) for s in sums.values()], default=0)
+    for i, (name, (df, column)) in enumerate(sides.items()):
+        own = list(sums.get(name, {}).items())
+        added += [(i, j, f"{name}.{rule}") for j, (rule, _) in enumerate(own)]
+        cells = [c.cast("long") for _, c in own] + [F.lit(None).cast("long")] * (width - len(own))
+        parts.append(df.select(F.col(column).alias("key"), F.lit(i).alias("_side"), *[c.alias(f"_x{j}") for j, c in enumerate(cells)]))
+    counts = [F.count_if(F.col("_side") == i).alias(name) for i, name in enumerate(sides)]
+    totals = [F.sum(F.when(F.col("_side") == i, F.col(f"_x{j}"))).alias(name) for i, j, name in added]
+    return reduce(DataFrame.unionAll, parts).groupBy("key").agg(*counts, *totals)
+
+
+def _has(side: str) -> Column:
+    return F.col(f"`{side}`") > 0
+
+
+def repeated_or_unknown(side: str) -> Column:
+    """Of a census: key values that break a primary key."""
+    return F.count_if(_has(side) & ((F.col(f"`{side}`") > 1) | F.col("key").isNull()))
+
+
+def orphans(child: str, parent: str) -> Column:
+    """Of a census: known key values of the child that the parent does not have."""
+    return F.count_if(_has(child) & ~_has(parent) & F.col("key").isNotNull())
+
+
+def known_keys(side: str) -> Column:
+    """Of a census: distinct known key values of a side."""
+    return F.count_if(_has(side) & F.col("key").isNotNull())
+
+
+def as_lines(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """(check_name, violations) from aggregates over a table, in one pass."""
+    names = {name: f"_c{i}" for i, name in enumerate(checks)}
+    totals = df.agg(*[F.coalesce(c, F.lit(0)).alias(names[name]) for name, c in checks.items()])
+    lines = [F.struct(F.lit(name).alias("check_name"), F.col(c).alias("violations")) for name, c in names.items()]
+    return totals.select(F.inline(F.array(*lines)))
+
+
+def broken_rules(
+    required: Sequence[str] = (), ranges: Mapping[str, tuple[float | None, float | None]] | None = None
+) -> dict[str, Column]:
+    """Whether a row breaks each of a table's own rules, by the rule's name."""
+    rules = {f"{c} is known": F.col(c).isNull() for c in required}
+    return rules | {f"{c} in range": _outside(c, *bounds) for c, bounds in (ranges or {}).items()}
+
+
 def key_coverage(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """One row: distinct child keys, how many have no parent, and their share."""
     keys = child.select(F.col(child_key).alias("_k")).filter("_k is not null").distinct()
@@ -114,9 +169,7 @@ def count_table_violations(
     Rows first shrink to one per key, with the broken rules added up, so the key
     rule and the row rules share a single exchange.
     """
-    row_rules = {f"{name}: {c} is known": F.col(c).isNull() for c in required}
-    for column, (low, high) in (ranges or {}).items():
-        row_rules[f"{name}: {column} in range"] = _outside(column, low, high)
+    row_rules = {f"{name}: {rule}": broken for rule, broken in broken_rules(required, ranges).items()}
     per_key = df.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(broken).alias(f"_r{i}") for i, broken in enumerate(row_rules.values())],

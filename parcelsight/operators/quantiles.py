@@ -54,52 +54,49 @@ def exact_quantiles(
     keys: Sequence[str],
     quantiles: Mapping[str, tuple[str, float]],
     *,
-    aggregates: Mapping[str, Column] | None = None,
+    sums: Mapping[str, Column] | None = None,
     few_groups: bool = False,
-    exchange_once: bool = False,
 ) -> DataFrame:
     """Interpolated quantiles per group, exact whatever the size of a group.
 
-    ``quantiles`` maps an output name to (column, probability). The result holds
-    the keys, the ``aggregates`` (ordinary aggregates of the group) and the quantiles.
+    ``quantiles`` maps an output name to (column, probability). The result holds the keys,
+    the ``sums`` (numbers per row, added up over the group) and the quantiles.
 
-    1. Rows shrink map-side to counts per cell, a fixed division of the numbers. Sums
-       over a group's cells tell which cells hold the wanted ranks.
-    2. Rows of those cells shrink map-side to counts per distinct value.
-    3. Counts per slice of a cell, which follow the cell's least and largest
-       value, tell which slice holds the wanted rank.
-    4. Only the distinct values of that slice are sorted, each slice in its own partition.
+    ``df`` is read once and its rows are exchanged once, after equal values of a group have
+    shrunk map-side to one row with their count. All that follows reads this exchange:
+
+    1. Counts per cell, a fixed division of the numbers. Sums over a group's cells tell
+       which cells hold the wanted ranks.
+    2. Counts per slice of such a cell, which follow the cell's least and largest value,
+       tell which slice holds the wanted rank.
+    3. Only the distinct values of that slice are sorted, each slice in its own partition.
 
     All counts are exact, so no rank can be missed, and nothing depends on how the
     values lie: no task gets a group, but its counts of at most 270,000 cells, of a
     million slices, and of one slice's distinct values, whatever the number of rows and
-    of map tasks. Partial counts are merged by cell and by value, never by group.
+    of map tasks. Rows are dealt out by value, never by group, and a frequent value is
+    one row per task.
 
     Set ``few_groups`` only where the number of groups has a fixed bound: the wanted
-    cells are then broadcast. Otherwise their measured size decides.
-
-    ``df`` is read three times. Scans are best read again; set ``exchange_once`` for a
-    costly ``df``. It is then exchanged on all its columns, and all passes read
-    that one exchange: hashing all columns keeps the passes' columns alike,
-    and a row key among them spreads the rows evenly.
+    cells and slices, a few rows per group, are then broadcast. Otherwise the distinct values are
+    exchanged again to meet them.
     """
-    names, aggregates = list(keys) or ["_all"], dict(aggregates or {})
+    sums = dict(sums or {})
     columns = list(dict.fromkeys(column for column, _ in quantiles.values()))
-    if exchange_once:
-        df = df.repartition(*df.columns)
-    groups = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()], F.count(F.lit(1)).alias("_rows"))
-    if not keys:
-        df = df.withColumn("_all", F.lit(0))
+    names = list(keys) or ["_all"]
 
     def rank(p: float, end) -> Column:
         return end((F.col("_total") - 1) * F.lit(float(p)))
 
+    def is_of(column: str) -> Column:
+        """Whether a row is of this measure. A condition that all rows meet, as with one measure, would go
+        below the exchange as a filter and make it another one."""
+        return F.col("_measure") == columns.index(column) if len(columns) > 1 else F.col("_n") > 0
+
     holds_rank = reduce(
         Column.__or__,
         [
-            (F.col("_measure") == columns.index(c))
-            & (F.col("_before") <= rank(p, end))
-            & (rank(p, end) < F.col("_before") + F.col("_n"))
+            is_of(c) & (F.col("_before") <= rank(p, end)) & (rank(p, end) < F.col("_before") + F.col("_n"))
             for c, p in quantiles.values()
             for end in (F.floor, F.ceil)
         ],
@@ -108,49 +105,62 @@ def exact_quantiles(
     def up_to(window, order: str) -> Column:
         return F.sum("_n").over(window.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow))
 
-    # 1. cells
+    # The one exchange of the rows: equal values of a group become one row.
     values = [
         F.struct(F.lit(i).alias("_measure"), F.col(c).cast("double").alias("_v"))
         for i, c in enumerate(columns)
     ]
-    rows = df.select(*names, F.inline(F.array(*values))).filter("_v is not null")
-    rows = rows.withColumn("_cell", _cell(F.col("_v")))
+    parts = [c.alias(f"_s{i}") for i, c in enumerate(sums.values())]
+    rows = df if keys else df.withColumn("_all", F.lit(0))
+    rows = rows.select(*names, *parts, F.inline(F.array(*values))).withColumn("_cell", _cell(F.col("_v")))
+    counts = rows.groupBy(*names, "_measure", "_cell", "_v").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))]
+    )
+    # True for every row, but it names all columns: so they are in the exchange for each of
+    # its readers, which makes it the same one.
+    counts = counts.filter(reduce(Column.__or__, [F.col(f"_s{i}").isNull() for i in range(len(sums))], F.col("_n") > 0))
+
+    # A measure's number is a condition within the sums: as a filter it would go below the exchange.
+    first = F.col("_measure") == 0
+    added = [F.sum(F.when(first, F.col(f"_s{i}"))).alias(name) for i, name in enumerate(sums)]
+
+    # 1. cells
     group = W.partitionBy(*names, "_measure")
+    known = F.col("_v").isNotNull()
     cells = (
-        rows.groupBy(*names, "_measure", "_cell")
-        .agg(F.count("_v").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        counts.groupBy(*names, "_measure", "_cell")
+        .agg(F.sum(F.when(known, F.col("_n"))).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        .filter("_n is not null")
         .withColumns({"_before": up_to(group, "_cell") - F.col("_n"), "_total": F.sum("_n").over(group)})
         .filter(holds_rank)
         .drop("_n")
     )
 
-    # 2. distinct values of the cells that hold a wanted rank
-    renamed, same = _same(rows, cells, [*names, "_measure", "_cell"])
-    placed = rows.join(F.broadcast(renamed) if few_groups else renamed, same)
-    piece = _slice(F.col("_v"), F.col("_low"), F.col("_high")).alias("_slice")
+    # The distinct values of the cells that hold a wanted rank, with their slice.
     where = [*names, "_measure", "_cell"]
-    # Before and total are constant within a cell, so they add no groups here.
-    counts = placed.groupBy(*where, piece, "_before", "_total", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    renamed, same = _same(counts, cells, where)
+    placed = counts.join(F.broadcast(renamed) if few_groups else renamed, same)
+    piece = _slice(F.col("_v"), F.col("_low"), F.col("_high")).alias("_slice")
+    placed = placed.select(*where, piece, "_before", "_total", "_v", "_n")
 
-    # 3. slices
+    # 2. slices
     in_cell = W.partitionBy(*where)
     slices = (
-        counts.groupBy(*where, "_slice", "_before", "_total")
+        placed.groupBy(*where, "_slice", "_before", "_total")
         .agg(F.sum("_n").alias("_n"))
         .withColumn("_before", F.col("_before") + up_to(in_cell, "_slice") - F.col("_n"))
         .filter(holds_rank)
         .select(*where, "_slice", "_before")
     )
 
-    # 4. ranks of the values in those slices
-    renamed, same = _same(counts.drop("_before"), slices, [*where, "_slice"])
+    # 3. ranks of the values in those slices
+    renamed, same = _same(placed.drop("_before"), slices, [*where, "_slice"])
     in_slice = W.partitionBy(*where, "_slice")
-    sorted_values = counts.drop("_before").join(renamed, same).withColumn(
-        "_upto", F.col("_before") + up_to(in_slice, "_v")
-    )
+    sorted_values = placed.drop("_before").join(F.broadcast(renamed) if few_groups else renamed, same)
+    sorted_values = sorted_values.withColumn("_upto", F.col("_before") + up_to(in_slice, "_v"))
     picks, results = [], []
     for i, (name, (column, p)) in enumerate(quantiles.items()):
-        mine = F.col("_measure") == columns.index(column)
+        mine = is_of(column)
         for side, end in (("lo", F.floor), ("hi", F.ceil)):
             reached = mine & (F.col("_upto") > rank(p, end))
             picks.append(F.min(F.when(reached, F.col("_v"))).alias(f"_{side}{i}"))
@@ -158,15 +168,15 @@ def exact_quantiles(
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         between = F.when(low == high, low).otherwise(low + (high - low) * F.col(f"_frac{i}"))
         results.append(between.alias(name))
-    found = sorted_values.groupBy(*keys).agg(*picks)
-    if not keys:  # one row each
-        whole = groups.select(F.struct("*")).scalar()
-        row = found.withColumn("_whole", whole)
-        return row.select(*[F.col(f"_whole.{name}").alias(name) for name in aggregates], *results)
-    # A group without values has its row from the aggregates.
-    both = groups.drop("_rows").unionByName(found.select(*keys, *results), allowMissingColumns=True)
-    columns = [*aggregates, *quantiles]
-    return both.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
+
+    # A group without values has its row from the sums. One aggregate without their condition
+    # keeps it from becoming a filter.
+    whole = counts.groupBy(*names).agg(F.max("_n").alias("_most"), *added).filter("_most > 0").drop("_most")
+    found = sorted_values.groupBy(*names).agg(*picks).select(*names, *results)
+    both = whole.unionByName(found, allowMissingColumns=True)
+    columns = [F.first(c, ignorenulls=True).alias(c) for c in (*sums, *quantiles)]
+    # Without keys there is always one row.
+    return (both.groupBy(*keys) if keys else both.groupBy()).agg(*columns)
 
 
 def median_of_few_values(

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelsight.functions.scalars import round_half_away
+from parcelsight.functions.scalars import ratio, round_half_away
 from parcelsight.operators import profile as P
 from parcelsight.operators import quality as Q
 from parcelsight.plans import geography as G
@@ -53,14 +54,19 @@ def referential_integrity(
 ) -> DataFrame:
     """(check_name, violations): keys without a row in the table they point to."""
     category = "product_category_name"
-    return Q.count_violations(
-        {
-            "items to products": Q.orphan_keys(items, "product_id", products, "product_id"),
-            "items to sellers": Q.orphan_keys(items, "seller_id", sellers, "seller_id"),
-            "reviews to orders": Q.orphan_keys(reviews, "order_id", orders, "order_id"),
-            "categories to translation": Q.orphan_keys(products, category, translation, category),
-        }
-    )
+    links = {
+        "items to products": (items, products, "product_id"),
+        "items to sellers": (items, sellers, "seller_id"),
+        "reviews to orders": (reviews, orders, "order_id"),
+        "categories to translation": (products, translation, category),
+    }
+    found = [
+        Q.as_lines(
+            Q.key_census({"child": (child, key), "parent": (parent, key)}), {name: Q.orphans("child", "parent")}
+        )
+        for name, (child, parent, key) in links.items()
+    ]
+    return reduce(DataFrame.unionAll, found)
 
 
 def orphan_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -77,20 +83,26 @@ def orphan_status(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def coverage(customers: DataFrame, sellers: DataFrame, points: DataFrame) -> DataFrame:
     """How many zip prefixes of each side have no point."""
-    sides = {
-        "customers": (customers, "customer_zip_code_prefix"),
-        "sellers": (sellers, "seller_zip_code_prefix"),
-    }
-    rows = [
-        Q.key_coverage(frame, key, points, G.PREFIX).select(
-            F.lit(name).alias("side"),
-            "keys",
-            "uncovered",
-            round_half_away(F.col("uncovered_share") * F.lit(100.0), 1).alias("uncovered_pct"),
-        )
-        for name, (frame, key) in sides.items()
+    census = Q.key_census(
+        {
+            "customers": (customers, "customer_zip_code_prefix"),
+            "sellers": (sellers, "seller_zip_code_prefix"),
+            "points": (points, G.PREFIX),
+        }
+    )
+    sides = ("customers", "sellers")
+    totals = census.agg(
+        *[Q.known_keys(side).alias(f"{side}_keys") for side in sides],
+        *[Q.orphans(side, "points").alias(f"{side}_uncovered") for side in sides],
+    )
+    lines = [
+        F.struct(F.lit(side).alias("side"), F.col(f"{side}_keys").alias("keys"), F.col(f"{side}_uncovered").alias("uncovered"))
+        for side in sides
     ]
-    return rows[0].unionAll(rows[1])
+    share = ratio("uncovered", "keys")
+    return totals.select(F.inline(F.array(*lines))).withColumn(
+        "uncovered_pct", round_half_away(share * F.lit(100.0), 1)
+    )
 
 
 def checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

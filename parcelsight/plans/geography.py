@@ -27,8 +27,9 @@ def points_in_box(geolocation: DataFrame) -> DataFrame:
 
 def coordinates_by_prefix(geolocation: DataFrame) -> DataFrame:
     """Median coordinate of the in-box points of each known zip prefix."""
+    # A prefix is a number of five digits: 100,000 groups at most.
     medians = exact_quantiles(
-        points_in_box(geolocation), [PREFIX], {LAT: (LAT, 0.5), LNG: (LNG, 0.5)}
+        points_in_box(geolocation), [PREFIX], {LAT: (LAT, 0.5), LNG: (LNG, 0.5)}, few_groups=True
     )
     return medians.select(PREFIX, LAT, LNG)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parcelsight.functions.bands import DELAY_BANDS, DISTANCE_BANDS, Bands
@@ -106,11 +107,10 @@ def late_by_state(orders: DataFrame, customers: DataFrame, place: str = PLACE) -
     """Late rate per place and the place's share of all late orders."""
     scoped = in_scope(orders).select("customer_id", "is_late")
     counts = with_place(scoped, customers, place).transform(_count(place))
-    # One number, whatever the number of places: no task gets all of them.
-    total_late = counts.agg(F.sum("late_orders")).scalar()
+    # The total is added up over the places, which are few, and not over the joined orders again.
     return (
         _late_rates(counts)
-        .withColumn("_all_late", total_late)
+        .withColumn("_all_late", F.sum("late_orders").over(W.partitionBy(F.lit(0))))
         .withColumn("share_of_late_pct", percent("late_orders", "_all_late"))
         .drop("_all_late")
         .withColumnRenamed(place, "state")
@@ -198,11 +198,11 @@ def median_distance_by_state(
     distances = order_distances(items).filter(F.col("distance_km").isNotNull())
     placed = with_place(scoped.join(distances, "order_id"), customers, place)
     medians = exact_quantiles(
-        placed.select("order_id", place, "distance_km"),
+        placed.select(place, "distance_km"),
         [place],
         {"_median": ("distance_km", 0.5)},
-        aggregates={"orders": order_count()},
-        exchange_once=True,
+        sums={"orders": F.lit(1)},
+        few_groups=True,
     )
     ranked = medians.select(
         place,
@@ -226,11 +226,11 @@ def states_at_same_distance(
     distances = order_distances(items).filter(F.col("distance_km").between(*distance_km))
     placed = with_place(scoped.join(distances, "order_id"), customers, place)
     medians = exact_quantiles(
-        placed.select("order_id", place, "distance_km", "is_late"),
+        placed.select(place, "distance_km", "is_late"),
         [place],
         {"_median": ("distance_km", 0.5)},
-        aggregates={"orders": order_count(), "late_orders": late_count()},
-        exchange_once=True,
+        sums={"orders": F.lit(1), "late_orders": F.col("is_late").cast("int")},
+        few_groups=True,
     )
     return (
         _late_rates(medians)

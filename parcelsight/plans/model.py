@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelsight.operators import quality as Q
@@ -64,17 +65,37 @@ def conform_model(tables: Mapping[str, DataFrame], key_type: T.DataType = STRING
 
 
 def model_violations(model: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per key, required-column, range and reference rule of the model."""
-    own, links = [], {}
-    for name, spec in MODEL.items():
-        own.append(
-            Q.count_table_violations(model[name], name, spec.key, spec.required, spec.ranges)
-        )
-        for column, parent in spec.references.items():
-            links[f"{name}: {column} in {parent}"] = Q.orphan_keys(
-                model[name], column, model[parent], MODEL[parent].key[0]
-            )
-    return reduce(DataFrame.unionAll, [*own, Q.count_violations(links)])
+    """One row per key, required-column, range and reference rule of the model.
+
+    Tables whose key another table points to, and tables that share their key, meet in one
+    census per key: uniqueness, references and the tables' own rules all follow from it.
+    """
+    found = []
+    for parent, spec in MODEL.items():
+        if len(spec.key) > 1:
+            found.append(Q.count_table_violations(model[parent], parent, spec.key, spec.required, spec.ranges))
+            continue
+        if MODEL[parent].references.get(spec.key[0]):
+            continue  # counted with the table it points to
+        sides, rules = {parent: (model[parent], spec.key[0])}, {}
+        keyed = [parent]
+        for child, other in MODEL.items():
+            for column, target in other.references.items():
+                if target == parent:
+                    sides[child] = (model[child], column)
+                    keyed += [child] if other.key == (column,) else []
+        for name in keyed:
+            rules[name] = {
+                rule: F.coalesce(broken, F.lit(False)).cast("int")
+                for rule, broken in Q.broken_rules(MODEL[name].required, MODEL[name].ranges).items()
+            }
+        checks = {f"{name}: key {MODEL[name].key[0]}": Q.repeated_or_unknown(name) for name in keyed}
+        checks |= {f"{name}: {rule}": F.sum(f"`{name}.{rule}`") for name in keyed for rule in rules[name]}
+        for child, (_, column) in sides.items():
+            if child != parent:
+                checks[f"{child}: {column} in {parent}"] = Q.orphans(child, parent)
+        found.append(Q.as_lines(Q.key_census(sides, rules), checks))
+    return reduce(DataFrame.unionAll, found)
 
 
 def validate_model(model: Mapping[str, DataFrame]) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,13 @@ from parcelsight.operators.quality import (
     orphan_keys,
     require,
 )
-from parcelsight.plans.alerts import alerts
+from parcelsight.plans.alerts import Rule, alerts
 from parcelsight.plans.kpis import (
+    EPISODE,
+    FOCAL,
     PLACE,
     PURCHASED,
+    TIMELINE_START,
     excess_by_month,
     in_scope,
     late_by_seller_rate,
@@ -26,7 +30,7 @@ from parcelsight.plans.kpis import (
     promised_and_actual_days,
     with_place,
 )
-from parcelsight.sources.files import write_parquet
+from parcelsight.sources.publish import publish, read_published
 from parcelsight.sources.schemas import BRAZIL_STATES
 
 # Stage labels in serving order.
@@ -113,17 +117,31 @@ def seller_rates(orders: DataFrame, items: DataFrame) -> DataFrame:
     return late_by_seller_rate(orders, items, limit=None)
 
 
-def build_star(spark: SparkSession, model: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+@dataclass(frozen=True)
+class Focus:
+    """Whose alerts and excess are exported, and for when. Fixed values as defaults."""
+
+    place: str = PLACE
+    focal: str = FOCAL
+    window: tuple[str | None, str | None] = EPISODE
+    since: str | None = TIMELINE_START
+    rule: Rule = Rule()
+    states: tuple[tuple[str, str, str], ...] = tuple(BRAZIL_STATES)
+
+
+def build_star(
+    spark: SparkSession, model: Mapping[str, DataFrame], focus: Focus = Focus()
+) -> dict[str, DataFrame]:
     """All export tables of a model, by name."""
     orders, customers, items = model["orders"], model["customers"], model["order_items"]
     return {
         "fact_orders": fact_orders(orders, customers, items, model["reviews"]),
         "fact_stage_hours": fact_stage_hours(orders, customers),
         "dim_date": dim_date(orders),
-        "dim_state": dim_state(spark),
+        "dim_state": dim_state(spark, focus.states),
         "seller_rates": seller_rates(orders, items),
-        "alerts": alerts(orders, customers),
-        "rio_excess": excess_by_month(orders, customers),
+        "alerts": alerts(orders, customers, focus.place, focus.since, focus.rule),
+        "rio_excess": excess_by_month(orders, customers, focus.place, focus.focal, focus.window),
     }
 
 
@@ -161,9 +179,17 @@ def check_fact_joins(model: Mapping[str, DataFrame]) -> None:
 def write_star(
     star: Mapping[str, DataFrame], model: Mapping[str, DataFrame], out_dir: str
 ) -> dict[str, int]:
-    """Check the fact's joins, write every table, and compare the fact's written rows
-    with the orders in scope; returns the rows written."""
+    """Check the fact's joins, write every table as a new version, compare the fact's written
+    rows with the orders in scope, and publish; returns the rows written. The export
+    published before stays readable until then, and for good if a check fails."""
     check_fact_joins(model)
-    counts = {name: write_parquet(frame, f"{out_dir}/{name}") for name, frame in star.items()}
-    _require_grain(counts["fact_orders"], in_scope(model["orders"]).count())
-    return counts
+
+    def check(written: Mapping[str, DataFrame]) -> None:
+        check_fact_grain(written["fact_orders"], model["orders"])
+
+    return publish(model["orders"].sparkSession, star, out_dir, check)
+
+
+def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The published export tables."""
+    return read_published(spark, out_dir)

@@ -8,31 +8,20 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelsight.functions.scalars import parse_timestamp
-from parcelsight.sources.schemas import RAW_TYPES
-
-# Texts that stand for "no value" in a raw CSV cell.
-MISSING_TEXTS = [
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
-    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
-]
-
-# Only reviews carry free text with line breaks. A multi-line file cannot be split
-# into several tasks, so every other table is read line by line.
-MULTI_LINE = {"reviews"}
-
-
-def _typed(name: str, kind: T.DataType) -> Column:
-    known = F.when(~F.col(name).isin(MISSING_TEXTS), F.col(name))
-    if isinstance(kind, T.TimestampNTZType):
-        return parse_timestamp(known).alias(name)
-    return known.cast(kind).alias(name)
+from parcelsight.sources import records
+from parcelsight.sources.checked import known_text, typed
+from parcelsight.sources.schemas import MULTI_LINE, RAW_TYPES
 
 
 def _read_texts(spark: SparkSession, path: str, table: str) -> DataFrame:
     """All cells as text. The files of a folder must have one header: names are taken from
-    one file, and reading stops at a file whose header names other columns or another order."""
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": table in MULTI_LINE}
+    one file, and reading stops at a file whose header names other columns or another order.
+    Where cells may hold line breaks, records are found by quote parity."""
+    if table in MULTI_LINE:
+        names = records.header(spark, path)
+        found = records.cells(records.quoted_lines(records.lines(spark, path)), names)
+        return found.filter("not _header and not _blank").select(*names)
+    options = {"header": True, "quote": '"', "escape": '"'}
     names = spark.read.options(**options).csv(path).columns
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return spark.read.options(**options).schema(text).option("enforceSchema", False).csv(path)
@@ -41,31 +30,23 @@ def _read_texts(spark: SparkSession, path: str, table: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A raw table with the declared types, from a file or a folder of files of one header.
 
-    Only the header line is looked at up front; nothing is inferred from rows. A large
-    table of reviews is best given as many files, as each is one task.
+    Only the header line is looked at up front; nothing is inferred from rows. A cell that holds a
+    text but no value of its type is unknown; ``unreadable_cells`` counts them, and
+    ``checked.stage`` lists them.
     """
     texts, types = _read_texts(spark, path, table), RAW_TYPES[table]
-    return texts.select(*[_typed(n, types.get(n, T.StringType())) for n in texts.columns])
+    return texts.select(*[typed(n, types.get(n, T.StringType())) for n in texts.columns])
 
 
-def unreadable_timestamps(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """(check_name, violations): cells per timestamp column that hold a text but no timestamp.
-
-    `read_csv` makes them unknown, as it must not stop an exploration; the jobs refuse them.
-    """
-    texts = _read_texts(spark, path, table)
-    kinds = RAW_TYPES[table]
-    dated = [n for n in texts.columns if isinstance(kinds.get(n), T.TimestampNTZType)]
-    if not dated:
+def unreadable_cells(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """(check_name, violations): cells per typed column that hold a text but no value of its type."""
+    texts, kinds = _read_texts(spark, path, table), RAW_TYPES[table]
+    names = [n for n in texts.columns if n in kinds]
+    if not names:
         return spark.createDataFrame([], "check_name string, violations long")
-
-    def broken(name: str) -> Column:
-        known = ~F.col(name).isin(MISSING_TEXTS)
-        return F.count_if(known & parse_timestamp(name).isNull())
-
-    counts = texts.agg(*[broken(n).alias(n) for n in dated])
-    long = counts.unpivot([], dated, "_column", "violations")
-    name = F.concat(F.lit(f"{table}: "), F.col("_column"), F.lit(" is a timestamp"))
+    broken = {n: F.count_if(known_text(n).isNotNull() & typed(n, kinds[n]).isNull()) for n in names}
+    long = texts.agg(*[c.alias(n) for n, c in broken.items()]).unpivot([], names, "_column", "violations")
+    name = F.concat(F.lit(f"{table}: "), F.col("_column"), F.lit(" is readable"))
     return long.select(name.alias("check_name"), "violations")
 
 

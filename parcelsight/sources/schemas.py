@@ -54,6 +54,16 @@ RAW_TYPES: dict[str, dict[str, T.DataType]] = {
 }
 
 
+# Texts that stand for "no value" in a raw CSV cell.
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+# Only reviews carry free text with line breaks; every other table is read line by line.
+MULTI_LINE = {"reviews"}
+
+
 @dataclass(frozen=True)
 class Table:
     """Columns of a model table with the rules its rows must keep."""

@@ -219,7 +219,7 @@ def _summary(source: str, column: str) -> str:
 def _profile(source: str, columns: dict[str, str]) -> str:
     return " union all ".join(
         f"select {i} as position, '{c}' as column_name, '{kind}' as data_type, count(*) as rows, "
-        f"count({c}) as known, count(*) - count({c}) as unknown from {source}"
+        f"count({c}) as known, count(*) - count({c}) as unknown, count(distinct {c}) as distinct_values from {source}"
         for i, (c, kind) in enumerate(columns.items(), 1)
     )
 
@@ -511,6 +511,27 @@ from c_items left join c_distances using (order_id, order_item_id)
         }.items()
     ),
     "violations": VIOLATIONS,
+    "csv_orders": "select * from raw_orders",
+    "csv_reviews": r"""
+select raw_reviews.*, case review_id % 4
+  when 0 then 'Said "' || review_id || '", then' || chr(10) || chr(10) || 'left, "quietly"'
+  when 1 then 'two lines' || chr(10) || review_id
+  when 2 then 'plain, with a comma' end as review_comment_message
+from raw_reviews
+""",
+    "csv_rejects": """
+select 'price' as "column", 'n/k' as text, count(*) as rejects from raw_items where (order_id + order_item_id) % 50 = 0 having count(*) > 0
+union all
+select 'shipping_limit_date', '31/31/1999', count(*) from raw_items where (order_id + order_item_id) % 70 = 0 having count(*) > 0
+""",
+    "catalog_counts": " union all ".join(
+        f"select '{name.removeprefix('raw_') if name != 'raw_items' else 'order_items'}' as table_name, count(*) as rows from {name}"
+        for name in RAW
+    ),
+    "category_preview": """
+select product_category, count(*) as rows from c_products where product_category is not null
+group by product_category order by rows desc, product_category limit 3
+""",
     "out_of_order_rows": " union all ".join(
         _nulls(name, "raw_orders", f"{earlier} > {later}")
         for name, earlier, later in [
@@ -608,6 +629,19 @@ ANSWERS |= {
     "clean_order_items_checked": ANSWERS["clean_order_items"],
     "model_round_trip": ANSWERS["table_counts"],
     "star_round_trip": ANSWERS["fact_orders"],
+    "geography_job": ANSWERS["item_distances"],
+    "star_export": " union all ".join(
+        f"select '{name}' as table_name, count(*) as rows from ({ANSWERS[answer]})"
+        for name, answer in {
+            "fact_orders": "fact_orders",
+            "fact_stage_hours": "fact_stage_hours",
+            "dim_date": "dim_date",
+            "dim_state": "dim_state",
+            "seller_rates": "seller_rates",
+            "alerts": "alerts",
+            "rio_excess": "excess_by_month",
+        }.items()
+    ),
 }
 
 

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelsight import jobs
 from parcelsight.functions.scalars import round_half_away
 from parcelsight.operators import profile as P
 from parcelsight.operators import quality as Q
@@ -19,6 +20,8 @@ from parcelsight.plans import kpis as K
 from parcelsight.plans import model as M
 from parcelsight.plans import star as S
 from parcelsight.session import tune
+from parcelsight.sources.checked import Checked, stage
+from parcelsight.sources.files import read_catalog
 from parcelsight.testbed.tables import (
     EPISODE,
     EPISODE_REGION,
@@ -102,8 +105,15 @@ class Clean(TestTables):
         return M.build_model(raw, key_type=KEY_TYPE, translations=TRANSLATIONS)
 
 
+def _stored_model(t: Clean) -> M.Model:
+    """The model written and read back: what checks read are its columns, not the plans behind it."""
+    folder = t.new_folder("model")
+    M.write_model(t.model(), folder)
+    return M.read_model(t.spark, folder)
+
+
 def _violations(t: Clean) -> DataFrame:
-    model = t.model()
+    model = _stored_model(t)
     fact = S.fact_orders(
         model["orders"], model["customers"], model["order_items"], model["reviews"]
     )
@@ -139,9 +149,8 @@ def _attached_distances(t: Clean) -> DataFrame:
     )
 
 
-def _describe(df: DataFrame, column: str, exchange_once: bool = False) -> DataFrame:
-    summary = P.describe(df, column, exchange_once=exchange_once)
-    return summary.select("statistic", _micro("value"))
+def _describe(df: DataFrame, column: str) -> DataFrame:
+    return P.describe(df, column).select("statistic", _micro("value"))
 
 
 def _cleaning_report(t: Clean) -> DataFrame:
@@ -178,14 +187,82 @@ def _round_trip(t: Clean) -> DataFrame:
     return M.model_counts(M.read_model(t.spark, folder))
 
 
+def _read_back(t: Clean, tables: dict[str, DataFrame], table: str) -> Checked:
+    folder = t.written_csv(tables)
+    return stage(t.spark, f"{folder}/{table}.csv", table, t.new_folder("staged"))
+
+
+def _as_numbers(df: DataFrame, *names: str) -> DataFrame:
+    """Identifiers are text in raw files."""
+    return df.withColumns({n: F.col(n).cast(KEY_TYPE) for n in names})
+
+
+def _csv_orders(t: Clean) -> DataFrame:
+    found = _read_back(t, {"orders": t.raw_orders}, "orders")
+    return _as_numbers(found.rows, "order_id", "customer_id")
+
+
+def _csv_reviews(t: Clean) -> DataFrame:
+    found = _read_back(t, {"reviews": t.commented_reviews()}, "reviews")
+    return _as_numbers(found.rows, "review_id", "order_id")
+
+
+def _csv_rejects(t: Clean) -> DataFrame:
+    """Cells that are no numbers or dates, planted in the items, by column and text."""
+    k = F.col("order_id") + F.col("order_item_id")
+    items = t.items.withColumns(
+        {
+            "price": F.when(k % 50 == 0, F.lit("n/k")).otherwise(F.col("price").cast("string")),
+            "shipping_limit_date": F.when(k % 70 == 0, F.lit("31/31/1999")).otherwise(
+                F.col("shipping_limit_date").cast("string")
+            ),
+            "freight_value": F.when(k % 90 == 0, F.lit("NaN")).otherwise(F.col("freight_value").cast("string")),
+        }
+    )
+    found = _read_back(t, {"order_items": items}, "order_items")
+    return found.rejects.groupBy("column", "text").agg(F.count(F.lit(1)).alias("rejects"))
+
+
+def _catalog_counts(t: Clean) -> DataFrame:
+    raw = t.raw()
+    folder = t.written_csv(raw)
+    return P.table_counts(read_catalog(t.spark, {name: f"{folder}/{name}.csv" for name in raw}))
+
+
+def _geography_job(t: Clean) -> DataFrame:
+    """Raw files to distances by the batch jobs; the distances they stored."""
+    needed = ("orders", "order_items", "customers", "sellers", "geolocation")
+    raw, clean = t.written_csv({name: t.raw()[name] for name in needed}), t.new_folder("clean")
+    for job in ("orders", "order_items", "geography"):
+        jobs.CLEANING[job](t.spark, raw, clean)
+    stored = t.spark.read.parquet(f"{clean}/order_distances")
+    return _as_numbers(stored, "order_id").withColumn("distance_km", _micro("distance_km"))
+
+
+def _star_export(t: Clean) -> DataFrame:
+    """All tables of the published star: rows per table."""
+    model = _stored_model(t)
+    wide = model | {"customers": t.customers()}
+    focus = S.Focus(REGION, EPISODE_REGION, EPISODE, TIMELINE_START, RULE, tuple(STATES))
+    star = S.build_star(t.spark, wide, focus) | {
+        name: build(model["orders"], model["customers"], *more)
+        for name, build, more in (
+            ("fact_orders", S.fact_orders, (model["order_items"], model["reviews"])),
+            ("fact_stage_hours", S.fact_stage_hours, ()),
+        )
+    }
+    folder = t.new_folder("star")
+    S.write_star(star, wide, folder)
+    return P.table_counts(S.read_star(t.spark, folder))
+
+
 def _star_round_trip(t: Clean) -> DataFrame:
     """The order fact of the exported star, read back."""
     model = t.model()
     fact = S.fact_orders(model["orders"], model["customers"], model["order_items"], model["reviews"])
     folder = t.new_folder("star")
     S.write_star({"fact_orders": fact}, model, folder)
-    stored = t.spark.read.parquet(f"{folder}/fact_orders")
-    S.check_fact_grain(stored, model["orders"])
+    stored = S.read_star(t.spark, folder)["fact_orders"]
     return stored.withColumn("distance_km", _micro("distance_km"))
 
 
@@ -281,6 +358,13 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
     "table_counts": _table_counts,
     "model_round_trip": _round_trip,
     "star_round_trip": _star_round_trip,
+    "star_export": _star_export,
+    # raw files
+    "csv_orders": _csv_orders,
+    "csv_reviews": _csv_reviews,
+    "csv_rejects": _csv_rejects,
+    "catalog_counts": _catalog_counts,
+    "geography_job": _geography_job,
     # checks
     "violations": _violations,
     "out_of_order_rows": lambda t: E.out_of_order(t.raw_orders),
@@ -305,12 +389,11 @@ QUERIES: dict[str, Callable[[Clean], DataFrame]] = {
     "category_count": lambda t: P.distinct_count(
         t.clean_products, "product_category", "categories"
     ),
-    "describe_price": lambda t: _describe(t.lines, "price"),
-    "describe_distance": lambda t: _describe(
-        t.items_with_distance.select("order_id", "order_item_id", "distance_km"),
-        "distance_km",
-        exchange_once=True,
+    "category_preview": lambda t: P.preview(
+        P.value_counts(t.clean_products, "product_category"), 3
     ),
+    "describe_price": lambda t: _describe(t.lines, "price"),
+    "describe_distance": lambda t: _describe(t.items_with_distance, "distance_km"),
     "rows_per_prefix": lambda t: P.rows_per_key(t.geolocation(), G.PREFIX),
     "duplicate_points": lambda t: P.duplicate_rows(t.geolocation()),
     "duplicate_reviews": lambda t: P.duplicate_rows(

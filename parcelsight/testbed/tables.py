@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,9 +75,29 @@ class TestTables:
     def new_folder(self, name: str) -> str:
         """A folder that does not exist yet, below the one that driver and executors share."""
         root = self.spark.conf.get("spark.checkpoint.dir", None)
-        root = root or Path(tempfile.mkdtemp(prefix="parcelsight-")).as_uri()
+        if not root:
+            if not self.spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            root = Path(tempfile.mkdtemp(prefix="parcelsight-")).as_uri()
         return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
+    def written_csv(self, tables: Mapping[str, DataFrame]) -> str:
+        """A new folder with the tables as CSV, as the raw files come: quoted, with a header."""
+        folder = self.new_folder("raw")
+        for name, frame in tables.items():
+            frame.write.options(header=True, quote='"', escape='"').csv(f"{folder}/{name}.csv")
+        return folder
+
+    def commented_reviews(self) -> DataFrame:
+        """Reviews with free text: quotes, commas and line breaks, or none."""
+        number = F.col("review_id")
+        text = (
+            F.when(number % 4 == 0, F.concat(F.lit('Said "'), number.cast("string"), F.lit('", then\n\nleft, "quietly"')))
+            .when(number % 4 == 1, F.concat(F.lit("two lines\n"), number.cast("string")))
+            .when(number % 4 == 2, F.lit("plain, with a comma"))
+        )
+        return self.reviews().withColumn("review_comment_message", text)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 

@@ -1,0 +1,94 @@
+"""Key census, distinct counts per column and full-row duplicates."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from parcelsight.operators import profile as P
+from parcelsight.operators import quality as Q
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+
+
+def keys(spark, values, name="k"):
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def test_a_census_counts_every_side(spark):
+    sides = {
+        "parent": (keys(spark, ["a", "b", "b", None]), "k"),
+        "child": (keys(spark, ["a", "a", "x", None, None], "other"), "other"),
+        "none": (keys(spark, []), "k"),
+    }
+    rows = {r.key: (r.parent, r.child, r.none) for r in Q.key_census(sides).collect()}
+    assert rows == {"a": (1, 2, 0), "b": (2, 0, 0), "x": (0, 1, 0), None: (1, 2, 0)}
+    lines = Q.as_lines(
+        Q.key_census(sides),
+        {"key": Q.repeated_or_unknown("parent"), "orphans": Q.orphans("child", "parent"), "keys": Q.known_keys("child")},
+    )
+    assert {r.check_name: r.violations for r in lines.collect()} == {"key": 2, "orphans": 1, "keys": 2}
+
+
+def test_a_census_agrees_with_the_single_checks(spark):
+    rng = random.Random(1)
+    parent = keys(spark, [rng.choice([None, *map(str, range(300))]) for _ in range(400)])
+    child = keys(spark, [rng.choice([None, "7", *map(str, range(500))]) for _ in range(900)])
+    census = Q.key_census({"parent": (parent, "k"), "child": (child, "k")})
+    got = Q.as_lines(census, {"key": Q.repeated_or_unknown("parent"), "orphans": Q.orphans("child", "parent")})
+    want = {"key": Q.primary_key_violations(parent, ["k"]).count(), "orphans": Q.orphan_keys(child, "k", parent, "k").count()}
+    assert {r.check_name: r.violations for r in got.collect()} == want
+
+
+def test_a_census_is_one_exchange_of_the_keys_with_rules_on_its_way(spark):
+    parent = spark.range(1_000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 10).alias("x"))
+    child = spark.range(5_000).select(F.lit("7").alias("k"))  # one hot key
+    sums = {"parent": {"x is small": (F.col("x") > 8).cast("int")}}
+    census = Q.key_census({"parent": (parent, "k"), "child": (child, "k")}, sums)
+    lines = Q.as_lines(census, {"x": F.sum("`parent.x is small`"), "orphans": Q.orphans("child", "parent")})
+    plan = final_plan(lines)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert {r.check_name: r.violations for r in lines.collect()} == {"x": 100, "orphans": 0}
+
+
+def test_distinct_values_per_column(spark):
+    rows = [(i % 7, None if i % 3 else f"t{i % 5}", float(i), None) for i in range(1_000)]
+    df = spark.createDataFrame(rows, "a int, `b c` string, d double, e string").repartition(5)
+    found = P.profile(df)
+    got = {r.column_name: (r.rows, r.known, r.unknown, r.distinct_values) for r in found.collect()}
+    assert got == {"a": (1000, 1000, 0, 7), "b c": (1000, 334, 666, 5), "d": (1000, 1000, 0, 1000), "e": (1000, 0, 1000, 0)}
+    plan = final_plan(P.profile(df))
+    assert "Expand" not in plan and plan.count("_h1") > 0
+
+
+def test_an_empty_table_has_its_columns(spark):
+    found = P.profile(spark.createDataFrame([], "a int, b string")).collect()
+    assert [(r.column_name, r.rows, r.known, r.distinct_values) for r in found] == [("a", 0, 0, 0), ("b", 0, 0, 0)]
+
+
+def test_repeated_rows_are_found_by_digest_and_compared_in_full(spark):
+    rows = [(1, "x", 0.0), (1, "x", -0.0), (2, None, 1.0), (2, None, 1.0), (2, None, 1.0), (3, "y", float("nan")), (3, "y", float("nan"))]
+    rows += [(i, "z", 0.5) for i in range(10, 200)]
+    df = spark.createDataFrame(rows, "a int, b string, c double").repartition(4)
+    want = len(rows) - df.distinct().count()
+    assert P.duplicate_rows(df).first()[0] == want == 4
+    # Digests that say nothing: every row is a candidate, and the answer stays.
+    same = [F.lit(1).alias("_h1"), (F.col("a") % 2).alias("_h2")]
+    assert P._repeats(df, same).first()[0] == want
+
+
+@pytest.mark.parametrize("rows", [[], [(1,)]])
+def test_nothing_repeats_in_small_tables(spark, rows):
+    assert P.duplicate_rows(spark.createDataFrame(rows, "a int")).first()[0] == 0
+
+
+def test_only_digests_are_exchanged_for_all_rows(spark):
+    df = spark.range(2_000).select("id", F.repeat(F.lit("long text "), 50).alias("t")).union(spark.createDataFrame([(5, "a")], "id long, t string"))
+    found = P.duplicate_rows(df)
+    plan = final_plan(found)
+    assert found.first()[0] == 0
+    # No digest repeats, so no row is looked at again.
+    assert "EmptyRelation" in plan and "hashpartitioning(_h1" in found._jdf.queryExecution().executedPlan().toString()

@@ -9,6 +9,7 @@ from parcelsight.__main__ import main
 from parcelsight.operators.quality import QualityError
 from parcelsight.plans.catalog import QUESTIONS
 from parcelsight.plans.model import read_model
+from parcelsight.plans.star import read_star
 
 ORDER_COLUMNS = [
     "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
@@ -96,7 +97,7 @@ def test_the_chain_from_csv_to_star(spark, raw, tmp_path, capsys):
     assert [items[k].missed_shipping_deadline for k in sorted(items)] == [False, True, False]
     scores = {r.order_id: r.review_score for r in read_model(spark, model)["reviews"].collect()}
     assert scores == {"o1": 4, "o2": 1}
-    fact = {r.order_id: r for r in spark.read.parquet(f"{out}/fact_orders").collect()}
+    fact = {r.order_id: r for r in read_star(spark, out)["fact_orders"].collect()}
     assert (fact["o2"].delay_days, fact["o2"].delay_bucket, fact["o2"].distance_bucket) == (14, "8-14 days late", None)
     for question in QUESTIONS.values():
         question(read_model(spark, model)).collect()
@@ -122,9 +123,12 @@ def test_a_job_stops_at_a_broken_timestamp_with_a_count(spark, raw, tmp_path):
     rows[1][6] = "10/10/2017 21:25"
     with open(tmp_path / "orders.csv", "w", newline="", encoding="utf-8") as file:
         csv.writer(file).writerows(rows)
-    with pytest.raises(QualityError, match="order_delivered_customer_date is a timestamp: 1 violations"):
+    with pytest.raises(QualityError, match="orders: order_delivered_customer_date is readable: 1 violations"):
         jobs.clean_orders(spark, str(tmp_path), str(tmp_path / "clean"))
-    assert not (tmp_path / "clean").exists()
+    assert not (tmp_path / "clean" / "orders").exists()
+    (reject,) = spark.read.parquet(str(tmp_path / "clean" / "_rejects" / "orders")).collect()
+    assert (reject.line, reject.column, reject.text) == (2, "order_delivered_customer_date", "10/10/2017 21:25")
+    assert reject.file.endswith("orders.csv")
 
 
 def test_no_row_and_no_column_of_a_report_is_cut(spark, capsys, monkeypatch, tmp_path):
@@ -165,6 +169,6 @@ def test_the_command_line_sets_partitions_and_keeps_tables(spark, raw, tmp_path,
 def test_explore_checks_all_tables(spark, raw, capsys):
     main(["explore", raw])
     text = capsys.readouterr().out
-    for line in ("orders: values of order_status", "order_items: summary of price", "tables: integrity", "tables: zip coverage", "orders: unreadable timestamps"):
+    for line in ("orders: values of order_status", "order_items: summary of price", "tables: integrity", "tables: zip coverage", "orders: unreadable cells"):
         assert line in text
     assert "categories to translation\t1" in text and "delivered\t2" in text

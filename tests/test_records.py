@@ -1,0 +1,133 @@
+"""Records of CSV files in parallel, and typed reading with rejects."""
+
+import contextlib
+import random
+
+import pytest
+from helpers import ts
+
+from parcelsight.operators.quality import QualityError
+from parcelsight.sources import checked, files, records
+
+HEADER = "review_id,order_id,review_score,review_comment_message,review_answer_timestamp"
+
+
+@contextlib.contextmanager
+def split_every(spark, size):
+    """Byte ranges of at most so many bytes."""
+    values = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": str(size)}
+    before = {k: spark.conf.get(k) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def one_task(spark, path):
+    """Spark's own reader, which gives a multi-line file to one task."""
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+    return sorted(map(tuple, spark.read.options(**options).csv(path).collect()), key=str)
+
+
+def parallel(spark, path):
+    names = records.header(spark, path)
+    found = records.cells(records.quoted_lines(records.lines(spark, path)), names)
+    return sorted(map(tuple, found.filter("not _header and not _blank").select(*names).collect()), key=str)
+
+
+def quoted(text):
+    return '"' + text.replace('"', '""') + '"'
+
+
+def reviews(rng, n, end="\n"):
+    texts = ["plain", "", 'a "quoted" word', f"two{end}lines", f"{end}{end}starts empty", 'ends with a quote"', f'"{end}"', ",,,", f"x{end}" * 30]
+    rows = [f"r{i},o{i},{i % 5 + 1},{quoted(rng.choice(texts))},2018-01-0{1 + i % 9} 10:00:00" for i in range(n)]
+    return (HEADER + end + end.join(rows) + end).encode()
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [64, 700, 1 << 20])
+def test_ranges_of_any_size_give_the_rows_of_one_task(spark, tmp_path, end, size):
+    path = tmp_path / "r.csv"
+    path.write_bytes(reviews(random.Random(size), 120, end))
+    want = one_task(spark, str(path))
+    with split_every(spark, size):
+        tasks = records.lines(spark, str(path)).rdd.getNumPartitions()
+        assert tasks > 50 if size == 64 else tasks > 3 if size == 700 else tasks == 1
+        assert parallel(spark, str(path)) == want
+    assert len(want) == 120
+
+
+def test_one_record_over_many_ranges_and_several_files(spark, tmp_path):
+    folder = tmp_path / "r.csv"
+    folder.mkdir()
+    for i in range(3):
+        long = quoted("line\n" * 400 + f"end {i}")
+        (folder / f"{i}.csv").write_text(f"{HEADER}\nr{i},o,1,{long},2018-01-01\ns{i},o,2,short,2018-01-02\n")
+    want = one_task(spark, str(folder))
+    with split_every(spark, 300):
+        assert parallel(spark, str(folder)) == want and len(want) == 6
+
+
+def test_the_lines_are_exchanged_once(spark, tmp_path):
+    path = tmp_path / "r.csv"
+    path.write_bytes(reviews(random.Random(1), 200))
+    with split_every(spark, 500):
+        found = records.quoted_lines(records.lines(spark, str(path)))
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("FileScan text") == 1, plan
+    assert "ReusedExchange" in plan
+
+
+def test_rejects_name_file_line_column_and_text(spark, tmp_path):
+    folder = tmp_path / "r.csv"
+    folder.mkdir()
+    text = quoted("one\ntwo\nthree")
+    lines = [HEADER, f"r1,o,5,{text},2018-01-01", "", "r2,o,five,x,soon", "r3,o,1", "r4,o,NA,,", f"r5,o,2.5,{text},2018-01-01"]
+    for name in ("a", "b"):
+        (folder / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    for size in (40, 1 << 20):
+        with split_every(spark, size):
+            found = checked.stage(spark, str(folder), "reviews", str(tmp_path / f"staged{size}"))
+        rejects = sorted((r.file[-5:], r.line, r.column or "", r.text) for r in found.rejects.collect())
+        assert rejects == sorted(
+            (f"{name}.csv", *rest)
+            for name in "ab"
+            for rest in (
+                (6, "review_answer_timestamp", "soon"), (6, "review_score", "five"), (7, "", "r3,o,1"), (9, "review_score", "2.5"),
+            )
+        )
+        counts = {r.check_name: r.violations for r in found.counts().collect()}
+        assert counts == {"review_score is readable": 4, "review_answer_timestamp is readable": 2, "records are whole": 2}
+        rows = {r.review_id: r for r in found.rows.collect()}
+        assert found.rows.count() == 10 and rows["r2"].review_score is None and rows["r1"].review_score == 5
+        assert rows["r1"].review_answer_timestamp == ts("2018-01-01") and rows["r1"].review_comment_message == "one\ntwo\nthree"
+
+
+def test_a_file_without_the_header_stops_the_read(spark, tmp_path):
+    folder = tmp_path / "c.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("seller_id,seller_city\ns1,x\n")
+    (folder / "b.csv").write_text("seller_city,seller_id\nx,s2\n")
+    with pytest.raises(QualityError, match="no header"):
+        checked.stage(spark, str(folder), "sellers", str(tmp_path / "staged"))
+
+
+def test_files_put_together_with_their_headers(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text("seller_id,seller_zip_code_prefix\r\ns1,01\r\nseller_id,seller_zip_code_prefix\r\ns2,x\r\n")
+    found = checked.stage(spark, str(path), "sellers", str(tmp_path / "staged"))
+    assert sorted(map(tuple, found.rows.collect())) == [("s1", 1), ("s2", None)]
+    assert [(r.line, r.column, r.text) for r in found.rejects.collect()] == [(4, "seller_zip_code_prefix", "x")]
+
+
+def test_numbers_that_are_none_are_unknown_and_counted(spark, tmp_path):
+    path = tmp_path / "g.csv"
+    path.write_text("geolocation_zip_code_prefix,geolocation_lat\n1,high\n2,-3.5\nNA,\n")
+    assert [r.geolocation_lat for r in files.read_csv(spark, str(path), "geolocation").collect()] == [None, -3.5, None]
+    found = {r.check_name: r.violations for r in files.unreadable_cells(spark, str(path), "geolocation").collect()}
+    assert found == {"geolocation: geolocation_zip_code_prefix is readable": 0, "geolocation: geolocation_lat is readable": 1}

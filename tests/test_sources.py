@@ -89,12 +89,12 @@ def test_texts_that_are_no_timestamps_are_counted(spark, tmp_path):
     lines = ["order_id,order_purchase_timestamp,order_approved_at"]
     lines += ["a,2018-01-05 09:00:00,", "b,05/01/2018 09:00,NA", "c,2018-02-30 00:00:00,soon"]
     path = write(tmp_path / "orders.csv", *lines)
-    found = {r.check_name: r.violations for r in files.unreadable_timestamps(spark, path, "orders").collect()}
+    found = {r.check_name: r.violations for r in files.unreadable_cells(spark, path, "orders").collect()}
     assert found == {
-        "orders: order_purchase_timestamp is a timestamp": 2,
-        "orders: order_approved_at is a timestamp": 1,
+        "orders: order_purchase_timestamp is readable": 2,
+        "orders: order_approved_at is readable": 1,
     }
-    assert files.unreadable_timestamps(spark, write(tmp_path / "t.csv", "a", "b"), "translation").collect() == []
+    assert files.unreadable_cells(spark, write(tmp_path / "t.csv", "a", "b"), "translation").collect() == []
 
 
 def test_catalog_names_its_tables(spark, tmp_path):

@@ -7,6 +7,7 @@ from parcelsight.operators.quality import QualityError
 from parcelsight.plans import kpis as K
 from parcelsight.plans import model as M
 from parcelsight.plans import star as S
+from parcelsight.sources import publish as P
 from parcelsight.testbed.queries import REGION, Clean
 from parcelsight.testbed.tables import KEY_TYPE
 
@@ -106,5 +107,24 @@ def test_the_export_writes_every_table(spark, model, tmp_path):
     star = S.build_star(spark, model)
     counts = S.write_star(star, model, str(tmp_path))
     assert set(counts) == set(star)
-    for name, rows in counts.items():
-        assert spark.read.parquet(str(tmp_path / name)).count() == rows
+    stored = S.read_star(spark, str(tmp_path))
+    assert {name: frame.count() for name, frame in stored.items()} == counts
+
+
+def test_a_failing_export_leaves_the_one_before(spark, model, tmp_path):
+    out, scope = str(tmp_path), K.in_scope(model["orders"])
+    fact = S.fact_orders(model["orders"], model["customers"], model["order_items"], model["reviews"])
+    S.write_star({"fact_orders": fact, "dim_date": S.dim_date(model["orders"])}, model, out)
+    with pytest.raises(QualityError, match="changed the grain"):
+        S.write_star({"fact_orders": fact.limit(3), "dim_date": S.dim_date(model["orders"])}, model, out)
+    assert S.read_star(spark, out)["fact_orders"].count() == scope.count()
+    S.write_star({"fact_orders": fact}, model, out)
+    assert set(S.read_star(spark, out)) == {"fact_orders"} and len(P.versions(spark, out)) == 2
+    P.drop_old(spark, out, keep=1)
+    assert len(P.versions(spark, out)) == 1 and len(list((tmp_path / "versions").iterdir())) == 1
+    assert S.read_star(spark, out)["fact_orders"].count() == scope.count()
+
+
+def test_nothing_is_read_before_a_first_export(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="nothing is published"):
+        S.read_star(spark, str(tmp_path / "none"))

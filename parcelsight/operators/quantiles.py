@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Cells per power of two, and slices per cell. Cells cover every double, so a group has at
-# most 64 x 2,098 x 2 of them; a slice of a cell holds at most 2**27 distinct doubles.
-CELLS = 64
-SLICES = 1 << 20
-_INFINITE, _NAN = 1 << 39, 1 << 40
+# Cells per power of two. Cells cover every double.
+CELLS = 1 << 16
+_INFINITE, _NAN = 1 << 49, 1 << 50
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -42,13 +40,6 @@ def _cell(value: Column) -> Column:
     )
 
 
-def _slice(value: Column, low: Column, high: Column) -> Column:
-    """Number of a value's slice between the least and the largest value of its cell."""
-    share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
-    piece = F.least(F.floor(share * SLICES), F.lit(SLICES - 1))
-    return F.when(high > low, piece).otherwise(F.lit(0)).cast("int")
-
-
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -63,22 +54,19 @@ def exact_quantiles(
     the ``sums`` (numbers per row, added up over the group) and the quantiles.
 
     ``df`` is read once and its rows are exchanged once, after equal values of a group have
-    shrunk map-side to one row with their count. All that follows reads this exchange:
+    shrunk map-side to one row with their count. What follows reads this exchange twice:
 
-    1. Counts per cell, a fixed division of the numbers. Sums over a group's cells tell
-       which cells hold the wanted ranks.
-    2. Counts per slice of such a cell, which follow the cell's least and largest value,
-       tell which slice holds the wanted rank.
-    3. Only the distinct values of that slice are sorted, each slice in its own partition.
+    1. Counts per cell, a fixed division of the numbers (a 65,536th of a power of two). Sums
+       over a group's cells tell which cells hold the wanted ranks, and add up ``sums``.
+    2. Only the distinct values of those cells are sorted, each cell in its own partition.
 
-    All counts are exact, so no rank can be missed, and nothing depends on how the
-    values lie: no task gets a group, but its counts of at most 270,000 cells, of a
-    million slices, and of one slice's distinct values, whatever the number of rows and
-    of map tasks. Rows are dealt out by value, never by group, and a frequent value is
-    one row per task.
+    All counts are exact, so no rank can be missed, and no task gets a group, but its counts
+    per cell, or one cell's distinct values, whatever the number of rows. Rows are dealt out
+    by value, never by group, and a frequent value is one row per task. Many values that
+    differ by less than 1e-5 of their size share a cell; they are sorted in one task, which spills.
 
     Set ``few_groups`` only where the number of groups has a fixed bound: the wanted
-    cells and slices, a few rows per group, are then broadcast. Otherwise the distinct values are
+    cells, a few rows per group, are then broadcast. Otherwise the distinct values are
     exchanged again to meet them.
     """
     sums = dict(sums or {})
@@ -120,44 +108,31 @@ def exact_quantiles(
     # its readers, which makes it the same one.
     counts = counts.filter(reduce(Column.__or__, [F.col(f"_s{i}").isNull() for i in range(len(sums))], F.col("_n") > 0))
 
-    # A measure's number is a condition within the sums: as a filter it would go below the exchange.
-    first = F.col("_measure") == 0
-    added = [F.sum(F.when(first, F.col(f"_s{i}"))).alias(name) for i, name in enumerate(sums)]
-
-    # 1. cells
+    # 1. cells. Sums are those of the first measure's rows, of which each group has some.
+    where = [*names, "_measure", "_cell"]
     group = W.partitionBy(*names, "_measure")
-    known = F.col("_v").isNotNull()
-    cells = (
-        counts.groupBy(*names, "_measure", "_cell")
-        .agg(F.sum(F.when(known, F.col("_n"))).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-        .filter("_n is not null")
-        .withColumns({"_before": up_to(group, "_cell") - F.col("_n"), "_total": F.sum("_n").over(group)})
-        .filter(holds_rank)
-        .drop("_n")
+    cells = counts.groupBy(*where).agg(
+        F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)).alias("_n"),
+        *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))],
+    )
+    cells = cells.withColumns(
+        {
+            "_before": up_to(group, "_cell") - F.col("_n"),
+            "_total": F.sum("_n").over(group),
+            "_place": F.row_number().over(group.orderBy("_cell")),
+            **{f"_s{i}": F.sum(f"_s{i}").over(group) for i in range(len(sums))},
+        }
     )
+    # The first cell stays too: with it a group without values has its row.
+    cells = cells.filter(holds_rank | (F.col("_place") == 1)).drop("_n", "_place")
+    cells = cells.withColumnsRenamed({f"_s{i}": f"_sum{i}" for i in range(len(sums))})
 
-    # The distinct values of the cells that hold a wanted rank, with their slice.
-    where = [*names, "_measure", "_cell"]
+    # 2. ranks of the distinct values of those cells
     renamed, same = _same(counts, cells, where)
     placed = counts.join(F.broadcast(renamed) if few_groups else renamed, same)
-    piece = _slice(F.col("_v"), F.col("_low"), F.col("_high")).alias("_slice")
-    placed = placed.select(*where, piece, "_before", "_total", "_v", "_n")
-
-    # 2. slices
-    in_cell = W.partitionBy(*where)
-    slices = (
-        placed.groupBy(*where, "_slice", "_before", "_total")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_before", F.col("_before") + up_to(in_cell, "_slice") - F.col("_n"))
-        .filter(holds_rank)
-        .select(*where, "_slice", "_before")
-    )
-
-    # 3. ranks of the values in those slices
-    renamed, same = _same(placed.drop("_before"), slices, [*where, "_slice"])
-    in_slice = W.partitionBy(*where, "_slice")
-    sorted_values = placed.drop("_before").join(F.broadcast(renamed) if few_groups else renamed, same)
-    sorted_values = sorted_values.withColumn("_upto", F.col("_before") + up_to(in_slice, "_v"))
+    known = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
+    in_cell = W.partitionBy(*where).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = placed.withColumn("_upto", F.col("_before") + F.sum(known).over(in_cell))
     picks, results = [], []
     for i, (name, (column, p)) in enumerate(quantiles.items()):
         mine = is_of(column)
@@ -168,15 +143,10 @@ def exact_quantiles(
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         between = F.when(low == high, low).otherwise(low + (high - low) * F.col(f"_frac{i}"))
         results.append(between.alias(name))
-
-    # A group without values has its row from the sums. One aggregate without their condition
-    # keeps it from becoming a filter.
-    whole = counts.groupBy(*names).agg(F.max("_n").alias("_most"), *added).filter("_most > 0").drop("_most")
-    found = sorted_values.groupBy(*names).agg(*picks).select(*names, *results)
-    both = whole.unionByName(found, allowMissingColumns=True)
-    columns = [F.first(c, ignorenulls=True).alias(c) for c in (*sums, *quantiles)]
+    first = is_of(columns[0])
+    added = [F.max(F.when(first, F.col(f"_sum{i}"))).alias(name) for i, name in enumerate(sums)]
     # Without keys there is always one row.
-    return (both.groupBy(*keys) if keys else both.groupBy()).agg(*columns)
+    return ranked.groupBy(*keys).agg(*picks, *added).select(*keys, *sums, *results)
 
 
 def median_of_few_values(

@@ -113,7 +113,7 @@ def _stored_model(t: Clean) -> M.Model:
 
 
 def _violations(t: Clean) -> DataFrame:
-    model = _stored_model(t)
+    model = t.model()
     fact = S.fact_orders(
         model["orders"], model["customers"], model["order_items"], model["reviews"]
     )

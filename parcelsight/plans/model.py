@@ -13,7 +13,7 @@ from parcelsight.operators import quality as Q
 from parcelsight.operators.profile import table_counts
 from parcelsight.plans.cleaning import clean_order_items, clean_orders, clean_products, clean_reviews
 from parcelsight.plans.geography import add_coordinates, coordinates_by_prefix, with_distance
-from parcelsight.sources.files import conform, write_parquet
+from parcelsight.sources.files import conform, read_footers, write_parquet
 from parcelsight.sources.schemas import MODEL, STRING
 
 Model = dict[str, DataFrame]
@@ -117,6 +117,11 @@ def model_counts(model: Mapping[str, DataFrame]) -> DataFrame:
     return table_counts(model)
 
 
+def stored_counts(spark: SparkSession, model_dir: str) -> DataFrame:
+    """Rows per table of a stored model, from the footers of its files."""
+    return table_counts({name: read_footers(spark, f"{model_dir}/{name}") for name in MODEL})
+
+
 def register_views(model: Mapping[str, DataFrame]) -> None:
     """Name the model's tables for SQL: ``spark.sql("select ... from orders")``."""
     for name, frame in model.items():

@@ -55,6 +55,18 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
+def read_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table for counts and bounds: row counts, and the least and largest numbers and
+    dates, come from the files' footers (``session.tune`` allows that), and no column is read."""
+    setting = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ",".join(s for s in before.split(",") if s != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def read_catalog(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """Named raw tables from their CSV paths."""
     return {table: read_csv(spark, path, table) for table, path in paths.items()}

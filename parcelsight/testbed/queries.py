@@ -184,7 +184,7 @@ def _round_trip(t: Clean) -> DataFrame:
     model, folder = t.model(), t.new_folder("model")
     M.validate_model(model)
     M.write_model(model, folder)
-    return M.model_counts(M.read_model(t.spark, folder))
+    return M.stored_counts(t.spark, folder)
 
 
 def _read_back(t: Clean, tables: dict[str, DataFrame], table: str) -> Checked:

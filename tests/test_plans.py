@@ -14,6 +14,7 @@ from parcelsight.plans import kpis as K
 from parcelsight.plans import model as M
 from parcelsight.plans import star as S
 from parcelsight.session import sized_for
+from parcelsight.sources.files import read_footers
 from parcelsight.testbed import queries as testbed
 
 SF = "/root/testdata/sf0.001"
@@ -231,3 +232,15 @@ def test_partition_settings_follow_the_shuffled_bytes():
     assert partitions(10, cores=8) == 24
     assert partitions(10 * 10**12, cores=4000) == 23842
     assert partitions(100 * 10**12, cores=4000) == 100_000
+
+
+def test_counts_and_bounds_of_a_stored_model_come_from_footers(spark, stored, tmp_path):
+    M.write_model(stored, str(tmp_path))
+    found = M.stored_counts(spark, str(tmp_path))
+    text = plan(found, "formatted")
+    assert text.count("PushedAggregation: [COUNT(*)]") == len(stored)
+    assert {r.table_name: r.rows for r in found.collect()} == {name: frame.count() for name, frame in stored.items()}
+    items = read_footers(spark, str(tmp_path / "order_items")).agg(F.min("price").alias("low"), F.max("order_id").alias("high"))
+    assert "PushedAggregation: [MIN(price), MAX(order_id)]" in plan(items, "formatted")
+    assert items.first() == stored["order_items"].agg(F.min("price"), F.max("order_id")).first()
+    assert spark.conf.get("spark.sql.sources.useV1SourceList").count("parquet") == 1

@@ -124,10 +124,13 @@ def seller_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     The distinct step reuses the join's partitioning on order_id, which leaves a
     plain count per seller instead of two distinct counts over all items.
     """
+    # Stored in parts, orders and items meet by part; the part is no part of the answer.
+    meet = [k for k in ("order_id", "order_part") if k in orders.columns and k in items.columns]
     pairs = (
         in_scope(orders)
-        .select("order_id", "is_late")
-        .join(items.select("order_id", "seller_id"), "order_id")
+        .select(*meet, "is_late")
+        .join(items.select(*meet, "seller_id"), meet)
+        .select("order_id", "is_late", "seller_id")
         .distinct()
     )
     return _late_rates(pairs.transform(_count("seller_id")), "late_pct")

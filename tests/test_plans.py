@@ -244,3 +244,30 @@ def test_counts_and_bounds_of_a_stored_model_come_from_footers(spark, stored, tm
     assert "PushedAggregation: [MIN(price), MAX(order_id)]" in plan(items, "formatted")
     assert items.first() == stored["order_items"].agg(F.min("price"), F.max("order_id")).first()
     assert spark.conf.get("spark.sql.sources.useV1SourceList").count("parquet") == 1
+
+
+def test_a_hot_order_is_stored_in_parts_that_join_without_an_exchange(spark, stored):
+    items = stored["order_items"]
+    hot = items.select("order_id").first().order_id
+    more = items.filter(F.col("order_id") == hot).limit(1)
+    more = more.crossJoin(spark.range(1_000, 6_000)).withColumn("order_item_id", F.col("id").cast("int")).drop("id")
+    model = stored | {"order_items": items.unionByName(more)}
+    spark.sql("create database if not exists parts")
+    try:
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):
+            M.save_parts(model, "parts", 4, items=500)
+            found = M.open_parts(spark, "parts")
+            joined = found["orders"].join(found["order_items"], ["order_id", M.PART])
+            assert "Exchange" not in plan(joined.select("order_id", "is_late", "seller_id"))
+            assert joined.count() == model["order_items"].count()
+            in_task = [n for n in joined.filter(F.col("order_id") == hot).groupBy(F.spark_partition_id()).count().collect()]
+            assert len(in_task) > 1 and max(r["count"] for r in in_task) < 4_000
+            assert found["orders_once"].count() == model["orders"].count()
+            want = K.seller_orders(model["orders"], model["order_items"])
+            got = K.seller_orders(found["orders"], found["order_items"])
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+            reviewed = found["orders"].join(found["reviews"], ["order_id", M.PART])
+            assert "Exchange" not in plan(reviewed.select("order_id", "review_score"))
+            assert reviewed.count() == model["orders"].join(model["reviews"], "order_id").count()
+    finally:
+        spark.sql("drop database parts cascade")

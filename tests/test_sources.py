@@ -58,10 +58,12 @@ def test_csv_reviews_may_hold_line_breaks_and_quotes(spark, tmp_path):
     assert second.review_comment_message is None
 
 
-def test_csv_rejects_text_in_a_number_column(spark, tmp_path):
-    path = write(tmp_path / "c.csv", "customer_id,customer_zip_code_prefix", "a,many")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        files.read_csv(spark, path, "customers").collect()
+def test_a_text_in_a_number_column_is_unknown_and_counted(spark, tmp_path):
+    path = write(tmp_path / "c.csv", "customer_id,customer_zip_code_prefix", "a,many", "b,7")
+    rows = {r.customer_id: r.customer_zip_code_prefix for r in files.read_csv(spark, path, "customers").collect()}
+    assert rows == {"a": None, "b": 7}
+    found = {r.check_name: r.violations for r in files.unreadable_cells(spark, path, "customers").collect()}
+    assert found == {"customers: customer_zip_code_prefix is readable": 1}
 
 
 def test_files_of_a_folder_must_have_one_header(spark, tmp_path):

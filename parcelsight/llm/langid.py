@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from parcelsight.llm import gru
-from parcelsight.llm.common import crc_of_id, released, sliced, text_of
+from parcelsight.llm.common import crc_of_id, released, sliced, stored, text_of
 
 UNKNOWN = "und"
 #: Documents learned from per language, and in all; slices of each. With more languages than
@@ -149,12 +149,16 @@ def sample(docs: DataFrame) -> list[tuple[str, bytes]]:
     """Slices of a bounded number of labelled documents that are not held out: of each language
     the distinct ones (id and text) with the least hashes, however often ids repeat or are null."""
     rows = docs.where(~held_out()).where("lang is not null").where(F.length(text_of()) > 0)
-    place = F.xxhash64(F.lit("language sample"), "doc_id", "text").alias("place")
+    whole = 1 << 53
+    place = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id", "text"), F.lit(whole)).alias("place")
     places = rows.select("lang", place).distinct()
-    languages = places.select("lang").distinct().count()
-    most = max(1, min(PER_LANGUAGE, DOCUMENTS // max(1, languages)))
+    sizes = stored(places.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
+    most = max(1, min(PER_LANGUAGE, DOCUMENTS // max(1, sizes.count())))
+    # Hashes lie evenly, so the least ones are all below this share of their range; it leaves
+    # a language a few times what is taken, however many documents it has.
+    below = (F.lit(4.0 * most + 20) / F.col("n")) * whole
     least = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
-    chosen = places.withColumn("n", least).where(F.col("n") <= most).select("lang", "place")
+    chosen = places.join(sizes, "lang").where(F.col("place") < below).withColumn("n", least).where(F.col("n") <= most).select("lang", "place")
     text, steps = F.col("text"), [i / SLICES for i in range(SLICES)]
     cuts = [F.substring(text, (F.length(text) * s).cast("int") + 1, F.lit(WINDOW)) for s in steps]
     held = rows.select("lang", place, F.array_distinct(F.array(*cuts)).alias("cuts")).join(chosen, ["lang", "place"], "left_semi")

@@ -64,7 +64,7 @@ def with_distance(
     """Items with ``distance_km`` from their seller to the order's customer.
 
     The customer's point is joined to orders, not to the more numerous items, so
-    items meet one small and one large table only.
+    items meet one small and one large table only: orders first, as items often lie by order.
     """
     destinations = join_many_to_one(
         orders.select("order_id", "customer_id"),
@@ -72,16 +72,15 @@ def with_distance(
         "customer_id",
         validate=validate,
     ).drop("customer_id")
+    placed = join_many_to_one(items, destinations, "order_id", validate=validate)
     origins = join_many_to_one(
-        items,
+        placed,
         sellers.select("seller_id", "seller_lat", "seller_lng"),
         "seller_id",
         validate=validate,
     )
     distance = great_circle_km("seller_lat", "seller_lng", "customer_lat", "customer_lng")
-    return join_many_to_one(origins, destinations, "order_id", validate=validate).select(
-        *items.columns, distance.alias("distance_km")
-    )
+    return origins.select(*items.columns, distance.alias("distance_km"))
 
 
 def item_distances(

@@ -46,7 +46,8 @@ class Checked:
         """file, line (from 1), column and text of each cell that could not be read; a record with
         too few or too many cells is one reject without a column, and its text."""
         bad = self.staged.filter(F.size("_rejects") > 0)
-        ranges = bad.select("_file", "_block").distinct()
+        # One row per byte range at most: broadcast, or the whole table would be dealt out to meet them.
+        ranges = F.broadcast(bad.select("_file", "_block").distinct())
         # Lines before a range: sums per range. Lines before a record: only in ranges with rejects.
         counts = self.staged.groupBy("_file", "_block").agg(F.sum("lines").alias("_n"))
         earlier = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)

@@ -41,9 +41,8 @@ def build_model(
         raw["customers"], "customer_zip_code_prefix", geolocation, "customer"
     )
     sellers = add_coordinates(raw["sellers"], "seller_zip_code_prefix", geolocation, "seller")
-    items = clean_order_items(
-        with_distance(raw["order_items"], orders, customers, sellers), orders
-    )
+    # Joins on order_id come first: items that lie by order are dealt out once more, by seller.
+    items = with_distance(clean_order_items(raw["order_items"], orders), orders, customers, sellers)
     overrides = {} if translations is None else {"overrides": translations}
     tables = {
         "customers": raw["customers"],

@@ -28,7 +28,8 @@ TRANSLATIONS = {"promo": "promo_goods", "small": "small_goods"}
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 STATES = [(f"{i:02}", f"NATION_{i}", REGIONS[i % 5]) for i in range(25)]
 
-# Part keys per tile when lines are numbered within an order.
+# Lines of an order up to which one task numbers them, and part keys per tile beyond.
+HOT_LINES = 10_000
 TILE_WIDTH = 1000
 
 # Columns of the test tables. A declared schema saves the footer
@@ -170,13 +171,28 @@ class TestTables:
         )
 
     def numbered_lines(self) -> DataFrame:
-        """Order lines with their position within the order.
+        """Order lines with their position within the order; lines of an unknown key have none.
 
-        A plain row number would sort an order in one task, however many lines it
-        has. Lines are numbered within a tile (line number and part range) instead,
-        and each tile starts where the counts of the order's earlier tiles end.
+        Lines are dealt out by order once, and joins on the order need no further exchange.
+        That would gather a hot order in one task, so orders are counted first: those of more
+        than HOT_LINES lines, at most one in so many lines, are numbered by tiles.
         """
-        lines = self.table("lineitem").withColumn("_tile", F.floor(F.col("l_partkey") / TILE_WIDTH))
+        lines = self.table("lineitem").filter("l_orderkey is not null")
+        sizes = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+        hot = F.broadcast(sizes.filter(F.col("_n") > HOT_LINES).select("l_orderkey"))
+        order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+        numbered = (
+            lines.join(hot, "l_orderkey", "left_anti")
+            .withColumn("order_item_id", F.row_number().over(order))
+            .filter("l_linenumber is not null and l_partkey is not null")
+        )
+        tiled = self._numbered_by_tiles(lines.join(hot, "l_orderkey", "left_semi"))
+        return numbered.unionByName(tiled.select(numbered.columns))
+
+    def _numbered_by_tiles(self, lines: DataFrame) -> DataFrame:
+        """Lines are numbered within a tile (line number and part range), and each tile starts
+        where the counts of the order's earlier tiles end: no task holds an order's lines."""
+        lines = lines.withColumn("_tile", F.floor(F.col("l_partkey") / TILE_WIDTH))
         tile = ["l_orderkey", "l_linenumber", "_tile"]
         order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "_tile")
         starts = (

@@ -134,8 +134,8 @@ def test_runs_break_at_every_gap(spark):
 def test_profile_and_null_counts(spark):
     df = frame(spark, "k string, x int", ("a", 1), ("a", None), (None, None))
     assert [tuple(r) for r in P.profile(df).collect()] == [
-        (1, "k", "string", 3, 2, 1),
-        (2, "x", "int", 3, 1, 2),
+        (1, "k", "string", 3, 2, 1, 1),
+        (2, "x", "int", 3, 1, 2, 1),
     ]
     assert tuple(P.null_counts(df, ["k", "x"]).collect()[0]) == (1, 2)
     by_key = {r.k: r.x for r in P.null_counts_by(df, "k", ["x"]).collect()}

@@ -6,8 +6,11 @@ encoded left to right, taking the longest token that starts at a position and is
 compatible with the one before; where none is left, the last token is given up for its
 next shorter prefix and the position is closed for good. Every position is closed at most
 once, which bounds the work by the word's length. Compatibility of two tokens is
-found by undoing their merges, latest first, and remembered. This needs a vocabulary
-whose every token is the merge of two earlier ones, as training gives; others are refused.
+found by undoing their merges, latest first; remembered is what of a token fits after
+another. This needs a vocabulary whose every token is the merge of two earlier ones, as
+training gives; others are refused.
+
+Texts are encoded many at a time: each distinct unit of them is looked up or encoded once.
 
 Longest matches come from an Aho-Corasick automaton, whose keys are texts: bytes are
 mapped to Latin-1 for it.
@@ -19,12 +22,13 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice, pairwise
 
 import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -34,6 +38,8 @@ from parcelsight.llm.common import released, sliced
 RANKS = "byte_bpe_50k.tiktoken"
 #: Words whose ids a Python worker remembers.
 MEMO = 250_000
+#: Rows and bytes of the texts that are encoded at once; a longer text is taken alone.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 4_096, 1 << 20
 _NEVER = 1 << 62
 
 
@@ -87,23 +93,24 @@ class Codec:
         self.decoded = Pieces(self.bytes)
         self.decimals = Pieces({rank: b"%d " % rank for rank in self.bytes})
         self.size = {rank: len(token) for token, rank in ranks.items()}
+        self.by_text = {token.decode("latin-1"): rank for token, rank in ranks.items()}
+        self.most = max(map(len, ranks))
         self.patterns = regex.compile(pattern)
-        self.starts = regex.compile(r" (?=\S)")
         self.parts: dict[int, tuple[int, ...]] = {}
         self.shorter: dict[int, int] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.fits: dict[tuple[int, int], int] = {}
         self.units, self.words = Memo(memo), Memo(memo)
         self.memo = memo
         self.automaton = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), rank)
+        for token, rank in self.by_text.items():
+            self.automaton.add_word(token, rank)
         self.automaton.make_automaton()
 
     def forget(self) -> None:
         """Let go of all texts and pairs that were remembered."""
         self.units.forget()
         self.words.forget()
-        self.pairs.clear()
+        self.fits.clear()
 
     def _parts(self, token: int) -> tuple[int, ...]:
         """The two tokens whose merge gives this one, or the byte itself for a byte."""
@@ -125,13 +132,19 @@ class Codec:
 
     def compatible(self, left: int, right: int) -> bool:
         """Merging the bytes of both gives these two. left is -1 at the start of a word."""
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= 2 * self.memo:
-                self.pairs.clear()
-            self._parts(right)
-            found = self.pairs[left, right] = left < 0 or self._compatible(left, right)
-        return found
+        self._parts(right)
+        return left < 0 or self._compatible(left, right)
+
+    def _fit(self, left: int, token: int) -> int:
+        """The longest prefix of a token, itself included, that is compatible with the one
+        before; -1 if there is none."""
+        if len(self.fits) >= 2 * self.memo:
+            self.fits.clear()
+        fit = token
+        while fit >= 0 and not self.compatible(left, fit):
+            fit = self._prefix(fit)
+        self.fits[left, token] = fit
+        return fit
 
     def _compatible(self, left: int, right: int) -> bool:
         """Undo the merges of both sides, latest first; no state may offer an earlier merge across."""
@@ -149,82 +162,130 @@ class Codec:
                 # A merge across lies further left than this one, so it wins a tie.
                 until, right = right + 1, of_right[0]
 
-    def encode_word(self, word: bytes) -> list[int]:
-        whole = self.ranks.get(word)
+    def encode_word(self, word: str) -> list[int]:
+        latin = word if word.isascii() else word.encode().decode("latin-1")
+        whole = self.by_text.get(latin)
         if whole is not None:
             return [whole]
-        n, size, pairs, latin = len(word), self.size, self.pairs, word.decode("latin-1")
+        size, fits, longest = self.size, self.fits, self.automaton.iter_long
         ids: list[int] = []
-        last = -1
-        for _, token in self.automaton.iter_long(latin):  # mostly the longest matches do
-            fits = pairs.get((last, token))
-            if not (fits if fits is not None else self.compatible(last, token)):
+        last, at = -1, 0
+        for _, token in longest(latin):  # mostly the longest matches do
+            fit = fits.get((last, token))
+            if fit is None:
+                fit = self._fit(last, token)
+            if fit != token:
                 break
             ids.append(token)
-            last = token
+            last, at = token, at + size[token]
         else:
             return ids
-        longest = [-1] * (n + 1)
-        for end, token in self.automaton.iter(latin):
-            longest[end + 1 - size[token]] = token  # ends grow, so the longest stays
         closed: set[int] = set()
-        at = sum(size[i] for i in ids)
-        token = longest[at]
-        while at < n:
-            end = at + size[token]
-            if end not in closed:
-                fits = pairs.get((last, token))
-                if fits if fits is not None else self.compatible(last, token):
-                    ids.append(token)
-                    at, last, token = end, token, longest[end]
-                    continue
-            token = self._prefix(token)
-            while token < 0:
+        while True:  # fit is the longest token that is left to try at this position
+            if fit < 0:
                 closed.add(at)
                 token = ids.pop()
                 at -= size[token]
                 last = ids[-1] if ids else -1
                 token = self._prefix(token)
-        return ids
-
-    def _encode_unit(self, unit: str) -> list[int]:
-        words, ids = self.words, []
-        for word in self.patterns.findall(unit):
-            found = words.young.get(word) or words.aged(word)
-            if found is None:
-                found = tuple(self.encode_word(word.encode()))
+            elif at + size[fit] in closed:
+                token = self._prefix(fit)
+            else:
+                ids.append(fit)
+                last, at = fit, at + size[fit]
+                if at == len(latin):
+                    return ids
+                _, token = next(longest(latin[at : at + self.most]))
+            if token < 0:
+                fit = -1
+                continue
+            fit = fits.get((last, token))
+            if fit is None:
+                fit = self._fit(last, token)
+
+    def _encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of words, each distinct one looked up or encoded once."""
+        memo, made = self.words, dict.fromkeys(words, ())
+        for word in made:
+            ids = memo.young.get(word) or memo.aged(word)
+            if ids is None:
+                ids = tuple(self.encode_word(word))
                 if len(word) < 64:
-                    words.offer(word, found)
-            ids += found
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text. A blank before a visible sign always starts a word of the pattern,
-        so the text falls there into units whose ids are remembered."""
-        units = text.split(" ")
+                    memo.offer(word, ids)
+            made[word] = ids
+        return list(map(made.__getitem__, words))
+
+    def _encode_texts(self, texts: list[str]) -> list[tuple[int, ...]]:
+        words = list(map(self.patterns.findall, texts))
+        ids = iter(self._encode_words(list(chain.from_iterable(words))))
+        return [tuple(chain.from_iterable(islice(ids, len(own)))) for own in words]
+
+    def _encode_units(self, units: list[str]) -> list[tuple[int, ...]]:
+        """Ids of units, none of them empty or with white space first, each after a blank.
+        No blank is in a unit, so a word with a blank starts the next one."""
+        words = self.patterns.findall(" " + " ".join(units)) if units else []
+        ids = self._encode_words(words)
+        starts = [i for i, word in enumerate(words) if word[0] == " "]
+        runs = pairwise([*starts, len(words)])
+        return [ids[a] if b - a == 1 else tuple(chain.from_iterable(ids[a:b])) for a, b in runs]
+
+    def _encode_known(self, units: list[str]) -> list[tuple[int, ...]]:
+        """The same for distinct units, whose ids are remembered."""
         memo = self.units
         found = list(map(memo.young.get, units))
-        found[0] = self._encode_unit(units[0])
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    unit = units[i]
-                    if not unit or unit[0].isspace():
-                        return self._encode_apart(text)
-                    ids = memo.aged(unit)
-                    if ids is None:
-                        ids = tuple(self._encode_unit(" " + unit))
-                        if len(unit) < 64:
-                            memo.offer(unit, ids)
-                    found[i] = ids
-        return list(chain.from_iterable(found))
-
-    def _encode_apart(self, text: str) -> list[int]:
-        """The same for a text with runs of blanks."""
-        ids: list[int] = []
-        for i, unit in enumerate(self.starts.split(text)):
-            ids += self._encode_unit(" " + unit if i else unit)
-        return ids
+        missing = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = memo.aged(units[i])
+                if found[i] is None:
+                    missing.append(i)
+        for i, ids in zip(missing, self._encode_units([units[i] for i in missing]), strict=True):
+            found[i] = ids
+            if len(units[i]) < 64:
+                memo.offer(units[i], ids)
+        return found
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's begin, with the end of all;
+        a null counts as empty.
+
+        A blank before a visible sign always starts a word of the pattern, so texts fall there
+        into units. A text's first unit has no blank before it, and texts with runs of
+        blanks are encoded apart."""
+        texts = texts.fill_null("")
+        lists = pc.split_pattern(texts, " ")
+        ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+        firsts = np.concatenate([[0], ends])[:-1]
+        coded = lists.flatten().dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        units = coded.dictionary.to_pylist()
+
+        inner = np.ones(len(numbers), bool)
+        inner[firsts] = False
+        asked = np.bincount(numbers[inner], minlength=len(units)) > 0
+        odd = np.array([not unit or unit[0].isspace() for unit in units], bool)
+        plain = np.flatnonzero(asked & ~odd).tolist()
+        pieces: list[tuple[int, ...]] = [()] * len(units)
+        for i, ids in zip(plain, self._encode_known([units[i] for i in plain]), strict=True):
+            pieces[i] = ids
+
+        own = [units[i] for i in numbers[firsts].tolist()]
+        if (asked & odd).any():
+            apart = np.searchsorted(ends, np.flatnonzero(inner & odd[numbers]), side="right")
+            for n in np.unique(apart).tolist():
+                own[n] = texts[n].as_py()
+                numbers[firsts[n] : ends[n]] = len(units) + len(own)
+        numbers[firsts] = len(units) + np.arange(len(own))
+        pieces += [*self._encode_texts(own), ()]
+
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ids = np.fromiter(chain.from_iterable(pieces), np.int32, size.sum())
+        until = np.cumsum(size[numbers])
+        return gathered(ids, np.cumsum(size) - size, size, numbers), np.concatenate([[0], until[ends - 1]])
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        return self.encode_all(pa.array([text], pa.string()))[0].tolist()
 
     def decode(self, ids) -> bytes:
         return self.decoded.join(ids).tobytes()
@@ -245,12 +306,16 @@ class Pieces:
         self.all = np.frombuffer(b"".join(pieces[i] for i in sorted(pieces)), np.uint8)
 
     def join(self, numbers) -> np.ndarray:
-        numbers = np.asarray(numbers, np.int64)
-        size = self.size[numbers]
-        ends = np.cumsum(size)
-        places = np.repeat(self.start[numbers] - ends + size, size)
-        places += np.arange(len(places))
-        return self.all[places]
+        return gathered(self.all, self.start, self.size, np.asarray(numbers, np.int64))
+
+
+def gathered(values: np.ndarray, start: np.ndarray, size: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The runs of values with these numbers, one after the other."""
+    size = size[numbers]
+    ends = np.cumsum(size)
+    places = np.repeat(start[numbers] - ends + size, size)
+    places += np.arange(len(places))
+    return values[places]
 
 
 def merge(word: bytes, ranks: dict[bytes, int], below: int = _NEVER) -> list[int]:
@@ -283,6 +348,18 @@ def _plus(df: DataFrame, *names: str) -> None:
         raise ValueError(f"columns {sorted(clash)} exist already; name others")
 
 
+def bounded(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of bounded rows and bytes of a text column, or of one longer text."""
+    for batch in sliced(batches, ROWS_AT_ONCE):
+        size = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(size, dtype=np.int64), 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def encode(
     docs: DataFrame,
     text: str = "text",
@@ -310,12 +387,13 @@ def encode(
         return released(encoded_batches(batches, own), own.forget)
 
     def encoded_batches(batches: Iterator[pa.RecordBatch], own: Codec) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 256):
-            texts = [x or "" for x in batch.column(text).to_pylist()]
-            encoded = [own.encode(x) for x in texts]
-            made = [pa.array(encoded, pa.list_(pa.int32()))]
+        for batch in bounded(batches, text):
+            texts = batch.column(text)
+            encoded, starts = own.encode_all(texts)
+            made = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(encoded))]
             if round_trip:
-                made.append(pa.array([own.decode(i) == x.encode() for i, x in zip(encoded, texts)], pa.bool_()))
+                each = zip(np.split(encoded, starts[1:-1]), texts)
+                made.append(pa.array([own.decode(i) == (x.as_py() or "").encode() for i, x in each], pa.bool_()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
@@ -345,10 +423,10 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         return released(digests(batches, own), own.forget)
 
     def digests(batches: Iterator[pa.RecordBatch], own: Codec) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in bounded(batches, "text"):
             counts, of_ids, of_bytes = [], [], []
-            for x in batch.column("text"):
-                ids = own.encode(x.as_py() or "")
+            encoded, starts = own.encode_all(batch.column("text"))
+            for ids in np.split(encoded, starts[1:-1]):
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(own.written(ids).encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(own.decode(ids)).hexdigest())
